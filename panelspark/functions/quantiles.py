@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.schema import literal, quoted
+
 SINGLE_PASS_ROWS = 2_000_000
 BUCKETS = 2048
 
@@ -32,12 +34,11 @@ def column_quantiles(
     columns, probabilities = list(columns), [float(p) for p in probabilities]
     if not columns:
         return {}
-    source = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    source = df.selectExpr(*[f"double({quoted(c)}) AS c{i}" for i, c in enumerate(columns)])
     if _more_rows_than(source, single_pass_rows):
         return _by_counting(source, columns, probabilities)
-    row = source.agg(
-        *[F.percentile(f"c{i}", F.array(*map(F.lit, probabilities))).alias(f"c{i}") for i in range(len(columns))]
-    ).first()
+    wanted = f"array({', '.join(map(literal, probabilities))})"
+    row = source.selectExpr(*[f"percentile(c{i}, {wanted})" for i in range(len(columns))]).first()
     return {c: list(row[i]) if row[i] is not None else [None] * len(probabilities) for i, c in enumerate(columns)}
 
 
@@ -49,8 +50,8 @@ def _more_rows_than(df: DataFrame, limit: int) -> bool:
 def _by_counting(source: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[float | None]]:
     width = len(columns)
     names = [f"c{i}" for i in range(width)]
-    bounds = source.agg(
-        *[f(n).alias(f"{k}_{n}") for n in names for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
+    bounds = source.selectExpr(
+        *[f"{f}({n}) AS {k}_{n}" for n in names for k, f in (("n", "count"), ("lo", "min"), ("hi", "max"))]
     ).first()
     counts = [bounds[f"n_{n}"] for n in names]
     # A target is one order statistic: (column, 0-based rank). Its bracket shrinks every pass.

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from panelspark.schema import as_number
+from panelspark.schema import number_sql, quoted
 
 
 def missing() -> Column:
@@ -21,12 +21,12 @@ def missing() -> Column:
 
 def pack(columns: Sequence[str]) -> Column:
     """Wide columns as one array."""
-    return F.array(*[as_number(c) for c in columns])
+    return F.expr(f"array({', '.join(number_sql(c) for c in columns)})")
 
 
-def unpack(r: Column, columns: Sequence[str]) -> list[Column]:
-    """One array as wide columns."""
-    return [F.get(r, F.lit(i)).alias(c) for i, c in enumerate(columns)]
+def unpack(array_name: str, columns: Sequence[str]) -> dict[str, str]:
+    """SQL expressions that take an array column apart, by the name of the wide column."""
+    return {c: f"get({quoted(array_name)}, {i})" for i, c in enumerate(columns)}
 
 
 def present(r: Column) -> Column:

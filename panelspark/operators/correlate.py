@@ -10,9 +10,9 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.functions.sketch import correlation
+from panelspark.functions.sketch import correlation, nan_to_null
 from panelspark.operators.profile import at_position
-from panelspark.schema import TARGET, return_columns
+from panelspark.schema import TARGET, literal, quoted, return_columns
 
 PAIRWISE_COLUMNS = 12
 
@@ -25,7 +25,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], fill: float | None
     """
     columns = list(columns)
     if fill is not None:
-        filled = df.select(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(fill)).alias(c) for c in columns])
+        filled = df.selectExpr(*[f"coalesce(double({quoted(c)}), {literal(float(fill))}) AS {quoted(c)}" for c in columns])
         vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(filled).select("v")
         values = Correlation.corr(vectors, "v").first()[0].toArray()
         rows = [
@@ -56,15 +56,10 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], fill: float | None
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str = TARGET, fill: float | None = None) -> DataFrame:
     """(column, corr) of each column with the target, missing values skipped pair by pair."""
     columns = list(columns)
-    y = F.col(target).cast("double")
-
-    def value(c: str):
-        x = F.col(f"`{c}`").cast("double")
-        return x if fill is None else F.coalesce(x, F.lit(fill))
-
-    row = df.agg(F.array(*[correlation(value(c), y) for c in columns]).alias("corr"))
-    each = row.select(F.posexplode("corr").alias("pos", "corr"))
-    return each.select(at_position(columns).alias("column"), "corr")
+    rest = "CAST(NULL AS DOUBLE)" if fill is None else literal(float(fill))
+    pairs = [f"corr(coalesce(double({quoted(c)}), {rest}), double({quoted(target)}))" for c in columns]
+    each = df.selectExpr(f"posexplode(array({', '.join(pairs)})) AS (pos, corr)")
+    return each.select(at_position(columns).alias("column"), nan_to_null(F.col("corr")).alias("corr"))
 
 
 def strong_pairs(matrix: DataFrame, order: Sequence[str], threshold: float = 0.8) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions import series as S
-from panelspark.schema import coerce_numeric, return_columns
+from panelspark.schema import coerce_numeric, replace_columns, return_columns
 
 FEATURE_SETS = ("basic_stats", "technical")
 WINDOWS = (5, 10, 20)
@@ -130,12 +130,6 @@ def select_optimised(df: DataFrame) -> DataFrame:
     return select_returns_and_financial(add_financial_features(df))
 
 
-def _replace_row(df: DataFrame, columns: Sequence[str], array_name: str, drop: Sequence[str]) -> DataFrame:
-    """Put the entries of an array back in the place of the wide columns."""
-    fresh = dict(zip(columns, S.unpack(F.col(array_name), columns)))
-    return df.select(*[fresh.get(c, F.col(f"`{c}`")) for c in df.columns if c not in drop])
-
-
 def normalise_rows(df: DataFrame) -> DataFrame:
     """Each row's returns minus their mean over their deviation (+1e-8); missing becomes 0."""
     columns = return_columns(df)
@@ -145,7 +139,7 @@ def normalise_rows(df: DataFrame) -> DataFrame:
     out = out.withColumn(_MEAN, S.mean(F.col(_SEEN)))
     scaled = S.normalise(F.col(_ROW), F.col(_MEAN), S.spread(F.col(_SEEN), F.col(_MEAN)))
     out = out.withColumn(_ROW, scaled)
-    return _replace_row(out, columns, _ROW, _SCRATCH)
+    return replace_columns(out, S.unpack(_ROW, columns), _SCRATCH)
 
 
 def normalise_rows_plain(df: DataFrame) -> DataFrame:
@@ -155,7 +149,7 @@ def normalise_rows_plain(df: DataFrame) -> DataFrame:
     out = out.withColumn(_MEAN, S.mean(F.col(_ROW)))
     out = out.withColumn("__scale", S.spread(F.col(_ROW), F.col(_MEAN)))
     out = out.withColumn(_ROW, F.transform(_ROW, lambda x: F.try_divide(x - F.col(_MEAN), F.col("__scale"))))
-    return _replace_row(out, columns, _ROW, (*_SCRATCH, "__scale"))
+    return replace_columns(out, S.unpack(_ROW, columns), (*_SCRATCH, "__scale"))
 
 
 def fill_rows(df: DataFrame, method: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -166,7 +160,7 @@ def fill_rows(df: DataFrame, method: str, columns: Sequence[str] | None = None)
     out = df.withColumn(_ROW, S.pack(columns))
     out = out.withColumn(_AT, S.observed_positions(F.col(_ROW)))
     out = out.withColumn(_ROW, S.FILLS[method](F.col(_ROW), F.col(_AT)))
-    return _replace_row(out, columns, _ROW, _SCRATCH)
+    return replace_columns(out, S.unpack(_ROW, columns), _SCRATCH)
 
 
 def add_null_profile(df: DataFrame) -> DataFrame:

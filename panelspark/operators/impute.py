@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelspark.functions.quantiles import column_quantiles
-from panelspark.schema import columns_except, return_columns
+from panelspark.schema import columns_except, literal, quoted, replace_columns, return_columns
 
 
 def keep_observed_rows(df: DataFrame, share: float = 0.7, n_columns: int | None = None) -> DataFrame:
@@ -21,8 +21,8 @@ def keep_observed_rows(df: DataFrame, share: float = 0.7, n_columns: int | None
 
 def null_share(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Share of missing values per column, in one aggregate."""
-    row = df.agg(*[F.avg(F.col(f"`{c}`").isNull().cast("int")).alias(c) for c in columns]).first()
-    return {c: row[c] for c in columns}
+    row = df.selectExpr(*[f"avg(int({quoted(c)} IS NULL))" for c in columns]).first()
+    return dict(zip(columns, row))
 
 
 def low_null_columns(train: DataFrame, test: DataFrame, threshold: float = 0.3) -> tuple[DataFrame, DataFrame]:
@@ -128,18 +128,17 @@ class ColumnStats:
 
 def standardise(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict[str, ColumnStats]]:
     """Column z-scores with the sample deviation, and the statistics to undo them."""
-    row = df.agg(
-        *[F.avg(f"`{c}`").alias(f"m{i}") for i, c in enumerate(columns)],
-        *[F.stddev_samp(f"`{c}`").alias(f"s{i}") for i, c in enumerate(columns)],
-    ).first()
-    stats = {c: ColumnStats(row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(columns)}
-    scaled = {c: F.try_divide(F.col(f"`{c}`") - F.lit(s.mean), F.lit(s.std)) for c, s in stats.items()}
-    return df.select(*[scaled[c].alias(c) if c in scaled else F.col(f"`{c}`") for c in df.columns]), stats
+    row = df.selectExpr(*[f"{f}({quoted(c)})" for f in ("avg", "stddev_samp") for c in columns]).first()
+    stats = {c: ColumnStats(row[i], row[len(columns) + i]) for i, c in enumerate(columns)}
+    scaled = {
+        c: f"try_divide({quoted(c)} - double({literal(s.mean)}), double({literal(s.std)}))" for c, s in stats.items()
+    }
+    return replace_columns(df, scaled), stats
 
 
 def inverse_standardise(df: DataFrame, stats: dict[str, ColumnStats]) -> DataFrame:
-    back = {c: F.col(f"`{c}`") * F.lit(s.std) + F.lit(s.mean) for c, s in stats.items()}
-    return df.select(*[back[c].alias(c) if c in back else F.col(f"`{c}`") for c in df.columns])
+    back = {c: f"{quoted(c)} * double({literal(s.std)}) + double({literal(s.mean)})" for c, s in stats.items()}
+    return replace_columns(df, back)
 
 
 def fill_with_statistic(df: DataFrame, columns: Sequence[str], strategy: str = "mean") -> DataFrame:
@@ -147,8 +146,7 @@ def fill_with_statistic(df: DataFrame, columns: Sequence[str], strategy: str = "
     if strategy == "median":
         values = {c: q[0] for c, q in column_quantiles(df, columns, [0.5]).items()}
     elif strategy == "mean":
-        row = df.agg(*[F.avg(f"`{c}`").alias(f"m{i}") for i, c in enumerate(columns)]).first()
-        values = {c: row[i] for i, c in enumerate(columns)}
+        values = dict(zip(columns, df.selectExpr(*[f"avg({quoted(c)})" for c in columns]).first()))
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     return df.na.fill({c: v for c, v in values.items() if v is not None})

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions import series as S
-from panelspark.schema import KEY, return_columns
+from panelspark.schema import KEY, replace_columns, return_columns
 
 
 def impute_iterative(
@@ -26,9 +26,7 @@ def impute_iterative(
     """Mean start, then up to ``rounds`` rounds of Bayesian ridge regressions."""
     columns = return_columns(df) if columns is None else list(columns)
     packed = df.select(KEY, S.pack(columns).alias("r"))
-    row = packed.select("r").agg(
-        *[F.avg(F.get("r", F.lit(i))).alias(f"m{i}") for i in range(len(columns))]
-    ).first()
+    row = packed.selectExpr(*[f"avg(get(r, {i}))" for i in range(len(columns))]).first()
     start = np.array([np.nan if v is None else v for v in row], dtype=float)
     start = np.where(np.isnan(start), 0.0, start)
     models: list[np.ndarray] = []
@@ -51,10 +49,8 @@ def impute_iterative(
 
     filled = packed.mapInPandas(fill, f"{KEY} long, __filled array<double>")
     observed = {i for i, v in enumerate(row) if v is not None}
-    fresh = {
-        c: F.get("__filled", F.lit(i)).alias(c) for i, c in enumerate(columns) if i in observed
-    }
-    return df.join(filled, KEY).select(*[fresh.get(c, F.col(f"`{c}`")) for c in df.columns])
+    fresh = {c: v for i, (c, v) in enumerate(S.unpack("__filled", columns).items()) if i in observed}
+    return replace_columns(df.join(filled, KEY).select(*df.columns, "__filled"), fresh, ["__filled"])
 
 
 def _matrix(rows: pd.Series, width: int) -> np.ndarray:

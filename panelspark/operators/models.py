@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.operators.density import dbscan
-from panelspark.schema import CLASSES, KEY, TARGET
+from panelspark.schema import CLASSES, KEY, TARGET, quoted
 
 SEED = 42
 FEATURES, LABEL, PREDICTION = "features", "label", "prediction"
@@ -57,7 +57,7 @@ def assemble(df: DataFrame, columns: list[str], target: str = TARGET, keep: tupl
     filled = df.select(
         *[k for k in keep if k in df.columns],
         class_index(F.col(target)).alias(LABEL),
-        *[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(f"__f{i}") for i, c in enumerate(columns)],
+        *[F.expr(f"coalesce(double({quoted(c)}), 0D) AS __f{i}") for i, c in enumerate(columns)],
     )
     names = [f"__f{i}" for i in range(len(columns))]
     return VectorAssembler(inputCols=names, outputCol=FEATURES).transform(filled).drop(*names)

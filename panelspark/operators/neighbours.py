@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelspark.functions import series as S
-from panelspark.schema import KEY, return_columns
+from panelspark.schema import KEY, literal_array, quoted, replace_columns, return_columns
 
 _CANDIDATE = "id long, feature int, distance double, donor long, value double"
 
@@ -40,10 +40,11 @@ def impute_neighbours(
     width = len(columns)
     packed = df.select(KEY, *by, S.pack(columns).alias("r"))
 
+    def each(function: str) -> str:
+        return f"array({', '.join(f'{function}({quoted(c)})' for c in columns)})"
+
     stats = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array(*[F.avg(f"`{c}`") for c in columns]).alias("mean"),
-        F.array(*[F.stddev_samp(f"`{c}`") for c in columns]).alias("std"),
+        F.count(F.lit(1)).alias("n"), F.expr(each("avg")).alias("mean"), F.expr(each("stddev_samp")).alias("std")
     )
     if by:
         rows = packed.join(stats, by)
@@ -51,7 +52,7 @@ def impute_neighbours(
         whole = stats.first()
         rows = packed.withColumns(
             {"n": F.lit(whole["n"])}
-            | {c: F.array(*[F.lit(v).cast("double") for v in whole[c]]) for c in ("mean", "std")}
+            | {c: literal_array(whole[c], "double") for c in ("mean", "std")}
         )
     place = F.sequence(F.lit(0), F.lit(width - 1))
     z = F.transform(
@@ -107,9 +108,8 @@ def impute_neighbours(
             ),
         ).alias("__filled"),
     )
-    joined = df.join(filled, KEY)
-    fresh = dict(zip(columns, S.unpack(F.col("__filled"), columns)))
-    return joined.select(*[fresh.get(c, F.col(f"`{c}`")) for c in df.columns])
+    joined = df.join(filled, KEY).select(*df.columns, "__filled")
+    return replace_columns(joined, S.unpack("__filled", columns), ["__filled"])
 
 
 def _candidates(ids, values, query, donors, k) -> pd.DataFrame:

@@ -12,7 +12,7 @@ from panelspark.functions import series as S
 from panelspark.functions.quantiles import column_quantiles
 from panelspark.functions.sketch import kurtosis, skewness
 from panelspark.operators.features import add_null_profile
-from panelspark.schema import TARGET, return_columns
+from panelspark.schema import TARGET, literal_array, quoted, return_columns
 
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -23,8 +23,7 @@ def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def at_position(values: Sequence, pos: Column | str = "pos", kind: str | None = None) -> Column:
     """Literal looked up by position."""
-    items = F.array(*[F.lit(v).cast(kind) if kind else F.lit(v) for v in values])
-    return F.get(items, F.col(pos) if isinstance(pos, str) else pos)
+    return F.get(literal_array(values, kind), F.col(pos) if isinstance(pos, str) else pos)
 
 
 # --- nulls ------------------------------------------------------------------------------------
@@ -35,7 +34,7 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     columns = list(columns or df.columns)
     counts = df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.array(*[F.count_if(F.col(f"`{c}`").isNull()) for c in columns]).alias("nulls"),
+        F.expr(f"array({', '.join(f'count_if({quoted(c)} IS NULL)' for c in columns)})").alias("nulls"),
     )
     each = counts.select("n", F.posexplode("nulls").alias("pos", "null_count"))
     return each.select(
@@ -45,9 +44,15 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     )
 
 
+def _null_tally(df: DataFrame) -> str:
+    """Missing values of a row over all columns."""
+    flags = ", ".join(f"{quoted(c)} IS NULL" for c in df.columns)
+    return f"size(filter(array({flags}), x -> x))"
+
+
 def table_size(df: DataFrame) -> DataFrame:
     """Rows, columns and missing values in total."""
-    nulls = sum((F.col(f"`{c}`").isNull().cast("long") for c in df.columns), F.lit(0))
+    nulls = F.expr(f"bigint({_null_tally(df)})")
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.lit(len(df.columns)).alias("n_columns"),
@@ -57,7 +62,7 @@ def table_size(df: DataFrame) -> DataFrame:
 
 def null_bands(df: DataFrame, bands: Sequence[int] = (30, 50)) -> DataFrame:
     """Rows with any gap and rows above each percentage of gaps, as count and percent of all rows."""
-    any_gap = sum((F.col(f"`{c}`").isNull().cast("int") for c in df.columns), F.lit(0)) > 0
+    any_gap = F.expr(f"{_null_tally(df)} > 0")
     marked = add_null_profile(df.withColumn("__any", any_gap))
     n = F.count(F.lit(1))
     counts = {"any_null": F.count_if("__any")}

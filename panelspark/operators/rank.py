@@ -13,7 +13,7 @@ from panelspark.functions.quantiles import column_quantiles
 from panelspark.functions.sketch import f_tail
 from panelspark.operators.correlate import target_correlations
 from panelspark.operators.profile import at_position
-from panelspark.schema import TARGET
+from panelspark.schema import TARGET, literal_array
 
 
 def _ranked(scores: DataFrame, method: str, top_n: int | None = None, *extra: str) -> DataFrame:
@@ -81,9 +81,7 @@ def mutual_information(df: DataFrame, columns: Sequence[str], target: str = TARG
     columns = list(columns)
     labelled = df.where(F.col(target).isNotNull())
     cuts = column_quantiles(labelled, columns, [i / bins for i in range(1, bins)])
-    edges = F.array(*[
-        F.array(*[F.lit(float(e)) for e in sorted(set(cuts[c])) if e is not None]).cast("array<double>") for c in columns
-    ])
+    edges = F.array(*[literal_array(sorted({float(e) for e in cuts[c] if e is not None}), "double") for c in columns])
     values = labelled.select(F.col(target).alias("class"), F.posexplode(S.pack(columns)).alias("pos", "value"))
     x = F.col("value")
     cell = F.size(F.filter(F.get(edges, F.col("pos")), lambda e: e < x))

@@ -8,11 +8,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelspark.functions.quantiles import column_quantiles
 from panelspark.functions.sketch import normal_quantile
+from panelspark.schema import literal, quoted, replace_columns
 
 SCALERS = ("standard", "minmax", "robust", "quantile")
 
@@ -25,10 +25,9 @@ class LinearScaler:
     scale: dict[str, float | None]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        def scaled(c: str):
-            return ((F.col(f"`{c}`") - F.lit(self.centre[c]).cast("double")) / F.lit(self.scale[c] or 1.0)).alias(c)
-
-        return df.select(*[scaled(c) if c in self.centre else F.col(f"`{c}`") for c in df.columns])
+        return replace_columns(df, {
+            c: f"({quoted(c)} - double({literal(m)})) / {literal(float(self.scale[c] or 1.0))}" for c, m in self.centre.items()
+        })
 
 
 @dataclass(frozen=True)
@@ -70,12 +69,12 @@ def fit_scaler(kind: str | None, df: DataFrame, columns: Sequence[str], n_knots:
         return None
     columns = list(columns)
     if kind == "standard":
-        row = df.agg(*[f(f"`{c}`").alias(f"{f.__name__}_{i}") for i, c in enumerate(columns) for f in (F.avg, F.stddev_pop)]).first()
+        row = df.selectExpr(*[f"{f}({quoted(c)})" for c in columns for f in ("avg", "stddev_pop")]).first()
         return LinearScaler(
             {c: row[2 * i] for i, c in enumerate(columns)}, {c: row[2 * i + 1] for i, c in enumerate(columns)}
         )
     if kind == "minmax":
-        row = df.agg(*[f(f"`{c}`").alias(f"{f.__name__}_{i}") for i, c in enumerate(columns) for f in (F.min, F.max)]).first()
+        row = df.selectExpr(*[f"{f}({quoted(c)})" for c in columns for f in ("min", "max")]).first()
         span = {c: (row[2 * i], row[2 * i + 1]) for i, c in enumerate(columns)}
         return LinearScaler(
             {c: None if lo is None else float(lo) for c, (lo, _) in span.items()},
@@ -90,8 +89,9 @@ def fit_scaler(kind: str | None, df: DataFrame, columns: Sequence[str], n_knots:
     if kind == "quantile":
         # Knots from a mergeable sketch: fixed-size state however many rows there are.
         steps = [i / (n_knots - 1) for i in range(n_knots)]
-        row = df.agg(
-            *[F.percentile_approx(F.col(f"`{c}`").cast("double"), steps, 20 * n_knots).alias(f"q{i}") for i, c in enumerate(columns)]
+        wanted = f"array({', '.join(map(literal, steps))})"
+        row = df.selectExpr(
+            *[f"percentile_approx(double({quoted(c)}), {wanted}, {20 * n_knots})" for c in columns]
         ).first()
         return NormalQuantileScaler({c: list(row[i]) for i, c in enumerate(columns) if row[i] is not None})
     raise ValueError(f"unknown scaler {kind!r}, expected one of {SCALERS}")

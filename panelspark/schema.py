@@ -7,8 +7,9 @@ schema, so no Spark job is started.
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,10 +74,45 @@ def label_schema() -> T.StructType:
     return T.StructType([T.StructField(KEY, T.LongType()), T.StructField(TARGET, T.IntegerType())])
 
 
-def as_number(name: str) -> Column:
+# Expressions over dozens of columns are written as SQL text: building them Column by Column costs
+# a call into the JVM for every node.
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def number_sql(name: str) -> str:
     """Column as double; text that is no number and NaN become NULL."""
-    x = F.col(f"`{name}`").try_cast("double")
-    return F.when(~F.isnan(x), x)
+    return f"nanvl(try_cast({quoted(name)} AS DOUBLE), CAST(NULL AS DOUBLE))"
+
+
+def as_number(name: str) -> Column:
+    return F.expr(number_sql(name))
+
+
+def literal(value) -> str:
+    """SQL literal of a plain Python value, exact for doubles."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).upper()
+    if isinstance(value, float):
+        return f"{value!r}D" if math.isfinite(value) else f"double('{value}')"
+    if isinstance(value, int):
+        return str(value)
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal_array(values: Sequence, kind: str | None = None) -> Column:
+    items = f"array({', '.join(literal(v) for v in values)})"
+    return F.expr(f"CAST({items} AS ARRAY<{kind}>)" if kind else items)
+
+
+def replace_columns(df: DataFrame, new: Mapping[str, str], drop: Sequence[str] = ()) -> DataFrame:
+    """Put SQL expressions in the place of existing columns, keeping the order."""
+    names = [c for c in df.columns if c not in drop]
+    return df.selectExpr(*[f"{new.get(c, quoted(c))} AS {quoted(c)}" for c in names])
 
 
 def is_numeric(df: DataFrame, name: str) -> bool:
@@ -85,5 +121,5 @@ def is_numeric(df: DataFrame, name: str) -> bool:
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Parse the given columns as double where they are not numeric yet; bad values become NULL."""
-    wanted = {c: as_number(c) for c in columns if c in df.columns and not is_numeric(df, c)}
-    return df.withColumns(wanted) if wanted else df
+    wanted = {c: number_sql(c) for c in columns if c in df.columns and not is_numeric(df, c)}
+    return replace_columns(df, wanted) if wanted else df

@@ -55,7 +55,8 @@ def panel(spark: SparkSession, sf_dir: str, replicas: int = 1) -> DataFrame:
     """Wide form: ID, day, equity, r0..r52, reod."""
     columns = [f"r{i}" for i in range(N_INTERVALS)]
     arrays = panel_arrays(spark, sf_dir, replicas)
-    return arrays.select(KEY, "day", "equity", *S.unpack(F.col("r"), columns), TARGET)
+    wide = [f"{v} AS {c}" for c, v in S.unpack("r", columns).items()]
+    return arrays.selectExpr(KEY, "day", "equity", *wide, TARGET)
 
 
 def split_by_key(df: DataFrame) -> tuple[DataFrame, DataFrame]:
