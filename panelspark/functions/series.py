@@ -7,7 +7,7 @@ NULL (see :func:`present`).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,6 +15,15 @@ from pyspark.sql import functions as F
 from panelspark.schema import number_sql, quoted
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    A lambda recomputes every expression it captures for each element, and the optimizer may
+    inline an earlier projection into it; a lambda variable is computed once.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def missing() -> Column:
     return F.lit(None).cast("double")
 
@@ -50,12 +59,12 @@ def mean(v: Column) -> Column:
 def spread(v: Column, centre: Column) -> Column:
     """Sample standard deviation about ``centre``, NULL under two values. Two passes, for accuracy."""
     n = F.size(v)
-    squares = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + (x - centre) * (x - centre))
+    squares = let(centre, lambda c: F.aggregate(v, F.lit(0.0), lambda acc, x: acc + (x - c) * (x - c)))
     return F.when(n > 1, F.sqrt(squares / (n - 1)))
 
 
 def std(v: Column) -> Column:
-    return spread(v, mean(v))
+    return let(v, lambda w: spread(w, mean(w)))
 
 
 def head(r: Column, w: int) -> Column:
@@ -78,13 +87,16 @@ def last_lag_difference(r: Column, lag: int) -> Column:
 
 def slope(r: Column) -> Column:
     """Least-squares slope over positions 0, 1, ...; missing entries are left out; NULL under two points."""
-    at = observed_positions(r)
-    n = F.size(at)
-    sx = F.aggregate(at, F.lit(0.0), lambda acc, i: acc + i)
-    sxx = F.aggregate(at, F.lit(0.0), lambda acc, i: acc + i * i)
-    sy = total(present(r))
-    sxy = F.aggregate(at, F.lit(0.0), lambda acc, i: acc + i * F.get(r, i))
-    return F.when(n > 1, (n * sxy - sx * sy) / (n * sxx - sx * sx))
+
+    def fit(row: Column, at: Column) -> Column:
+        n = F.size(at)
+        sx = F.aggregate(at, F.lit(0.0), lambda acc, i: acc + i)
+        sxx = F.aggregate(at, F.lit(0.0), lambda acc, i: acc + i * i)
+        sy = total(present(row))
+        sxy = F.aggregate(at, F.lit(0.0), lambda acc, i: acc + i * F.get(row, i))
+        return F.when(n > 1, (n * sxy - sx * sy) / (n * sxx - sx * sx))
+
+    return let(r, lambda row: let(observed_positions(row), lambda at: fit(row, at)))
 
 
 def observed_positions(r: Column) -> Column:
@@ -176,7 +188,8 @@ FILLS = {
 
 def normalise(r: Column, centre: Column, scale: Column, eps: float = 1e-8) -> Column:
     """(x - centre) / (scale + eps) with missing results as 0."""
-    return F.transform(r, lambda x: F.coalesce((x - centre) / (scale + F.lit(eps)), F.lit(0.0)))
+    by = F.struct(centre.alias("centre"), (scale + F.lit(eps)).alias("scale"))
+    return let(by, lambda s: F.transform(r, lambda x: F.coalesce((x - s["centre"]) / s["scale"], F.lit(0.0))))
 
 
 def zero_filled(r: Column) -> Column:
@@ -189,13 +202,19 @@ def cumulative(x: Column, n: int, block: int = 8) -> Column:
     Sums inside blocks of ``block`` entries and adds the sum of the earlier blocks, so a row
     costs about ``n * (block + n / block) / 2`` additions.
     """
-    starts = F.sequence(F.lit(0), F.lit(max(n - 1, 0)), F.lit(block))
-    before = F.transform(starts, lambda s: total(F.slice(x, F.lit(1), s)))
+    starts = F.sequence(F.lit(0), F.lit(n - 1), F.lit(block))
     where = F.sequence(F.lit(0), F.lit(n - 1))
-    return F.transform(
-        where,
-        lambda i: F.get(before, F.floor(i / block).cast("int"))
-        + total(F.slice(x, (i - i % block + 1).cast("int"), (i % block + 1).cast("int"))),
+
+    def sums(row: Column, before: Column) -> Column:
+        # i - i % block is where the block of i starts
+        return F.transform(
+            where,
+            lambda i: F.get(before, F.call_function("div", i, F.lit(block)).cast("int"))
+            + total(F.slice(row, i - i % block + 1, i % block + 1)),
+        )
+
+    return let(
+        x, lambda row: let(F.transform(starts, lambda s: total(F.slice(row, F.lit(1), s))), lambda b: sums(row, b))
     )
 
 

@@ -108,10 +108,9 @@ def class_scores(model, df: DataFrame) -> DataFrame:
     if "probability" in scored.columns:
         return scored.withColumn("scores", vector_to_array("probability"))
     raw = vector_to_array("rawPrediction")
-    exp = F.transform(raw, lambda v: F.exp(v - F.array_max(raw)))
-    return scored.withColumn("__exp", exp).withColumn(
-        "scores", F.transform("__exp", lambda v: v / S.total(F.col("__exp")))
-    ).drop("__exp")
+    exp = S.let(raw, lambda row: S.let(F.array_max(row), lambda top: F.transform(row, lambda v: F.exp(v - top))))
+    share = S.let(exp, lambda e: S.let(S.total(e), lambda all_: F.transform(e, lambda v: v / all_)))
+    return scored.withColumn("scores", share)
 
 
 # --- Shapley values ---------------------------------------------------------------------------

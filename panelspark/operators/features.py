@@ -95,8 +95,9 @@ def add_financial_features(df: DataFrame) -> DataFrame:
         if n >= w:
             features[f"volatility_{w}"] = S.std(S.present(S.head(r, w)))
     if n >= 20:
-        first = S.present(S.head(r, 20))
-        features["sharpe_ratio"] = S.mean(first) / (S.std(first) + F.lit(1e-8))
+        features["sharpe_ratio"] = S.let(
+            S.present(S.head(r, 20)), lambda v: S.let(S.mean(v), lambda m: m / (S.spread(v, m) + F.lit(1e-8)))
+        )
     if n >= 40:
         recent, old = S.present(F.slice(r, 31, 10)), S.present(F.slice(r, 11, 10))
         features["momentum"] = S.mean(recent) - S.mean(old)
@@ -147,9 +148,11 @@ def normalise_rows_plain(df: DataFrame) -> DataFrame:
     columns = return_columns(df)
     out = df.withColumn(_ROW, S.zero_filled(S.pack(columns)))
     out = out.withColumn(_MEAN, S.mean(F.col(_ROW)))
-    out = out.withColumn("__scale", S.spread(F.col(_ROW), F.col(_MEAN)))
-    out = out.withColumn(_ROW, F.transform(_ROW, lambda x: F.try_divide(x - F.col(_MEAN), F.col("__scale"))))
-    return replace_columns(out, S.unpack(_ROW, columns), (*_SCRATCH, "__scale"))
+    scale = S.spread(F.col(_ROW), F.col(_MEAN))
+    out = out.withColumn(
+        _ROW, S.let(scale, lambda s: F.transform(_ROW, lambda x: F.try_divide(x - F.col(_MEAN), s)))
+    )
+    return replace_columns(out, S.unpack(_ROW, columns), _SCRATCH)
 
 
 def fill_rows(df: DataFrame, method: str, columns: Sequence[str] | None = None) -> DataFrame:
