@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from workload import rows  # noqa: F401
+from workload import profiles, rows  # noqa: F401
