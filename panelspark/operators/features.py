@@ -146,15 +146,19 @@ def normalise_rows(df: DataFrame) -> DataFrame:
 def normalise_rows_plain(df: DataFrame) -> DataFrame:
     """Same without the epsilon, after zero filling; a constant row becomes missing."""
     columns = return_columns(df)
-    out = df.withColumn(_ROW, S.zero_filled(S.pack(columns)))
-    out = out.withColumn(_MEAN, S.mean(F.col(_ROW)))
-    scale = S.spread(F.col(_ROW), F.col(_MEAN))
-    out = out.withColumn(
-        _ROW, S.let(scale, lambda s: F.transform(_ROW, lambda x: F.try_divide(x - F.col(_MEAN), s)))
-    )
+    out = with_plain_row(df, columns, _ROW)
     return replace_columns(out, S.unpack(_ROW, columns), _SCRATCH)
 
 
+def with_plain_row(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """Add the row of :func:`normalise_rows_plain` as an array."""
+    out = df.withColumn(name, S.zero_filled(S.pack(columns)))
+    out = out.withColumn(_MEAN, S.mean(F.col(name)))
+    scale = S.spread(F.col(name), F.col(_MEAN))
+    scaled = S.let(scale, lambda s: F.transform(name, lambda x: F.try_divide(x - F.col(_MEAN), s)))
+    return out.withColumn(name, scaled).drop(_MEAN)
+
+
 def fill_rows(df: DataFrame, method: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Fill gaps along each row. ``method``: see :data:`panelspark.functions.series.FILLS`."""
     if method not in S.FILLS:

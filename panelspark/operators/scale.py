@@ -24,6 +24,10 @@ class LinearScaler:
     centre: dict[str, float | None]
     scale: dict[str, float | None]
 
+    def renamed(self, names: dict[str, str]) -> LinearScaler:
+        """The same scaler for columns of other names."""
+        return LinearScaler(*[{names[c]: v for c, v in side.items()} for side in (self.centre, self.scale)])
+
     def transform(self, df: DataFrame) -> DataFrame:
         return replace_columns(df, {
             c: f"({quoted(c)} - double({literal(m)})) / {literal(float(self.scale[c] or 1.0))}" for c, m in self.centre.items()
@@ -40,6 +44,9 @@ class NormalQuantileScaler:
 
     knots: dict[str, list[float]]
 
+    def renamed(self, names: dict[str, str]) -> NormalQuantileScaler:
+        return NormalQuantileScaler({names[c]: v for c, v in self.knots.items()})
+
     def transform(self, df: DataFrame) -> DataFrame:
         columns = [c for c in df.columns if c in self.knots]
         fitted = {c: np.asarray(self.knots[c], dtype=float) for c in columns}

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.operators.correlate import correlation_matrix, extremes, target_correlations
-from panelspark.operators.features import normalise_rows_plain
+from panelspark.operators.features import with_plain_row
 from panelspark.operators.profile import at_position, column_stats, long_values
 from panelspark.operators.reduce import components_needed
 from panelspark.operators.results import importance_share
 from panelspark.operators.scale import fit_scaler
-from panelspark.schema import TARGET, feature_groups, return_columns
+from panelspark.schema import TARGET, feature_groups, quoted, return_columns
 
 
 def _stack(parts: Sequence[DataFrame]) -> DataFrame:
@@ -64,31 +64,50 @@ def group_profile(df: DataFrame, groups: Mapping[str, Sequence[str]] | None = No
     return out
 
 
-def normalised_versions(df: DataFrame) -> dict[str, DataFrame]:
-    """The zero-filled panel under each normalisation."""
-    columns = return_columns(df)
-    filled = df.na.fill(0.0, columns)
-    return {
-        "original": filled,
-        "standard": fit_scaler("standard", filled, columns).transform(filled),
-        "robust": fit_scaler("robust", filled, columns).transform(filled),
-        "quantile": fit_scaler("quantile", filled, columns).transform(filled),
-        "row": normalise_rows_plain(filled),
-    }
+NORMALISATIONS = ("original", "standard", "robust", "quantile", "row")
+
+
+def normalised_columns(df: DataFrame, columns: Sequence[str], methods: Sequence[str] = NORMALISATIONS) -> DataFrame:
+    """Chosen columns of the zero-filled panel under each normalisation, named ``<method>:<column>``."""
+    returns = return_columns(df)
+    filled = with_plain_row(df.na.fill(0.0, returns), returns, "__row").select(*columns, "__row")
+    out = filled
+    for method in methods:
+        name = {c: f"{method}:{c}" for c in columns}
+        if method == "original":
+            copies = {n: quoted(c) for c, n in name.items()}
+        elif method == "row":
+            copies = {n: f"get(__row, {returns.index(c)})" for c, n in name.items()}
+        else:
+            copies = {n: quoted(c) for c, n in name.items()}
+        out = out.selectExpr("*", *[f"{v} AS {quoted(n)}" for n, v in copies.items()])
+        if method in ("standard", "robust", "quantile"):
+            out = fit_scaler(method, filled, columns).renamed(name).transform(out)
+    return out.drop(*columns, "__row")
 
 
 def compare_normalisations(
-    df: DataFrame, columns: Sequence[str], methods: Sequence[str] | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(statistics, correlations) of chosen columns under every normalisation."""
-    versions = normalised_versions(df)
-    versions = {m: v for m, v in versions.items() if methods is None or m in methods}
-    stats = _stack([
-        column_stats(v, columns, method=m).select("method", "column", "mean", "median", "std", "skewness", "kurtosis")
-        for m, v in versions.items()
+    df: DataFrame, columns: Sequence[str], methods: Sequence[str] = NORMALISATIONS
+) -> DataFrame:
+    """(method, column, mean, median, std, skewness, kurtosis), all normalisations in one pass after fitting."""
+    wide = normalised_columns(df, columns, methods)
+    parts = F.split("column", ":")
+    return column_stats(wide, wide.columns).select(
+        parts[0].alias("method"), parts[1].alias("column"), "mean", "median", "std", "skewness", "kurtosis"
+    )
+
+
+def correlations_by_normalisation(
+    df: DataFrame, columns: Sequence[str], methods: Sequence[str] = NORMALISATIONS
+) -> DataFrame:
+    """(method, var1, var2, corr) of chosen columns under each normalisation."""
+    wide = normalised_columns(df, columns, methods)
+    return _stack([
+        correlation_matrix(wide.selectExpr(*[f"{quoted(f'{m}:{c}')} AS {quoted(c)}" for c in columns]), columns).select(
+            F.lit(m).alias("method"), "*"
+        )
+        for m in methods
     ])
-    corr = _stack([correlation_matrix(v, columns).select(F.lit(m).alias("method"), "*") for m, v in versions.items()])
-    return stats, corr
 
 
 def pivot_normalisations(stats: DataFrame, methods: Sequence[str]) -> DataFrame:

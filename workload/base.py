@@ -14,7 +14,10 @@ from pyspark.sql import types as T
 
 from panelspark.functions import series as S
 from panelspark.schema import KEY, literal, quoted, replace_columns
+from panelspark.operators.impute import keep_observed_rows
 from panelspark.sources.derived import panel, split_by_key
+from panelspark.sources.scratch import scratch_path
+from panelspark.sources.tables import write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,6 +59,27 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 # --- Spark inputs -----------------------------------------------------------------------------
 
 
+_stored: dict[tuple[str, str], str] = {}
+
+
+def stored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived panel as a table in the shared folder, written once per session and folder.
+
+    For queries that need several passes; it reads back with column pruning and row counts from
+    the footers, and a lost executor costs a re-read only.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        path = scratch_path(spark, "panel")
+        write_parquet(panel(spark, sf_dir), path)
+        _stored[key] = path
+    return spark.read.parquet(_stored[key])
+
+
+def stored_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keep_observed_rows(stored_panel(spark, sf_dir))
+
+
 def packed(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """(ID, extra..., pos, value): the returns of a wide panel in long form, to compare cell by cell."""
     return df.select(KEY, *extra, F.posexplode(S.pack(RETURNS)).alias("pos", "value"))

@@ -15,10 +15,9 @@ from panelspark.operators.sampling import split_rows
 from panelspark.operators.scale import fit_scaler
 from panelspark.plans import findings as G
 from panelspark.schema import KEY, TARGET
-from panelspark.sources.derived import panel
+from panelspark.sources.derived import panel, split_by_key
 from panelspark.sources.tables import sorted_output
-from workload.base import RETURNS, mixed_fill, num, nums, packed, query, sql, whole, wholes
-from workload.rows import kept
+from workload.base import RETURNS, mixed_fill, num, nums, packed, query, sql, stored_kept, stored_panel, whole, wholes
 
 CHOSEN = ["r0", "r10", "r25", "r40", "r52"]
 LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -32,7 +31,7 @@ def lineitem(spark, sf_dir) -> DataFrame:
 
 
 def strategies(spark, sf_dir) -> dict[str, DataFrame]:
-    df = kept(spark, sf_dir)
+    df = stored_kept(spark, sf_dir)
     return {"raw": df, "ffbf": fill_rows(df, "ffill_then_bfill")}
 
 
@@ -276,7 +275,7 @@ def spread_sql(c: str, name: str) -> str:
     sql(f"SELECT 'returns' AS \"group\", count(*) AS n_features, {whole('sum(missing)', 'missing')}, {spread_sql('m', 'mean')}, {spread_sql('s', 'std')} FROM cs", COLSTAT),
 )
 def a18(spark, sf_dir):
-    return G.group_profile(panel(spark, sf_dir))["stats"]
+    return G.group_profile(stored_panel(spark, sf_dir))["stats"]
 
 
 @query(
@@ -284,7 +283,7 @@ def a18(spark, sf_dir):
     sql(f"SELECT 'returns' AS \"group\", {num('avg(abs(c))', 'mean_abs_corr')} FROM tc", TARGET_CORR),
 )
 def a18_target(spark, sf_dir):
-    return G.group_profile(panel(spark, sf_dir))["target"]
+    return G.group_profile(stored_panel(spark, sf_dir))["target"]
 
 
 VERSIONS = f"""fz AS (SELECT "ID", pos, coalesce(value, 0) AS value FROM raw),
@@ -301,12 +300,12 @@ NORM_STATS = sql(f"SELECT method, {NAME}, {FIVE} FROM versions WHERE pos IN (0,
 
 @query("a20_compare_normalisations", NORM_STATS)
 def a20(spark, sf_dir):
-    return G.compare_normalisations(kept(spark, sf_dir), CHOSEN, EXACT_METHODS)[0]
+    return G.compare_normalisations(stored_kept(spark, sf_dir), CHOSEN, EXACT_METHODS)
 
 
 @query("a20_c4_quantile_normalisation")
 def a20_quantile(spark, sf_dir):
-    return G.compare_normalisations(kept(spark, sf_dir), CHOSEN, ["quantile"])[0]
+    return G.compare_normalisations(stored_kept(spark, sf_dir), CHOSEN, ["quantile"])
 
 
 @query(
@@ -317,7 +316,7 @@ def a20_quantile(spark, sf_dir):
     ) + " FROM versions WHERE pos IN (0, 10, 25, 40, 52) GROUP BY pos", f"{RAW}, {VERSIONS}"),
 )
 def a16b(spark, sf_dir):
-    stats, _ = G.compare_normalisations(kept(spark, sf_dir), CHOSEN, EXACT_METHODS)
+    stats = G.compare_normalisations(stored_kept(spark, sf_dir), CHOSEN, EXACT_METHODS)
     return G.pivot_normalisations(stats, EXACT_METHODS)
 
 
@@ -333,9 +332,7 @@ def _scaler_query(name: str, kind: str, centre: str, scale: str):
     @query(name, sql(f"SELECT {wholes('ID', 'pos')}, {num(expression, 'value')} FROM tst JOIN fit USING (pos)", FITTED))
     def run(spark, sf_dir):
         """Fitted on the training keys, applied to the test keys."""
-        from workload.base import train_test
-
-        train, test = (df.na.fill(0.0, RETURNS) for df in train_test(spark, sf_dir))
+        train, test = (df.na.fill(0.0, RETURNS) for df in split_by_key(stored_panel(spark, sf_dir)))
         return packed(fit_scaler(kind, train, RETURNS).transform(test))
 
 
@@ -346,9 +343,7 @@ _scaler_query("c3_robust_scaler", "robust", "q", "(b - a)")
 
 @query("c4_quantile_scaler")
 def c4(spark, sf_dir):
-    from workload.base import train_test
-
-    train, test = (df.na.fill(0.0, RETURNS) for df in train_test(spark, sf_dir))
+    train, test = (df.na.fill(0.0, RETURNS) for df in split_by_key(stored_panel(spark, sf_dir)))
     return packed(fit_scaler("quantile", train, RETURNS).transform(test))
 
 
@@ -412,7 +407,7 @@ METHODS = ["correlation", "f_value", "mutual_info"]
 def three_rankings(spark, sf_dir) -> DataFrame:
     from panelspark.plans.selection import rank_all
 
-    return rank_all(panel(spark, sf_dir), RETURNS)
+    return rank_all(stored_panel(spark, sf_dir), RETURNS)
 
 
 @query(
@@ -498,7 +493,7 @@ def e9(spark, sf_dir):
 
     from panelspark.operators.reduce import running_total
 
-    df = panel(spark, sf_dir)
+    df = stored_panel(spark, sf_dir)
     share = P.long_values(df, RETURNS).groupBy("pos").agg(F.avg(F.col("value") * F.col("value")).alias("m"))
     curve = share.select((F.col("pos") + 1).alias("component"), (F.col("m") / F.sum("m").over(W.partitionBy())).alias("ratio"))
     strong = C.strong_pairs(C.correlation_matrix(df, RETURNS, fill=0.0), RETURNS, 0.1)
