@@ -98,7 +98,7 @@ def fit_scaler(kind: str | None, df: DataFrame, columns: Sequence[str], n_knots:
         steps = [i / (n_knots - 1) for i in range(n_knots)]
         wanted = f"array({', '.join(map(literal, steps))})"
         row = df.selectExpr(
-            *[f"percentile_approx(double({quoted(c)}), {wanted}, {20 * n_knots})" for c in columns]
+            *[f"percentile_approx(double({quoted(c)}), {wanted}, {10 * n_knots})" for c in columns]
         ).first()
         return NormalQuantileScaler({c: list(row[i]) for i, c in enumerate(columns) if row[i] is not None})
     raise ValueError(f"unknown scaler {kind!r}, expected one of {SCALERS}")

@@ -91,5 +91,5 @@ def split_segments(texts: DataFrame) -> DataFrame:
         (F.col("here") + F.col("before")).alias("cell"),
         F.coalesce("kind_here", "kind_before", F.lit("code")).alias("kind"),
     ).agg(F.array_sort(F.collect_list(F.struct("part", "line", "content"))).alias("lines"))
-    text = F.regexp_replace(F.array_join(F.col("lines.content"), "\n"), r"^\n+|\n+$", "")
+    text = F.regexp_replace(F.array_join(F.col("lines.content"), "\n"), r"\A\n+|\n+\z", "")
     return cells.select("doc", "cell", "kind", text.alias("text")).where(F.col("text") != "")
