@@ -76,7 +76,7 @@ def impute_neighbours(
         "block",
     )
 
-    def nearest(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def nearest(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         lo, hi = key[-2], key[-1]
         ids, block = frame["id"].to_numpy(), frame["block"].to_numpy()
         values = np.array(frame["z"].tolist(), dtype=float).reshape(len(frame), width)

@@ -19,22 +19,21 @@ BY = ["dataset", "model", "features_added"]
 def predictions(spark, sf_dir) -> DataFrame:
     """(dataset, model, features_added, ID, actual, predicted). ``features_added`` marks the cautious version."""
     kept = stored_kept(spark, sf_dir)
-    out = None
-    for key, df in (("raw", kept), ("ffbf", fill_rows(kept, "ffill_then_bfill"))):
-        featured = add_financial_features(add_features(df))
-        votes = []
-        for rule, (column, least) in RULES.items():
-            x = F.coalesce(column, F.lit(0.0))
-            sign = F.signum(x).cast("int")
-            votes.append((rule, False, sign))
-            votes.append((rule, True, F.when(F.abs(x) > least, sign).otherwise(0)))
-        rows = F.explode(F.array(*[
-            F.struct(F.lit(r).alias("model"), F.lit(f).alias("features_added"), v.alias("predicted")) for r, f, v in votes
-        ])).alias("v")
-        part = featured.select(F.lit(key).alias("dataset"), KEY, F.col(TARGET).alias("actual"), rows)
-        part = part.select("dataset", "v.model", "v.features_added", KEY, "actual", "v.predicted")
-        out = part if out is None else out.unionByName(part)
-    return out
+    both = kept.select(F.lit("raw").alias("dataset"), "*").unionByName(
+        fill_rows(kept, "ffill_then_bfill").select(F.lit("ffbf").alias("dataset"), "*")
+    )
+    featured = add_financial_features(add_features(both))
+    votes = []
+    for rule, (column, least) in RULES.items():
+        x = F.coalesce(column, F.lit(0.0))
+        sign = F.signum(x).cast("int")
+        votes.append((rule, False, sign))
+        votes.append((rule, True, F.when(F.abs(x) > least, sign).otherwise(0)))
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(r).alias("model"), F.lit(f).alias("features_added"), v.alias("predicted")) for r, f, v in votes
+    ])).alias("v")
+    part = featured.select("dataset", KEY, F.col(TARGET).alias("actual"), rows)
+    return part.select("dataset", "v.model", "v.features_added", KEY, "actual", "v.predicted")
 
 
 def tracker(spark, sf_dir) -> DataFrame:
