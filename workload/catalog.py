@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from workload import files, outcomes, profiles, rows  # noqa: F401
+from workload import files, learning, outcomes, profiles, rows  # noqa: F401
