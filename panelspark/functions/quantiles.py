@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from panelspark.schema import literal, quoted
@@ -35,24 +35,21 @@ def column_quantiles(
     if not columns:
         return {}
     source = df.selectExpr(*[f"double({quoted(c)}) AS c{i}" for i, c in enumerate(columns)])
-    if _more_rows_than(source, single_pass_rows):
-        return _by_counting(source, columns, probabilities)
+    names = [f"c{i}" for i in range(len(columns))]
+    bounds = source.selectExpr(
+        *[f"{f}({n}) AS {k}_{n}" for n in names for k, f in (("n", "count"), ("lo", "min"), ("hi", "max"))]
+    ).first()
+    if max(bounds[f"n_{n}"] for n in names) > single_pass_rows:
+        return _by_counting(source, columns, probabilities, bounds)
     wanted = f"array({', '.join(map(literal, probabilities))})"
-    row = source.selectExpr(*[f"percentile(c{i}, {wanted})" for i in range(len(columns))]).first()
+    row = source.selectExpr(*[f"percentile({n}, {wanted})" for n in names]).first()
     return {c: list(row[i]) if row[i] is not None else [None] * len(probabilities) for i, c in enumerate(columns)}
 
 
-def _more_rows_than(df: DataFrame, limit: int) -> bool:
-    # A limited count stops early on large inputs and runs on footers only for bare parquet.
-    return df.select(F.lit(1)).limit(limit + 1).count() > limit if limit > 0 else True
-
-
-def _by_counting(source: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[float | None]]:
-    width = len(columns)
-    names = [f"c{i}" for i in range(width)]
-    bounds = source.selectExpr(
-        *[f"{f}({n}) AS {k}_{n}" for n in names for k, f in (("n", "count"), ("lo", "min"), ("hi", "max"))]
-    ).first()
+def _by_counting(
+    source: DataFrame, columns: list[str], probabilities: list[float], bounds: Row
+) -> dict[str, list[float | None]]:
+    names = [f"c{i}" for i in range(len(columns))]
     counts = [bounds[f"n_{n}"] for n in names]
     # A target is one order statistic: (column, 0-based rank). Its bracket shrinks every pass.
     found: dict[tuple[int, int], float] = {}

@@ -52,10 +52,12 @@ def join_segments(
 
 
 def split_segments(texts: DataFrame) -> DataFrame:
-    """(doc, cell, kind, text) from marked text (doc, part, text).
+    """(doc, cell, part, kind, text) from marked text (doc, part, text).
 
     A marker line closes the running segment and gives the next one its kind; text before the
-    first marker is code; blank lines at both ends are cut; empty segments are dropped.
+    first marker is code; blank lines at both ends are cut; empty segments are dropped. A segment
+    that runs over several parts comes as one row per part, in part order, so that no row is
+    longer than the text it came from.
     """
     # A part ends with a line break; what follows it is no line unless it has content.
     n = F.size(F.split(F.col("text"), "\n", -1))
@@ -86,10 +88,21 @@ def split_segments(texts: DataFrame) -> DataFrame:
         F.last("final", ignorenulls=True).over(order).alias("kind_before"),
     )
     placed = local.where(F.col("marker").isNull()).join(parts, ["doc", "part"])
-    cells = placed.groupBy(
+    placed = placed.select(
         "doc",
         (F.col("here") + F.col("before")).alias("cell"),
         F.coalesce("kind_here", "kind_before", F.lit("code")).alias("kind"),
-    ).agg(F.array_sort(F.collect_list(F.struct("part", "line", "content"))).alias("lines"))
-    text = F.regexp_replace(F.array_join(F.col("lines.content"), "\n"), r"\A\n+|\n+\z", "")
-    return cells.select("doc", "cell", "kind", text.alias("text")).where(F.col("text") != "")
+        "part",
+        "line",
+        "content",
+    )
+    at = F.struct("part", "line")
+    # First and last line with content; a segment without any is dropped by the join.
+    ends = placed.where(F.col("content") != "").groupBy("doc", "cell").agg(
+        F.min(at).alias("first"), F.max(at).alias("last")
+    )
+    body = placed.join(ends, ["doc", "cell"]).where((at >= F.col("first")) & (at <= F.col("last")))
+    pieces = body.groupBy("doc", "cell", "part", "kind").agg(
+        F.array_sort(F.collect_list(F.struct("line", "content"))).alias("lines")
+    )
+    return pieces.select("doc", "cell", "part", "kind", F.array_join(F.col("lines.content"), "\n").alias("text"))

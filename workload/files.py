@@ -127,7 +127,7 @@ def s9(spark, sf_dir):
 
 @query(
     "s10_split_segments",
-    f"""WITH {SEGMENTS} SELECT * FROM (SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY pos) AS cell, kind,
+    f"""WITH {SEGMENTS} SELECT * FROM (SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY pos) AS cell, CAST(pos // 2 AS BIGINT) AS part, kind,
       regexp_replace(b, '^\\n+|\\n+$', '', 'g') AS text FROM body) WHERE text <> ''""",
 )
 def s10(spark, sf_dir):
