@@ -1,108 +1,108 @@
-"""Expressions over one row's series, held as ARRAY<DOUBLE> with NULL for a missing value.
+"""SQL expressions over one row's series, held as ARRAY<DOUBLE> with NULL for a missing value.
 
 All of these work inside a row, so they never shuffle, push no data to Python and can be
-used on batch and on streaming DataFrames alike. Arguments called ``v`` must be free of
-NULL (see :func:`present`).
+used on batch and on streaming DataFrames alike. Arguments and results are SQL text: a feature
+is a few dozen function nodes, and one parse of a text is far cheaper than a JVM call per node.
+Arguments called ``v`` must be free of NULL (see :func:`present`); ``r`` and ``at`` must be
+column or lambda variable names wherever they are used inside a lambda.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from panelspark.schema import number_sql, quoted
 
+NULL = "CAST(NULL AS DOUBLE)"
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once per row.
-
-    A lambda recomputes every expression it captures for each element, and the optimizer may
-    inline an earlier projection into it; a lambda variable is computed once.
-    """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-
-def missing() -> Column:
-    return F.lit(None).cast("double")
+def pack_sql(columns: Sequence[str]) -> str:
+    return f"array({', '.join(number_sql(c) for c in columns)})"
 
 
 def pack(columns: Sequence[str]) -> Column:
     """Wide columns as one array."""
-    return F.expr(f"array({', '.join(number_sql(c) for c in columns)})")
+    return F.expr(pack_sql(columns))
 
 
 def unpack(array_name: str, columns: Sequence[str]) -> dict[str, str]:
-    """SQL expressions that take an array column apart, by the name of the wide column."""
+    """Expressions that take an array column apart, by the name of the wide column."""
     return {c: f"get({quoted(array_name)}, {i})" for i, c in enumerate(columns)}
 
 
-def present(r: Column) -> Column:
-    return F.filter(r, lambda x: x.isNotNull())
+def let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` bound to ``value``, computed once per row.
 
+    A lambda recomputes every expression it captures for each element, and the optimizer may
+    inline an earlier projection into it; a lambda variable is computed once.
+    """
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
-def null_count(r: Column) -> Column:
-    return F.size(F.filter(r, lambda x: x.isNull()))
 
+def present(r: str) -> str:
+    return f"filter({r}, x -> x IS NOT NULL)"
 
-def total(v: Column) -> Column:
-    """Sum; 0.0 for an empty array."""
-    return F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x)
 
+def null_count(r: str) -> str:
+    return f"size(filter({r}, x -> x IS NULL))"
 
-def mean(v: Column) -> Column:
-    n = F.size(v)
-    return F.when(n > 0, total(v) / n)
 
+def total(v: str) -> str:
+    """Sum; 0.0 for an empty array."""
+    return f"aggregate({v}, 0D, (acc, x) -> acc + x)"
 
-def spread(v: Column, centre: Column) -> Column:
-    """Sample standard deviation about ``centre``, NULL under two values. Two passes, for accuracy."""
-    n = F.size(v)
-    squares = let(centre, lambda c: F.aggregate(v, F.lit(0.0), lambda acc, x: acc + (x - c) * (x - c)))
-    return F.when(n > 1, F.sqrt(squares / (n - 1)))
 
+def squares(v: str) -> str:
+    return f"aggregate({v}, 0D, (acc, x) -> acc + x * x)"
 
-def std(v: Column) -> Column:
-    return let(v, lambda w: spread(w, mean(w)))
 
+def mean(v: str) -> str:
+    return let("w", v, f"if(size(w) > 0, {total('w')} / size(w), NULL)")
 
-def head(r: Column, w: int) -> Column:
-    return F.slice(r, 1, w)
 
+def spread(v: str, centre: str) -> str:
+    """Sample standard deviation about ``centre``, NULL under two values. Two passes, for accuracy."""
+    about = "aggregate({v}, 0D, (acc, x) -> acc + (x - c) * (x - c))".format(v=v)
+    return f"if(size({v}) > 1, sqrt({let('c', centre, about)} / (size({v}) - 1)), NULL)"
 
-def tail(r: Column, w: int) -> Column:
-    return F.slice(r, -w, w)
 
+def std(v: str) -> str:
+    return let("u", v, spread("u", mean("u")))
 
-def if_complete(window: Column, value: Column) -> Column:
-    """``value`` only if no entry of ``window`` is missing."""
-    return F.when(null_count(window) == 0, value)
 
+def head(r: str, w: int) -> str:
+    return f"slice({r}, 1, {w})"
 
-def last_lag_difference(r: Column, lag: int) -> Column:
-    """Last entry minus the entry ``lag`` places before it."""
-    return F.try_element_at(r, F.lit(-1)) - F.try_element_at(r, F.lit(-1 - lag))
 
+def tail(r: str, w: int) -> str:
+    return f"slice({r}, -{w}, {w})"
 
-def slope(r: Column) -> Column:
-    """Least-squares slope over positions 0, 1, ...; missing entries are left out; NULL under two points."""
 
-    def fit(row: Column, at: Column) -> Column:
-        n = F.size(at)
-        sx = F.aggregate(at, F.lit(0.0), lambda acc, i: acc + i)
-        sxx = F.aggregate(at, F.lit(0.0), lambda acc, i: acc + i * i)
-        sy = total(present(row))
-        sxy = F.aggregate(at, F.lit(0.0), lambda acc, i: acc + i * F.get(row, i))
-        return F.when(n > 1, (n * sxy - sx * sy) / (n * sxx - sx * sx))
+def if_complete(window: str, name: str, value: str) -> str:
+    """``value``, an expression over ``name``, only if no entry of ``window`` is missing."""
+    return let(name, window, f"if({null_count(name)} = 0, {value}, NULL)")
 
-    return let(r, lambda row: let(observed_positions(row), lambda at: fit(row, at)))
 
+def last_lag_difference(r: str, lag: int) -> str:
+    """Last entry minus the entry ``lag`` places before it."""
+    return f"try_element_at({r}, -1) - try_element_at({r}, {-1 - lag})"
 
-def observed_positions(r: Column) -> Column:
+
+def observed_positions(r: str) -> str:
     """0-based positions that hold a value."""
-    at = F.transform(r, lambda x, i: F.when(x.isNotNull(), i))
-    return F.filter(at, lambda i: i.isNotNull())
+    return f"filter(transform({r}, (x, i) -> if(x IS NOT NULL, i, NULL)), i -> i IS NOT NULL)"
+
+
+def slope(r: str) -> str:
+    """Least-squares slope over positions 0, 1, ...; missing entries are left out; NULL under two points."""
+    n, sx, sxx = "size(at)", "aggregate(at, 0D, (acc, i) -> acc + i)", "aggregate(at, 0D, (acc, i) -> acc + i * i)"
+    sxy = "aggregate(at, 0D, (acc, i) -> acc + i * get(row, i))"
+    sy = total(present("row"))
+    line = f"if({n} > 1, ({n} * {sxy} - {sx} * {sy}) / ({n} * {sxx} - {sx} * {sx}), NULL)"
+    return let("row", r, let("at", observed_positions("row"), line))
 
 
 # --- gaps -----------------------------------------------------------------------------------
@@ -112,66 +112,50 @@ def observed_positions(r: Column) -> Column:
 # from each gap or growing an array inside `aggregate` would be quadratic.
 
 
-def _run_ends(at: Column, n: Column) -> Column:
-    return F.concat(F.slice(at, F.lit(2), F.size(at)), F.array(n))
-
-
-def _between(r: Column, at: Column, run) -> Column:
-    """Values from the first observed position on; ``run(a, b)`` gives the array for [a, b)."""
-    return F.flatten(F.zip_with(at, _run_ends(at, F.size(r)), run))
-
+def _between(r: str, at: str, run: str) -> str:
+    """Values from the first observed position on; ``run`` gives the array for positions [a, b)."""
+    return f"flatten(zip_with({at}, concat(slice({at}, 2, size({at})), array(size({r}))), (a, b) -> {run}))"
 
-def _lead(r: Column, at: Column, value: Column) -> Column:
-    return F.array_repeat(value, F.get(at, F.lit(0)))
 
+def _with_gaps(r: str, at: str, filled: str) -> str:
+    return f"if(size({at}) = 0 OR size({at}) = size({r}), {r}, {filled})"
 
-def _with_gaps(r: Column, at: Column, filled: Column) -> Column:
-    n_observed = F.size(at)
-    return F.when((n_observed == 0) | (n_observed == F.size(r)), r).otherwise(filled)
 
+def first_value(r: str, at: str) -> str:
+    return f"get({r}, get({at}, 0))"
 
-def forward_fill(r: Column, at: Column, lead: Column | None = None) -> Column:
-    """Last value seen so far; before the first one ``lead`` (missing unless given)."""
-    lead = missing() if lead is None else lead
-    body = _between(r, at, lambda a, b: F.array_repeat(F.get(r, a), b - a))
-    return _with_gaps(r, at, F.concat(_lead(r, at, lead), body))
 
+def last_value(r: str, at: str) -> str:
+    return f"get({r}, try_element_at({at}, -1))"
 
-def backward_fill(r: Column, at: Column, trail: Column | None = None) -> Column:
-    """Next value to come; after the last one ``trail`` (missing unless given)."""
-    trail = missing() if trail is None else trail
-    starts = F.concat(F.array(F.lit(-1)), F.slice(at, F.lit(1), F.size(at) - 1))
-    body = F.flatten(F.zip_with(starts, at, lambda a, b: F.array_repeat(F.get(r, b), b - a)))
-    rest = F.array_repeat(trail, F.size(r) - 1 - F.element_at(at, -1))
-    return _with_gaps(r, at, F.concat(body, rest))
 
+def forward_fill(r: str, at: str, lead: str = NULL) -> str:
+    """Last value seen so far; before the first one ``lead``."""
+    body = _between(r, at, f"array_repeat(get({r}, a), b - a)")
+    return _with_gaps(r, at, f"concat(array_repeat({lead}, get({at}, 0)), {body})")
 
-def first_value(r: Column, at: Column) -> Column:
-    return F.get(r, F.get(at, F.lit(0)))
 
+def backward_fill(r: str, at: str, trail: str = NULL) -> str:
+    """Next value to come; after the last one ``trail``."""
+    starts = f"concat(array(-1), slice({at}, 1, size({at}) - 1))"
+    body = f"flatten(zip_with({starts}, {at}, (a, b) -> array_repeat(get({r}, b), b - a)))"
+    return _with_gaps(r, at, f"concat({body}, array_repeat({trail}, size({r}) - 1 - try_element_at({at}, -1)))")
 
-def last_value(r: Column, at: Column) -> Column:
-    return F.get(r, F.try_element_at(at, F.lit(-1)))
 
-
-def forward_then_backward(r: Column, at: Column) -> Column:
+def forward_then_backward(r: str, at: str) -> str:
     return forward_fill(r, at, first_value(r, at))
 
 
-def backward_then_forward(r: Column, at: Column) -> Column:
+def backward_then_forward(r: str, at: str) -> str:
     return backward_fill(r, at, last_value(r, at))
 
 
-def interpolate(r: Column, at: Column) -> Column:
+def interpolate(r: str, at: str) -> str:
     """Straight line over inner gaps; outer gaps take the nearest value."""
-    n = F.size(r)
-
-    def run(a: Column, b: Column) -> Column:
-        left = F.get(r, a)
-        step = F.when(b < n, (F.get(r, b) - left) / (b - a)).otherwise(F.lit(0.0))
-        return F.transform(F.sequence(F.lit(0), b - a - 1), lambda j: left + step * j)
-
-    return _with_gaps(r, at, F.concat(_lead(r, at, first_value(r, at)), _between(r, at, run)))
+    step = f"if(b < size({r}), (get({r}, b) - get({r}, a)) / (b - a), 0D)"
+    run = let("by", step, f"transform(sequence(0, b - a - 1), j -> get({r}, a) + by * j)")
+    lead = f"array_repeat({first_value(r, at)}, get({at}, 0))"
+    return _with_gaps(r, at, f"concat({lead}, {_between(r, at, run)})")
 
 
 FILLS = {
@@ -186,63 +170,55 @@ FILLS = {
 # --- normalisation and paths -----------------------------------------------------------------
 
 
-def normalise(r: Column, centre: Column, scale: Column, eps: float = 1e-8) -> Column:
+def normalise(r: str, centre: str, scale: str, eps: str = "1e-8D") -> str:
     """(x - centre) / (scale + eps) with missing results as 0."""
-    by = F.struct(centre.alias("centre"), (scale + F.lit(eps)).alias("scale"))
-    return let(by, lambda s: F.transform(r, lambda x: F.coalesce((x - s["centre"]) / s["scale"], F.lit(0.0))))
+    each = f"transform({r}, x -> coalesce((x - mid) / by, 0D))"
+    return let("mid", centre, let("by", f"{scale} + {eps}", each))
+
 
+def normalise_plain(r: str, centre: str, scale: str) -> str:
+    """(x - centre) / scale, missing where the scale is 0."""
+    return let("mid", centre, let("by", scale, f"transform({r}, x -> try_divide(x - mid, by))"))
 
-def zero_filled(r: Column) -> Column:
-    return F.transform(r, lambda x: F.coalesce(x, F.lit(0.0)))
 
+def zero_filled(r: str) -> str:
+    return f"transform({r}, x -> coalesce(x, 0D))"
 
-def cumulative(x: Column, n: int, block: int = 8) -> Column:
+
+def cumulative(x: str, n: int, block: int = 8) -> str:
     """Running sum of a gap-free array of known length.
 
     Sums inside blocks of ``block`` entries and adds the sum of the earlier blocks, so a row
     costs about ``n * (block + n / block) / 2`` additions.
     """
-    starts = F.sequence(F.lit(0), F.lit(n - 1), F.lit(block))
-    where = F.sequence(F.lit(0), F.lit(n - 1))
-
-    def sums(row: Column, before: Column) -> Column:
-        # i - i % block is where the block of i starts
-        return F.transform(
-            where,
-            lambda i: F.get(before, F.call_function("div", i, F.lit(block)).cast("int"))
-            + total(F.slice(row, i - i % block + 1, i % block + 1)),
-        )
-
-    return let(
-        x, lambda row: let(F.transform(starts, lambda s: total(F.slice(row, F.lit(1), s))), lambda b: sums(row, b))
-    )
+    before = f"transform(sequence(0, {n - 1}, {block}), s -> {total('slice(row, 1, s)')})"
+    # i - i % block is where the block of i starts
+    inside = total(f"slice(row, i - i % {block} + 1, i % {block} + 1)")
+    sums = f"transform(sequence(0, {n - 1}), i -> get(done, int(i div {block})) + {inside})"
+    return let("row", x, let("done", before, sums))
 
 
-def lead_lag(p: Column, n: int) -> Column:
+def lead_lag(p: str, n: int) -> str:
     """Pairs (next value, value) along a path of ``n`` points."""
-    pairs = F.zip_with(F.slice(p, 2, n - 1), F.slice(p, 1, n - 1), lambda x, y: F.struct(x.alias("x"), y.alias("y")))
-    return pairs
+    return f"zip_with(slice({p}, 2, {n - 1}), slice({p}, 1, {n - 1}), (a, b) -> named_struct('x', a, 'y', b))"
 
 
-def signature_depth2(x: Column, n: int) -> dict[str, Column]:
+def signature_depth2(x: str, n: int) -> dict[str, str]:
     """Depth-2 signature of the lead-lag path of the running sum of ``x``.
 
     The path moves by (x[t+2], x[t+1]), so each term is a plain sum over ``x``: with
     a, q = sum and sum of squares of x[2..n-2] and c = sum of neighbouring products of x[1..n-1],
     S(1,2) = (a*a + q + c) / 2, S(i,i) = S(i)^2 / 2 and S(2,1) = S(1) * S(2) - S(1,2).
     """
-    first = total(F.slice(x, 3, n - 2))
-    second = total(F.slice(x, 2, n - 2))
-    inner = F.slice(x, 3, n - 3)
-    a = total(inner)
-    q = F.aggregate(inner, F.lit(0.0), lambda acc, v: acc + v * v)
-    products = F.zip_with(F.slice(x, 2, n - 2), F.slice(x, 3, n - 2), lambda u, v: u * v)
-    cross = (a * a + q + total(products)) / 2
+    first, second = total(f"slice({x}, 3, {n - 2})"), total(f"slice({x}, 2, {n - 2})")
+    inner = f"slice({x}, 3, {n - 3})"
+    products = f"zip_with(slice({x}, 2, {n - 2}), slice({x}, 3, {n - 2}), (u, v) -> u * v)"
+    cross = f"({let('a', total(inner), 'a * a')} + {squares(inner)} + {total(products)}) / 2"
     return {
         "s1": first,
         "s2": second,
-        "s11": first * first / 2,
+        "s11": let("a", first, "a * a / 2"),
         "s12": cross,
-        "s21": first * second - cross,
-        "s22": second * second / 2,
+        "s21": f"{first} * {second} - {cross}",
+        "s22": let("a", second, "a * a / 2"),
     }

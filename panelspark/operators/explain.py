@@ -107,10 +107,9 @@ def class_scores(model, df: DataFrame) -> DataFrame:
     scored = model.transform(df)
     if "probability" in scored.columns:
         return scored.withColumn("scores", vector_to_array("probability"))
-    raw = vector_to_array("rawPrediction")
-    exp = S.let(raw, lambda row: S.let(F.array_max(row), lambda top: F.transform(row, lambda v: F.exp(v - top))))
-    share = S.let(exp, lambda e: S.let(S.total(e), lambda all_: F.transform(e, lambda v: v / all_)))
-    return scored.withColumn("scores", share)
+    raised = S.let("top", "array_max(__raw)", "transform(__raw, v -> exp(v - top))")
+    share = S.let("e", raised, S.let("whole", S.total("e"), "transform(e, v -> v / whole)"))
+    return scored.withColumn("__raw", vector_to_array("rawPrediction")).withColumn("scores", F.expr(share)).drop("__raw")
 
 
 # --- Shapley values ---------------------------------------------------------------------------

@@ -6,13 +6,12 @@ shuffle and no Python worker.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from panelspark.functions import series as S
-from panelspark.schema import coerce_numeric, replace_columns, return_columns
+from panelspark.schema import coerce_numeric, quoted, replace_columns, return_columns
 
 FEATURE_SETS = ("basic_stats", "technical")
 WINDOWS = (5, 10, 20)
@@ -23,9 +22,14 @@ _ROW, _SEEN, _UP, _DOWN, _MEAN, _AT = "__row", "__seen", "__up", "__down", "__me
 _SCRATCH = (_ROW, _SEEN, _UP, _DOWN, _MEAN, _AT)
 
 
+def with_expressions(df: DataFrame, new: Mapping[str, str]) -> DataFrame:
+    """Add columns given as SQL text, in one projection."""
+    kept = [quoted(c) for c in df.columns if c not in new]
+    return df.selectExpr(*kept, *[f"{v} AS {quoted(k)}" for k, v in new.items()])
+
+
 def _with_row(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    row = df.withColumn(_ROW, S.pack(columns))
-    return row.withColumn(_SEEN, S.present(F.col(_ROW)))
+    return with_expressions(with_expressions(df, {_ROW: S.pack_sql(columns)}), {_SEEN: S.present(_ROW)})
 
 
 def add_features(df: DataFrame, feature_sets: Sequence[str] | None = None) -> DataFrame:
@@ -35,50 +39,48 @@ def add_features(df: DataFrame, feature_sets: Sequence[str] | None = None) -> Da
     if not columns:
         return df
     out = _with_row(coerce_numeric(df, columns), columns)
+    features: dict[str, str] = {}
     if "basic_stats" in wanted:
-        out = _basic(out)
+        out = with_expressions(
+            out,
+            {
+                _UP: f"filter({_SEEN}, x -> x > 0)",
+                _DOWN: f"filter({_SEEN}, x -> x < 0)",
+                _MEAN: S.mean(_SEEN),
+            },
+        )
+        features |= _basic()
     if "technical" in wanted:
-        out = out.withColumns(_technical(len(columns)))
-    return out.drop(*_SCRATCH)
-
-
-def _basic(df: DataFrame) -> DataFrame:
-    seen = F.col(_SEEN)
-    df = df.withColumns(
-        {
-            _UP: F.filter(seen, lambda x: x > 0),
-            _DOWN: F.filter(seen, lambda x: x < 0),
-            "r_sum": S.total(seen),
-        }
-    ).withColumn(_MEAN, F.when(F.size(seen) > 0, F.col("r_sum") / F.size(seen)))
-    up, down = F.col(_UP), F.col(_DOWN)
-    features = {
-        "r_mean": F.col(_MEAN),
-        "r_std": S.spread(seen, F.col(_MEAN)),
-        "r_min": F.array_min(seen),
-        "r_max": F.array_max(seen),
-        "r_sum": F.col("r_sum"),
-        "r_pos_count": F.size(up),
-        "r_neg_count": F.size(down),
-        "r_zero_count": F.size(seen) - F.size(up) - F.size(down),
-        "r_pos_sum": S.total(up),
-        "r_neg_sum": S.total(down),
+        features |= _technical(len(columns))
+    kept = [quoted(c) for c in out.columns if c not in _SCRATCH and c not in features]
+    return out.selectExpr(*kept, *[f"{v} AS {k}" for k, v in features.items()])
+
+
+def _basic() -> dict[str, str]:
+    return {
+        "r_mean": _MEAN,
+        "r_std": S.spread(_SEEN, _MEAN),
+        "r_min": f"array_min({_SEEN})",
+        "r_max": f"array_max({_SEEN})",
+        "r_sum": S.total(_SEEN),
+        "r_pos_count": f"size({_UP})",
+        "r_neg_count": f"size({_DOWN})",
+        "r_zero_count": f"size({_SEEN}) - size({_UP}) - size({_DOWN})",
+        "r_pos_sum": S.total(_UP),
+        "r_neg_sum": S.total(_DOWN),
     }
-    kept = [c for c in df.columns if c not in features]
-    return df.select(*kept, *[v.alias(k) for k, v in features.items()])
 
 
-def _technical(n: int):
-    r = F.col(_ROW)
+def _technical(n: int) -> dict[str, str]:
     features = {}
     for w in WINDOWS:
         if w < n:
-            last = S.tail(r, w)
-            features[f"r_roll_mean_{w}"] = S.if_complete(last, S.total(last) / w)
-            features[f"r_roll_std_{w}"] = S.if_complete(last, S.spread(last, S.total(last) / w))
+            last = S.tail(_ROW, w)
+            features[f"r_roll_mean_{w}"] = S.if_complete(last, "v", f"{S.total('v')} / {w}")
+            features[f"r_roll_std_{w}"] = S.if_complete(last, "v", S.spread("v", f"{S.total('v')} / {w}"))
     if n > max(MOMENTUM_LAGS):
         for lag in MOMENTUM_LAGS:
-            features[f"r_momentum_{lag}"] = S.last_lag_difference(r, lag)
+            features[f"r_momentum_{lag}"] = S.last_lag_difference(_ROW, lag)
     return features
 
 
@@ -88,25 +90,22 @@ def add_financial_features(df: DataFrame) -> DataFrame:
     n = len(columns)
     if not n:
         return df
-    out = df.withColumn(_ROW, S.pack(columns))
-    r = F.col(_ROW)
     features = {}
     for w in VOLATILITY_WINDOWS:
         if n >= w:
-            features[f"volatility_{w}"] = S.std(S.present(S.head(r, w)))
+            features[f"volatility_{w}"] = S.std(S.present(S.head(_ROW, w)))
     if n >= 20:
-        features["sharpe_ratio"] = S.let(
-            S.present(S.head(r, 20)), lambda v: S.let(S.mean(v), lambda m: m / (S.spread(v, m) + F.lit(1e-8)))
-        )
+        ratio = S.let("m", S.mean("v"), f"m / ({S.spread('v', 'm')} + 1e-8D)")
+        features["sharpe_ratio"] = S.let("v", S.present(S.head(_ROW, 20)), ratio)
     if n >= 40:
-        recent, old = S.present(F.slice(r, 31, 10)), S.present(F.slice(r, 11, 10))
-        features["momentum"] = S.mean(recent) - S.mean(old)
+        recent, old = S.present(f"slice({_ROW}, 31, 10)"), S.present(f"slice({_ROW}, 11, 10)")
+        features["momentum"] = f"{S.mean(recent)} - {S.mean(old)}"
     if n >= 30:
-        features["trend_slope"] = S.slope(S.head(r, 30))
-    features["pos_ratio"] = F.size(F.filter(r, lambda x: x > 0)) / n
-    features["neg_ratio"] = F.size(F.filter(r, lambda x: x < 0)) / n
-    filled = {k: F.coalesce(v, F.lit(0.0)) for k, v in features.items()}
-    return out.withColumns(filled).drop(_ROW)
+        features["trend_slope"] = S.slope(S.head(_ROW, 30))
+    features["pos_ratio"] = f"size(filter({_ROW}, x -> x > 0)) / {n}"
+    features["neg_ratio"] = f"size(filter({_ROW}, x -> x < 0)) / {n}"
+    packed = with_expressions(df, {_ROW: S.pack_sql(columns)})
+    return with_expressions(packed, {k: f"coalesce({v}, 0D)" for k, v in features.items()}).drop(_ROW)
 
 
 FINANCIAL_FEATURES = (
@@ -136,10 +135,8 @@ def normalise_rows(df: DataFrame) -> DataFrame:
     columns = return_columns(df)
     if not columns:
         return df
-    out = _with_row(df, columns)
-    out = out.withColumn(_MEAN, S.mean(F.col(_SEEN)))
-    scaled = S.normalise(F.col(_ROW), F.col(_MEAN), S.spread(F.col(_SEEN), F.col(_MEAN)))
-    out = out.withColumn(_ROW, scaled)
+    out = with_expressions(_with_row(df, columns), {_MEAN: S.mean(_SEEN)})
+    out = with_expressions(out, {_ROW: S.normalise(_ROW, _MEAN, S.spread(_SEEN, _MEAN))})
     return replace_columns(out, S.unpack(_ROW, columns), _SCRATCH)
 
 
@@ -152,11 +149,9 @@ def normalise_rows_plain(df: DataFrame) -> DataFrame:
 
 def with_plain_row(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
     """Add the row of :func:`normalise_rows_plain` as an array."""
-    out = df.withColumn(name, S.zero_filled(S.pack(columns)))
-    out = out.withColumn(_MEAN, S.mean(F.col(name)))
-    scale = S.spread(F.col(name), F.col(_MEAN))
-    scaled = S.let(scale, lambda s: F.transform(name, lambda x: F.try_divide(x - F.col(_MEAN), s)))
-    return out.withColumn(name, scaled).drop(_MEAN)
+    out = with_expressions(df, {name: S.zero_filled(S.pack_sql(columns))})
+    out = with_expressions(out, {_MEAN: S.mean(name)})
+    return with_expressions(out, {name: S.normalise_plain(name, _MEAN, S.spread(name, _MEAN))}).drop(_MEAN)
 
 
 def fill_rows(df: DataFrame, method: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -164,36 +159,33 @@ def fill_rows(df: DataFrame, method: str, columns: Sequence[str] | None = None)
     if method not in S.FILLS:
         raise ValueError(f"unknown fill {method!r}, expected one of {sorted(S.FILLS)}")
     columns = return_columns(df) if columns is None else list(columns)
-    out = df.withColumn(_ROW, S.pack(columns))
-    out = out.withColumn(_AT, S.observed_positions(F.col(_ROW)))
-    out = out.withColumn(_ROW, S.FILLS[method](F.col(_ROW), F.col(_AT)))
+    out = with_expressions(df, {_ROW: S.pack_sql(columns)})
+    out = with_expressions(out, {_AT: S.observed_positions(_ROW)})
+    out = with_expressions(out, {_ROW: S.FILLS[method](_ROW, _AT)})
     return replace_columns(out, S.unpack(_ROW, columns), _SCRATCH)
 
 
 def add_null_profile(df: DataFrame) -> DataFrame:
     """Missing returns per row, as a count and in percent."""
     columns = return_columns(df)
-    n_null = S.null_count(S.pack(columns))
-    return df.withColumns({"null_count": n_null, "null_percent": n_null * 100.0 / len(columns)})
+    counted = with_expressions(df, {"null_count": S.null_count(S.pack_sql(columns))})
+    return with_expressions(counted, {"null_percent": f"null_count * 100D / {len(columns)}"})
 
 
 def add_price_path(df: DataFrame, name: str = "path") -> DataFrame:
     """Running sum of the zero-filled returns, as an array."""
     columns = return_columns(df)
-    out = df.withColumn(_ROW, S.zero_filled(S.pack(columns)))
-    return out.withColumn(name, S.cumulative(F.col(_ROW), len(columns))).drop(_ROW)
+    return with_expressions(df, {name: S.cumulative(S.zero_filled(S.pack_sql(columns)), len(columns))})
 
 
 def add_lead_lag(df: DataFrame, name: str = "lead_lag") -> DataFrame:
     columns = return_columns(df)
-    out = add_price_path(df, "__path")
-    return out.withColumn(name, S.lead_lag(F.col("__path"), len(columns))).drop("__path")
+    return with_expressions(add_price_path(df, "__path"), {name: S.lead_lag("__path", len(columns))}).drop("__path")
 
 
 def add_signature(df: DataFrame) -> DataFrame:
     """Depth-2 path signature of the lead-lag price path and the number of gaps."""
     columns = return_columns(df)
-    out = df.withColumn(_ROW, S.pack(columns)).withColumn("null_count", S.null_count(F.col(_ROW)))
-    out = out.withColumn(_ROW, S.zero_filled(F.col(_ROW)))
-    terms = S.signature_depth2(F.col(_ROW), len(columns))
-    return out.withColumns(terms).drop(_ROW)
+    packed = with_expressions(df, {_ROW: S.pack_sql(columns)})
+    zeros = with_expressions(packed, {"null_count": S.null_count(_ROW), _ROW: S.zero_filled(_ROW)})
+    return with_expressions(zeros, S.signature_depth2(_ROW, len(columns))).drop(_ROW)

@@ -16,39 +16,37 @@ from panelspark.schema import KEY, N_INTERVALS, TARGET
 def slot_means(spark: SparkSession, sf_dir: str, replicas: int = 1) -> DataFrame:
     """Long form: one row per (equity, day, slot) with data."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    buckets = events.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / 2000))).scalar()
-    ts = F.col("ts")
-    rows = events.select(
-        (F.col("user_id") % buckets).alias("equity"),
-        F.dayofyear(ts).alias("day"),
-        F.floor((F.hour(ts) * 60 + F.minute(ts)) / 24).cast("int").alias("slot"),
+    buckets = events.selectExpr("greatest(1, count(1) div 2000)").scalar()
+    rows = events.withColumn("buckets", buckets).selectExpr(
+        "user_id % buckets AS equity",
+        "dayofyear(ts) AS day",
+        "int((hour(ts) * 60 + minute(ts)) div 24) AS slot",
         "value",
     )
     if replicas > 1:
         # Load tests: every entity several times under a new key.
-        copies = F.explode(F.sequence(F.lit(0), F.lit(replicas - 1)))
-        rows = rows.withColumn("copy", copies).withColumn("equity", F.col("equity") * replicas + F.col("copy"))
-    return rows.groupBy("equity", "day", "slot").agg(F.round(F.avg("value") - 50.0, 4).alias("r"))
+        rows = rows.selectExpr("*", f"explode(sequence(0, {replicas - 1})) AS copy").selectExpr(
+            f"equity * {replicas} + copy AS equity", "day", "slot", "value"
+        )
+    return rows.groupBy("equity", "day", "slot").agg(F.expr("round(avg(value) - 50.0D, 4) AS r"))
 
 
 def panel_arrays(spark: SparkSession, sf_dir: str, replicas: int = 1) -> DataFrame:
     """(ID, day, equity, r ARRAY<DOUBLE>, reod). At most 60 entries meet in one group."""
-    by_slot = F.map_from_entries(F.collect_list(F.struct("slot", "r")))
-    wide = slot_means(spark, sf_dir, replicas).groupBy("equity", "day").agg(by_slot.alias("m"))
+    slots = slot_means(spark, sf_dir, replicas).groupBy("equity", "day").agg(
+        F.expr("map_from_entries(collect_list(struct(slot, r))) AS m")
+    )
 
-    def part(first: int, last: int):
-        return F.transform(F.sequence(F.lit(first), F.lit(last)), lambda i: F.try_element_at(F.col("m"), i))
+    def part(first: int, last: int) -> str:
+        return f"transform(sequence({first}, {last}), i -> try_element_at(m, i))"
 
-    wide = wide.select(
-        ((F.col("day") * 1000 + F.col("equity")) if replicas == 1 else F.col("day") * 10_000_000 + F.col("equity")).alias(KEY),
-        "day",
-        "equity",
-        part(0, N_INTERVALS - 1).alias("r"),
-        S.mean(S.present(part(N_INTERVALS, 59))).alias("late"),
+    keyed = "day * 1000 + equity" if replicas == 1 else "day * 10000000 + equity"
+    rows = slots.selectExpr(
+        f"{keyed} AS {KEY}", "day", "equity", f"{part(0, N_INTERVALS - 1)} AS r",
+        f"{S.mean(S.present(part(N_INTERVALS, 59)))} AS late",
     )
-    move = F.col("late") - S.mean(S.present(F.col("r")))
-    label = F.when(move > 4, 1).when(move < -4, -1).otherwise(0)
-    return wide.select(KEY, "day", "equity", "r", label.alias(TARGET))
+    rows = rows.selectExpr(KEY, "day", "equity", "r", f"late - {S.mean(S.present('r'))} AS move")
+    return rows.selectExpr(KEY, "day", "equity", "r", f"CASE WHEN move > 4 THEN 1 WHEN move < -4 THEN -1 ELSE 0 END AS {TARGET}")
 
 
 def panel(spark: SparkSession, sf_dir: str, replicas: int = 1) -> DataFrame:

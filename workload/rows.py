@@ -396,6 +396,5 @@ def f16(spark, sf_dir):
 def w1(spark, sf_dir):
     """Rolling mean at every position, only over full windows."""
     df = panel(spark, sf_dir).withColumn("r", S.pack(RETURNS))
-    window = lambda i: F.slice("r", F.greatest(i - 3, F.lit(1)), F.lit(5))
-    rolling = F.transform("r", lambda x, i: F.when(i >= 4, S.if_complete(window(i), S.total(window(i)) / 5)))
-    return df.select(KEY, F.posexplode(rolling).alias("pos", "value"))
+    mean = S.if_complete("slice(r, greatest(i - 3, 1), 5)", "v", f"{S.total('v')} / 5")
+    return df.selectExpr(KEY, f"posexplode(transform(r, (x, i) -> if(i >= 4, {mean}, NULL))) AS (pos, value)")
