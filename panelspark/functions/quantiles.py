@@ -89,19 +89,27 @@ def _by_counting(
     return result
 
 
-def _histogram(source, names, brackets):
+def _histogram(source: DataFrame, names: list[str], brackets: list[tuple[int, float, float]]):
     """Buckets (min, max, count) in value order for every (column, lo, hi) bracket."""
-    entries = []
+    by_column: list[list[str]] = [[] for _ in names]
     for b, (i, lo, hi) in enumerate(brackets):
-        x = F.col(names[i])
-        # Every step is monotone in x even after rounding, so buckets never overlap.
-        bucket = F.least(F.floor((x / 2 - lo / 2) / (hi / 2 - lo / 2) * BUCKETS), F.lit(BUCKETS - 1))
-        inside = (x >= lo) & (x <= hi)
-        entries.append(F.when(inside, F.struct(F.lit(b).alias("b"), bucket.cast("int").alias("k"), x.alias("x"))))
+        by_column[i].append(f"named_struct('b', {b}, 'lo', {literal(float(lo))}, 'hi', {literal(float(hi))})")
+    wanted = [i for i, entries in enumerate(by_column) if entries]
+    values = source.selectExpr(f"posexplode(array({', '.join(names[i] for i in wanted)})) AS (pos, x)").where("x IS NOT NULL")
+    if len(brackets) == len(wanted):
+        # One bracket per column: a lookup is enough.
+        table = f"array({', '.join(by_column[i][0] for i in wanted)})"
+        placed = values.selectExpr("x", f"get({table}, pos) AS e")
+    else:
+        table = f"array({', '.join('array(' + ', '.join(by_column[i]) + ')' for i in wanted)})"
+        placed = values.selectExpr("x", f"explode(get({table}, pos)) AS e")
+    # Every step is monotone in x even after rounding, so buckets never overlap.
+    bucket = f"int(least(floor((x / 2 - e.lo / 2) / (e.hi / 2 - e.lo / 2) * {BUCKETS}), {BUCKETS - 1}))"
     rows = (
-        source.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy("e.b", "e.k")
-        .agg(F.min("e.x").alias("lo"), F.max("e.x").alias("hi"), F.count(F.lit(1)).alias("n"))
+        placed.where("x BETWEEN e.lo AND e.hi")
+        .selectExpr("e.b AS b", f"{bucket} AS k", "x")
+        .groupBy("b", "k")
+        .agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("n"))
         .collect()
     )
     result: dict[tuple, list] = {key: [] for key in brackets}
