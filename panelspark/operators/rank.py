@@ -17,9 +17,9 @@ from panelspark.schema import TARGET, literal_array
 
 
 def _ranked(scores: DataFrame, method: str, top_n: int | None = None, *extra: str) -> DataFrame:
-    """Best score first, undefined scores last, ties by name. One row per feature, so the
-    unpartitioned window is small."""
-    order = W.partitionBy().orderBy(F.col("score").desc_nulls_last(), "feature")
+    """Best score first, undefined scores last, ties (to 12 digits, so that the order of a sum does
+    not decide) by name. One row per feature, so the unpartitioned window is small."""
+    order = W.partitionBy().orderBy(F.round("score", 12).desc_nulls_last(), "feature")
     out = scores.select(F.lit(method).alias("method"), "feature", "score", *extra, F.row_number().over(order).alias("rank"))
     return out if top_n is None else out.where(F.col("rank") <= top_n)
 

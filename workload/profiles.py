@@ -350,7 +350,7 @@ def c4(spark, sf_dir):
 # --- rankings -----------------------------------------------------------------------------------
 
 FEATURE = "'r' || pos AS feature"
-RANKED = "row_number() OVER (ORDER BY score DESC NULLS LAST, 'r' || pos)"
+RANKED = "row_number() OVER (ORDER BY round(score, 12) DESC NULLS LAST, 'r' || pos)"
 
 
 def ranked_sql(method: str, source: str, extra: str = "", where: str = "") -> str:
