@@ -17,144 +17,138 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.sources.scratch import cut_lineage
 
-SALTS = 16
+POINTS_PER_SALT = 500_000
+# Cells within reach of a cell: two steps in each direction, without the four corners.
+_STEPS = [(a, b) for a in range(-2, 3) for b in range(-2, 3) if abs(a) + abs(b) < 4]
 
 
-def dbscan(points: DataFrame, eps: float = 0.5, min_points: int = 5, salts: int = SALTS) -> DataFrame:
+def dbscan(points: DataFrame, eps: float = 0.5, min_points: int = 5, salts: int | None = None) -> DataFrame:
     """(id, x, y) -> (id, core, cluster). ``cluster`` is the smallest cell label of the component,
-    NULL for noise. A border point joins the smallest cluster among its core neighbours."""
+    NULL for noise. A border point joins the smallest cluster among its core neighbours.
+
+    ``salts`` spreads a crowded cell over that many join keys; by default as many as the most
+    crowded cell needs.
+    """
     side = eps / math.sqrt(2.0)
-    placed = points.select(
-        "id", "x", "y", F.floor(F.col("x") / side).alias("cx"), F.floor(F.col("y") / side).alias("cy")
-    )
+    placed = points.selectExpr("id", "x", "y", f"floor(x / {side!r}D) AS cx", f"floor(y / {side!r}D) AS cy")
     sizes = placed.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"))
-    placed = placed.join(sizes, ["cx", "cy"])
-    core = core_points(placed, eps, min_points, salts)
-    core = cut_lineage(core)
+    if salts is None:
+        largest = sizes.agg(F.max("n")).first()[0] or 0
+        salts = max(1, math.ceil(largest / POINTS_PER_SALT))
+    core = cut_lineage(core_points(placed.join(sizes, ["cx", "cy"]), eps, min_points, salts))
     labels = _cell_components(core.where("core"), eps, side)
     own = core.join(labels, ["cx", "cy"], "left")
-    thin = own.where(~F.col("core"))
-    border = _around(thin.select("id", "x", "y", "cx", "cy"), salts).alias("q").join(
-        _salted(own.where("core").select("cx", "cy", "x", "y", "label"), salts).alias("p"), ["cx", "cy", "salt"]
-    ).where(_within("q", "p", eps)).groupBy("q.id").agg(F.min("p.label").alias("near"))
-    out = own.join(border, "id", "left")
-    return out.select("id", "core", F.when(F.col("core"), F.col("label")).otherwise(F.col("near")).alias("cluster"))
+    thin = own.where("NOT core").select("id", "x", "y", "cx", "cy")
+    crowd = _salted(own.where("core").select("cx", "cy", "x", "y", "label"), salts).alias("p")
+    border = (
+        _around(thin, salts).alias("q").join(crowd, ["cx", "cy", "salt"])
+        .where(_within(eps)).groupBy("q.id").agg(F.min("p.label").alias("near"))
+    )
+    return own.join(border, "id", "left").selectExpr("id", "core", "if(core, label, near) AS cluster")
 
 
-def core_points(placed: DataFrame, eps: float, min_points: int, salts: int = SALTS) -> DataFrame:
+def core_points(placed: DataFrame, eps: float, min_points: int, salts: int) -> DataFrame:
     """Adds ``core``: at least ``min_points`` points within eps, the point itself included."""
-    thin = placed.where(F.col("n") < min_points)
-    seen = _around(thin.select("id", "x", "y", "cx", "cy"), salts).alias("q").join(
-        _salted(placed.select("cx", "cy", "x", "y"), salts).alias("p"), ["cx", "cy", "salt"]
+    thin = placed.where(F.col("n") < min_points).select("id", "x", "y", "cx", "cy")
+    everyone = _salted(placed.select("cx", "cy", "x", "y"), salts).alias("p")
+    counts = (
+        _around(thin, salts).alias("q").join(everyone, ["cx", "cy", "salt"])
+        .where(_within(eps)).groupBy("q.id").agg(F.count(F.lit(1)).alias("near"))
+    )
+    return placed.join(counts, "id", "left").selectExpr(
+        "id", "x", "y", "cx", "cy", f"n >= {min_points} OR coalesce(near, 0) >= {min_points} AS core"
     )
-    counts = seen.where(_within("q", "p", eps)).groupBy("q.id").agg(F.count(F.lit(1)).alias("near"))
-    joined = placed.join(counts, "id", "left")
-    core = (F.col("n") >= min_points) | (F.coalesce("near", F.lit(0)) >= min_points)
-    return joined.select("id", "x", "y", "cx", "cy", core.alias("core"))
 
 
-def _around(df: DataFrame, salts: int = SALTS) -> DataFrame:
+def _around(df: DataFrame, salts: int) -> DataFrame:
     """One copy of a point per cell within reach and salt, under that cell's coordinates."""
-    steps = [(a, b) for a in range(-2, 3) for b in range(-2, 3) if abs(a) + abs(b) < 4]
-    cells = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in steps])).alias("s")
-    moved = df.select("*", cells).withColumns({"cx": F.col("cx") + F.col("s.a"), "cy": F.col("cy") + F.col("s.b")})
-    return moved.drop("s").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    steps = ", ".join(f"named_struct('a', {a}, 'b', {b})" for a, b in _STEPS)
+    near = df.selectExpr("*", f"explode(array({steps})) AS s")
+    moved = near.selectExpr("id", "x", "y", "cx + s.a AS cx", "cy + s.b AS cy")
+    return moved.selectExpr("*", f"explode(sequence(0, {salts - 1})) AS salt")
 
 
 def _salted(df: DataFrame, salts: int) -> DataFrame:
     """Spread the points of a crowded cell over several join keys."""
-    return df.withColumn("salt", F.pmod(F.xxhash64("x", "y"), F.lit(salts)).cast("int"))
+    return df.selectExpr("*", f"int(pmod(xxhash64(x, y), {salts})) AS salt")
 
 
-def _within(a: str, b: str, eps: float) -> Column:
-    dx, dy = F.col(f"{a}.x") - F.col(f"{b}.x"), F.col(f"{a}.y") - F.col(f"{b}.y")
-    return dx * dx + dy * dy <= eps * eps
+def _within(eps: float) -> str:
+    return f"(q.x - p.x) * (q.x - p.x) + (q.y - p.y) * (q.y - p.y) <= {eps * eps!r}D"
 
 
 # --- linking cells ----------------------------------------------------------------------------
 
+_CELLS = ["ax", "ay", "bx", "by"]
+_SUB = ["asx", "asy", "bsx", "bsy"]
+
 
 def _boxes(core: DataFrame, side: float, level: int) -> DataFrame:
-    """Bounding boxes of the core points per sub-cell (2**level per side)."""
+    """Bounding boxes of the core points per sub-cell (2**level per side), and the parent sub-cell."""
     small = side / 2**level
-    return core.groupBy(
-        "cx", "cy", F.floor(F.col("x") / small).alias("sx"), F.floor(F.col("y") / small).alias("sy")
-    ).agg(*[f(c).alias(f"{c}_{n}") for c in "xy" for n, f in (("lo", F.min), ("hi", F.max))])
+    boxes = core.selectExpr(
+        "cx", "cy", "x", "y", f"floor(x / {small!r}D) AS sx", f"floor(y / {small!r}D) AS sy"
+    ).groupBy("cx", "cy", "sx", "sy").agg(
+        F.min("x").alias("x_lo"), F.max("x").alias("x_hi"), F.min("y").alias("y_lo"), F.max("y").alias("y_hi")
+    )
+    return boxes.selectExpr("*", "floor(sx / 2) AS px", "floor(sy / 2) AS py")
+
 
+def _decide(pairs: DataFrame, eps: float) -> DataFrame:
+    """Drop box pairs out of reach; ``sure`` marks those where every point pair is in reach."""
+    def square(axis: str, kind: str) -> str:
+        a_lo, a_hi, b_lo, b_hi = (f"{t}.{axis}_{e}" for t in "ab" for e in ("lo", "hi"))
+        length = (
+            f"greatest(0D, {a_lo} - {b_hi}, {b_lo} - {a_hi})" if kind == "near"
+            else f"greatest({a_hi} - {b_lo}, {b_hi} - {a_lo})"
+        )
+        return f"pow({length}, 2)"
 
-def _pair_boxes(left: DataFrame, right: DataFrame, on: Column, eps: float) -> DataFrame:
-    """Box pairs that are not out of reach, with ``sure`` where every point pair is in reach."""
-    both = left.join(right, on)
-    near, far = [], []
-    for c in "xy":
-        a_lo, a_hi, b_lo, b_hi = (F.col(f"{t}.{c}_{e}") for t in "ab" for e in ("lo", "hi"))
-        gap = F.greatest(F.lit(0.0), a_lo - b_hi, b_lo - a_hi)
-        reach = F.greatest(a_hi - b_lo, b_hi - a_lo)
-        near.append(gap * gap)
-        far.append(reach * reach)
-    both = both.where(near[0] + near[1] <= eps * eps)
-    return both.withColumn("sure", far[0] + far[1] <= eps * eps)
+    limit = f"<= {eps * eps!r}D"
+    return pairs.where(f"{square('x', 'near')} + {square('y', 'near')} {limit}").selectExpr(
+        "o.ax", "o.ay", "o.bx", "o.by", "a.sx AS asx", "a.sy AS asy", "b.sx AS bsx", "b.sy AS bsy",
+        f"{square('x', 'far')} + {square('y', 'far')} {limit} AS sure",
+    )
 
 
 def _cell_links(core: DataFrame, eps: float, side: float, max_level: int = 60) -> DataFrame:
     """Pairs of cells (ax, ay, bx, by) with core points in reach of each other, a before b."""
-    steps = [(a, b) for a in range(0, 3) for b in range(-2, 3) if (a, b) > (0, 0) and abs(a) + abs(b) < 4]
-    moves = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in steps])
-    names = ["ax", "ay", "bx", "by"]
-    boxes = _boxes(core, side, 0)
-    reach = boxes.select("*", F.explode(moves).alias("m")).withColumns(
-        {"tx": F.col("cx") + F.col("m.a"), "ty": F.col("cy") + F.col("m.b")}
+    forward = ", ".join(f"named_struct('a', {a}, 'b', {b})" for a, b in _STEPS if (a, b) > (0, 0))
+    cells = core.select("cx", "cy").distinct()
+    reach = cells.selectExpr("cx AS ax", "cy AS ay", f"explode(array({forward})) AS m").selectExpr(
+        "ax", "ay", "ax + m.a AS bx", "ay + m.b AS by"
     )
-    pairs = _pair_boxes(
-        reach.alias("a"), boxes.alias("b"), (F.col("a.tx") == F.col("b.cx")) & (F.col("a.ty") == F.col("b.cy")), eps
-    ).select(
-        F.col("a.cx").alias("ax"), F.col("a.cy").alias("ay"), F.col("b.cx").alias("bx"), F.col("b.cy").alias("by"),
-        *[F.col(f"{t}.{s}").alias(f"{t}{s}") for t in "ab" for s in ("sx", "sy")], "sure",
+    pairs = reach.join(cells.selectExpr("cx AS bx", "cy AS by"), ["bx", "by"], "left_semi").selectExpr(
+        *_CELLS, "ax AS asx", "ay AS asy", "bx AS bsx", "by AS bsy"
     )
-    pairs = cut_lineage(pairs)
-    links = pairs.where("sure").select(*names).distinct()
-    open_pairs = pairs.where(~F.col("sure")).join(links, names, "left_anti")
-    for level in range(1, max_level):
-        if open_pairs.isEmpty():
+    links = None
+    for level in range(max_level):
+        boxes = _boxes(core, side, level)
+        # At level 0 the boxes are the cells themselves, below they are halves of the pairs' boxes.
+        x, y = ("sx", "sy") if level == 0 else ("px", "py")
+        joined = pairs.alias("o")
+        for t in "ab":
+            same = f"o.{t}x = {t}.cx AND o.{t}y = {t}.cy AND o.{t}sx = {t}.{x} AND o.{t}sy = {t}.{y}"
+            joined = joined.join(boxes.alias(t), F.expr(same))
+        decided = cut_lineage(_decide(joined, eps))
+        found = decided.where("sure").select(*_CELLS).distinct()
+        pairs = decided.where("NOT sure").join(found, _CELLS, "left_anti").select(*_CELLS, *_SUB)
+        links = found if links is None else links.unionByName(found)
+        if pairs.isEmpty():
             break
-        finer = _boxes(core, side, level).withColumns(
-            {"px": F.floor(F.col("sx") / 2), "py": F.floor(F.col("sy") / 2)}
-        )
-        a, b = finer.alias("a"), finer.alias("b")
-        o = open_pairs.alias("o")
-        halves = o.join(
-            a,
-            (F.col("o.ax") == F.col("a.cx")) & (F.col("o.ay") == F.col("a.cy"))
-            & (F.col("o.asx") == F.col("a.px")) & (F.col("o.asy") == F.col("a.py")),
-        )
-        on = (
-            (F.col("o.bx") == F.col("b.cx")) & (F.col("o.by") == F.col("b.cy"))
-            & (F.col("o.bsx") == F.col("b.px")) & (F.col("o.bsy") == F.col("b.py"))
-        )
-        pairs = cut_lineage(
-            _pair_boxes(halves, b, on, eps).select(
-                *[F.col(f"o.{n}").alias(n) for n in names],
-                *[F.col(f"{t}.{s}").alias(f"{t}{s}") for t in "ab" for s in ("sx", "sy")], "sure",
-            )
-        )
-        found = pairs.where("sure").select(*names).distinct()
-        links = cut_lineage(links.unionByName(found).distinct())
-        open_pairs = pairs.where(~F.col("sure")).join(links, names, "left_anti")
     return links
 
 
 def _cell_components(core: DataFrame, eps: float, side: float) -> DataFrame:
     """(cx, cy, label): smallest cell name of each connected set of cells."""
-    name = lambda x, y: F.format_string("%d:%d", x, y)
-    cells = core.select("cx", "cy").distinct()
-    nodes = cells.select("cx", "cy", name("cx", "cy").alias("node"))
-    links = _cell_links(core, eps, side).select(
-        name("ax", "ay").alias("a"), name("bx", "by").alias("b")
+    nodes = core.selectExpr("cx", "cy", "format_string('%d:%d', cx, cy) AS node").distinct()
+    links = _cell_links(core, eps, side).selectExpr(
+        "format_string('%d:%d', ax, ay) AS a", "format_string('%d:%d', bx, by) AS b"
     )
     labels = connected_components(nodes.select("node"), links)
     return nodes.join(labels, "node").select("cx", "cy", "label")
@@ -181,9 +175,9 @@ def connected_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         small = small.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         small = cut_lineage(small)
-        same = small.exceptAll(edges).isEmpty() and edges.exceptAll(small).isEmpty()
+        changed = small.exceptAll(edges).unionByName(edges.exceptAll(small))
         edges = small
-        if same:
+        if changed.isEmpty():
             break
     roots = edges.groupBy("u").agg(F.min("v").alias("root"))
     return nodes.join(roots, nodes["node"] == roots["u"], "left").select(
