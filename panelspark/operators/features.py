@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from panelspark.functions import series as S
 from panelspark.schema import coerce_numeric, quoted, replace_columns, return_columns
 
+# Feature sets, rolling windows, lags and volatility windows.
 FEATURE_SETS = ("basic_stats", "technical")
 WINDOWS = (5, 10, 20)
 MOMENTUM_LAGS = (5, 10)
@@ -108,6 +109,7 @@ def add_financial_features(df: DataFrame) -> DataFrame:
     return with_expressions(packed, {k: f"coalesce({v}, 0D)" for k, v in features.items()}).drop(_ROW)
 
 
+# The names, in the order in which the selections below return them.
 FINANCIAL_FEATURES = (
     "pos_ratio",
     "neg_ratio",

@@ -159,6 +159,7 @@ def bottleneck_network(n_features: int, width: int = 32, epochs: int = 50) -> Pi
     return Pipeline(stages=[PCA(k=width, inputCol=FEATURES, outputCol="encoded"), network])
 
 
+# Model names and sizes below are fixed values.
 # --- catalogues -------------------------------------------------------------------------------
 
 

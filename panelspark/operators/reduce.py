@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from panelspark.operators.scale import LinearScaler, fit_scaler
 
+# Shares of variance that are reported.
 THRESHOLDS = (0.7, 0.8, 0.9, 0.95, 0.99)
 
 

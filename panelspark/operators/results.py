@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from panelspark.schema import CLASSES
 
+# Columns of a result summary and of the result table.
 SUMMARY_COLUMNS = (
     "dataset", "dataset_description", "model", "normalize_by_row", "features_added",
     "accuracy", "f1_weighted", "total_time",

@@ -13,7 +13,7 @@ from panelspark.functions import series as S
 from panelspark.schema import KEY, N_INTERVALS, TARGET
 
 
-def slot_means(spark: SparkSession, sf_dir: str, replicas: int = 1) -> DataFrame:
+def slot_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long form: one row per (equity, day, slot) with data."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     buckets = events.selectExpr("greatest(1, count(1) div 2000)").scalar()
@@ -23,30 +23,32 @@ def slot_means(spark: SparkSession, sf_dir: str, replicas: int = 1) -> DataFrame
         "int((hour(ts) * 60 + minute(ts)) div 24) AS slot",
         "value",
     )
-    if replicas > 1:
-        # Load tests: every entity several times under a new key.
-        rows = rows.selectExpr("*", f"explode(sequence(0, {replicas - 1})) AS copy").selectExpr(
-            f"equity * {replicas} + copy AS equity", "day", "slot", "value"
-        )
     return rows.groupBy("equity", "day", "slot").agg(F.expr("round(avg(value) - 50.0D, 4) AS r"))
 
 
 def panel_arrays(spark: SparkSession, sf_dir: str, replicas: int = 1) -> DataFrame:
     """(ID, day, equity, r ARRAY<DOUBLE>, reod). At most 60 entries meet in one group."""
-    slots = slot_means(spark, sf_dir, replicas).groupBy("equity", "day").agg(
+    slots = slot_means(spark, sf_dir).groupBy("equity", "day").agg(
         F.expr("map_from_entries(collect_list(struct(slot, r))) AS m")
     )
 
     def part(first: int, last: int) -> str:
         return f"transform(sequence({first}, {last}), i -> try_element_at(m, i))"
 
-    keyed = "day * 1000 + equity" if replicas == 1 else "day * 10000000 + equity"
     rows = slots.selectExpr(
-        f"{keyed} AS {KEY}", "day", "equity", f"{part(0, N_INTERVALS - 1)} AS r",
+        f"day * 1000 + equity AS {KEY}", "day", "equity", f"{part(0, N_INTERVALS - 1)} AS r",
         f"{S.mean(S.present(part(N_INTERVALS, 59)))} AS late",
     )
     rows = rows.selectExpr(KEY, "day", "equity", "r", f"late - {S.mean(S.present('r'))} AS move")
-    return rows.selectExpr(KEY, "day", "equity", "r", f"CASE WHEN move > 4 THEN 1 WHEN move < -4 THEN -1 ELSE 0 END AS {TARGET}")
+    label = f"CASE WHEN move > 4 THEN 1 WHEN move < -4 THEN -1 ELSE 0 END AS {TARGET}"
+    rows = rows.selectExpr(KEY, "day", "equity", "r", label)
+    if replicas == 1:
+        return rows
+    # Load tests: every entity several times under a new key.
+    copies = rows.repartition(spark.sparkContext.defaultParallelism, KEY).selectExpr("*", f"explode(sequence(0, {replicas - 1})) AS copy")
+    return copies.selectExpr(
+        f"{KEY} * {replicas} + copy AS {KEY}", "day", f"equity * {replicas} + copy AS equity", "r", TARGET
+    )
 
 
 def panel(spark: SparkSession, sf_dir: str, replicas: int = 1) -> DataFrame:

@@ -1,7 +1,6 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from panelspark.operators.features import fill_rows
 from panelspark.operators.impute import fill_down, inverse_standardise, standardise

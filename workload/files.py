@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelspark.operators import segments as G
 from panelspark.plans import datasets as D
-from panelspark.schema import KEY, TARGET, panel_schema
+from panelspark.schema import TARGET, panel_schema
 from panelspark.sources.derived import split_by_key
 from panelspark.sources.registry import Registry
 from panelspark.sources.scratch import scratch_path

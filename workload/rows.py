@@ -9,8 +9,8 @@ from panelspark.operators import features as X
 from panelspark.operators import impute as I
 from panelspark.operators.models import class_index, index_class, replace_labels
 from panelspark.schema import KEY, TARGET, coerce_numeric, column_range, columns_except
-from panelspark.sources.derived import panel, split_by_key
-from workload.base import RETURNS, cells, mixed_fill, num, nums, packed, query, sql, train_test, whole, wholes
+from panelspark.sources.derived import panel
+from workload.base import RETURNS, cells, mixed_fill, num, nums, packed, query, sql, train_test, wholes
 
 IDS = wholes("ID", "day", "equity")
 V = "list_filter(r, lambda x: x IS NOT NULL)"
