@@ -2,17 +2,58 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from panelspark.llm import quality, simhash
+from panelspark.llm import bpe, packing, quality, records, simhash
 from panelspark.llm.common import table
+from panelspark.llm.wordtokens import id_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def with_crc(df: DataFrame) -> DataFrame:
+    """``ids_crc32`` in place of ``ids``: unsigned CRC-32 of the ids as little-endian unsigned 32-bit integers."""
+    others = [f for f in df.schema.fields if f.name != "ids"]
+    schema = T.StructType([*others, T.StructField("ids_crc32", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            crc = pa.array([zlib.crc32(b) for b in id_bytes(batch.column("ids"))], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in others), crc], names=schema.fieldNames())
+
+    return df.mapInArrow(run, schema)
+
+
+def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = bpe.encode(table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN, keep=["doc_id"])
+    back = bpe.decode(ids, BYTE_BPE, public_tokenizers.PATTERN)
+    return back.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = records.write(table(spark, sf_dir, "documents"), WORD_BPE, end=1)
+    found = records.read(manifest, seed=1).select("doc_id", "start", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    return with_crc(found)
+
+
+def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_crc(packing.pack(table(spark, sf_dir, "documents"), WORD_BPE, end=2))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
@@ -22,5 +63,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op7_quality_rules, op8_simhash_near_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op3_byte_level_bpe, op4_token_records, op6_harmonic_packing, op7_quality_rules, op8_simhash_near_dedup,
+)}
 ORACLES: dict[str, str] = {}
