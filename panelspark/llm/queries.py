@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelspark.llm import bpe, chat, linededup, packing, quality, records, rotated_codes, simhash, warc
+from panelspark.llm import bpe, chat, linededup, mixing, packing, quality, records, rotated_codes, simhash, warc
 from panelspark.llm.common import table
 from panelspark.llm.wordtokens import id_bytes
 
@@ -35,6 +35,10 @@ def with_crc(df: DataFrame) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score(table(spark, sf_dir, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linededup.dedup_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "text", "n_lines", "n_removed", "aligned_with")
@@ -88,7 +92,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_line_dedup, op3_byte_level_bpe, op4_token_records, op5_warc_capture_index, op6_harmonic_packing, op7_quality_rules,
+    op1_context_mixing, op2_line_dedup, op3_byte_level_bpe, op4_token_records, op5_warc_capture_index, op6_harmonic_packing, op7_quality_rules,
     op8_simhash_near_dedup, op9_rotated_code_neighbours, op10_chat_formatting,
 )}
 ORACLES: dict[str, str] = {}
