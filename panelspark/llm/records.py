@@ -1,7 +1,8 @@
 """Token ids in length-delimited binary records with a separate offset index.
 
 Record: payload length (unsigned 64 bit), its masked checksum, payload, the payload's masked checksum (32 bit each,
-little-endian). Payload: one byte that is 1 if doc_id is null, doc_id (signed 64 bit), the ids (unsigned 32 bit).
+little-endian). Payload: one byte of flags (1: doc_id is null, 2: ids have 16 bits), doc_id (signed 64 bit), the ids
+(unsigned, 16 bit if all fit, else 32).
 Checksum: CRC-32 as in zlib, rotated right by 15 bits plus a constant, so that a checksum of data that holds
 checksums stays sound. Index: for each record of the data file its offset and the number of ids before it, unsigned
 64 bit each; record n is found without reading others, so reads may come in any order.
@@ -31,7 +32,7 @@ from panelspark.sources.scratch import scratch_path
 
 CHUNK = 1024  # records that one read range holds
 _MASK = 0xA282EAD8  # fixed value of the mask
-_HEAD, _SUM, _INDEX, _KEY = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<QQ"), struct.Struct("<?q")
+_HEAD, _SUM, _INDEX, _KEY = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<QQ"), struct.Struct("<Bq")
 MANIFEST = "part int, data string, index string, records long, ids long"
 DOCUMENTS = "doc_id long, part int, record long, start long, ids array<int>"
 
@@ -46,6 +47,19 @@ def frame(payload: bytes) -> bytes:
     return length + _SUM.pack(masked(length)) + payload + _SUM.pack(masked(payload))
 
 
+def payload_of(doc: int | None, ids: bytes) -> bytes:
+    wide = np.frombuffer(ids, "<u4")
+    short = not len(wide) or int(wide.max()) < 1 << 16
+    return _KEY.pack((doc is None) | 2 * short, doc or 0) + (wide.astype("<u2").tobytes() if short else ids)
+
+
+def parse_payload(payload: bytes) -> tuple[int | None, bytes]:
+    """doc_id and the ids as 32-bit integers."""
+    flags, doc = _KEY.unpack_from(payload)
+    ids = payload[_KEY.size:]
+    return (None if flags & 1 else doc), (np.frombuffer(ids, "<u2").astype("<u4").tobytes() if flags & 2 else ids)
+
+
 def read_frame(source) -> bytes:
     head = source.read(_HEAD.size)
     length, check = _HEAD.unpack(head)
@@ -72,7 +86,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end:
             data, index = files.open_output_stream(f"{name}.rec"), files.open_output_stream(f"{name}.idx")
         docs = batch.column("doc_id").to_pylist()
         for doc, ids in zip(docs, encode_texts(batch.column("t").cast(pa.binary()).to_pylist(), tokenizer)):
-            record = frame(_KEY.pack(doc is None, doc or 0) + ids + last)
+            record = frame(payload_of(doc, ids + last))
             data.write(record)
             index.write(_INDEX.pack(offset, total))
             offset, records, total = offset + len(record), records + 1, total + len(ids) // 4 + 1
@@ -116,10 +130,9 @@ def _read(batches: Iterator[pa.RecordBatch], seed: int | None) -> Iterator[pa.Re
         with files.open_input_file(path) as source:
             for k in order.tolist():
                 source.seek(int(at[k, 0]))
-                payload = read_frame(source)
-                null, doc = _KEY.unpack_from(payload)
-                out.append((None if null else doc, lo + k, row["before"] + int(at[k, 1]), payload[_KEY.size:]))
-                size += len(payload)
+                doc, ids = parse_payload(read_frame(source))
+                out.append((doc, lo + k, row["before"] + int(at[k, 1]), ids))
+                size += len(ids)
                 if size > 1 << 22:
                     yield batch_of(out)
                     out, size = [], 0
