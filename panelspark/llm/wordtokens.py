@@ -18,6 +18,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 CACHED = 900_000  # chunks that a worker keeps, about 170 bytes each
 LONGEST = 64  # bytes of a chunk that is kept
+MARKS = b".,;:!?#$%&*)"
 SLICE = 1 << 20  # bytes of text encoded at a time
 
 
@@ -38,10 +39,20 @@ class ChunkEncoder:
             self.kept.clear()
         # The tokenizer lower-cases all but its special tokens, which start with "<|"; doing A-Z here makes chunks alike.
         kept, split = self.kept, [(t if b"<|" in t else t.lower()).split() for t in texts]
-        new = list({c for s in split for c in s} - kept.keys())
-        kept.update(zip(new, self._ids(new)))
-        out = [b"".join([kept[c] for c in s]) for s in split]
+        new = {c for c in set().union(*split) if c not in kept}
+        # A run of marks behind a letter or digit is a token sequence of its own, so a word is encoded once for all its marks.
+        parts = {}
         for c in new:
+            core = c.rstrip(MARKS)
+            if len(core) < len(c) and core[-1:].isalnum():
+                parts[c] = core, c[len(core):]
+        lone = [c for c in (new - set(parts)).union(*parts.values()) if c not in kept]
+        kept.update(zip(lone, self._ids(lone)))
+        for c, (core, marks) in parts.items():
+            kept[c] = kept[core] + kept[marks]
+        look_up = kept.__getitem__
+        out = [b"".join(map(look_up, s)) for s in split]
+        for c in new.union(lone):
             if len(c) > LONGEST:
                 del kept[c]
         return out
