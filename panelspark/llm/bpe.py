@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from panelspark.llm.common import free_name, text_of
 from panelspark.llm.wordtokens import id_lists
 
-CACHED = 300_000  # pieces that a worker keeps
+CACHED = 700_000  # pieces that a worker keeps
 LONGEST = 64  # characters of a piece that is kept
 _NONE = 1 << 62
 
@@ -92,7 +92,7 @@ class Codec:
         if len(kept) > CACHED:
             kept.clear()
         pieces = self.find(text)
-        new = set(pieces) - kept.keys()
+        new = [p for p in set(pieces) if p not in kept]
         for piece in new:
             kept[piece] = array("I", merge(piece.encode(), self.ranks)).tobytes()
         out = b"".join([kept[p] for p in pieces])
