@@ -216,7 +216,7 @@ def test_mixing_is_a_probability():
     halves = mixing.halves(sums.T)
     model = mixing.Model(halves[0], halves[1], mixing.fresh_weights(), mixing.fresh_cells())
     for k in range(20):
-        mixing.learn_weights(model, words, counts, k)
+        mixing.learn(model, words, counts, k, np.zeros((2, mixing.CELLS)))
     # All tokens of up to one byte, and all first bytes of longer ones, share one unit of probability.
     one_byte = 10 ** mixing.score_words(model, [b"\x01" + bytes([c]) for c in range(256) if c not in b" \t\n\x0b\x0c\r"])
     assert 0 < one_byte.sum() + 10 ** mixing.score_words(model, [b"\x01\n"])[0] < 1
