@@ -1,15 +1,16 @@
 """Exact column quantiles that never gather a column in one task.
 
-`percentile` keeps every distinct value of a column in one aggregation buffer. That is fine
-for a checked row count; above it the quantiles are found by counting: split the value range
-of each column into equal buckets, count them (partial aggregation keeps this small), keep
-the bucket that holds the wanted rank, and repeat inside it. A few scans give the exact order
-statistics, however many rows or repeated values there are.
+`percentile` would keep every distinct value of a column in one aggregation buffer. Quantiles
+are found by counting instead: split the value range of each column into equal buckets, count
+them (partial aggregation keeps this small), keep the bucket that holds the wanted rank, and
+repeat inside it. A few scans give the exact order statistics, however many rows or repeated
+values there are. NaN counts as missing; infinities sort outside all other values.
 """
 
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Row
@@ -17,15 +18,14 @@ from pyspark.sql import functions as F
 
 from panelspark.schema import literal, quoted
 
-SINGLE_PASS_ROWS = 2_000_000
 BUCKETS = 2048
+LARGEST = sys.float_info.max
 
 
 def column_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    single_pass_rows: int = SINGLE_PASS_ROWS,
 ) -> dict[str, list[float | None]]:
     """Linear-interpolation quantiles per column, missing values skipped.
 
@@ -34,16 +34,16 @@ def column_quantiles(
     columns, probabilities = list(columns), [float(p) for p in probabilities]
     if not columns:
         return {}
-    source = df.selectExpr(*[f"double({quoted(c)}) AS c{i}" for i, c in enumerate(columns)])
+    # Infinities become the largest finite numbers and are put back at the end.
+    source = df.selectExpr(*[
+        f"CASE WHEN {quoted(c)} IS NOT NULL AND NOT isnan(double({quoted(c)})) THEN greatest(least(double({quoted(c)}), {LARGEST!r}D), -{LARGEST!r}D) END AS c{i}"
+        for i, c in enumerate(columns)
+    ])
     names = [f"c{i}" for i in range(len(columns))]
     bounds = source.selectExpr(
         *[f"{f}({n}) AS {k}_{n}" for n in names for k, f in (("n", "count"), ("lo", "min"), ("hi", "max"))]
     ).first()
-    if max(bounds[f"n_{n}"] for n in names) > single_pass_rows:
-        return _by_counting(source, columns, probabilities, bounds)
-    wanted = f"array({', '.join(map(literal, probabilities))})"
-    row = source.selectExpr(*[f"percentile({n}, {wanted})" for n in names]).first()
-    return {c: list(row[i]) if row[i] is not None else [None] * len(probabilities) for i, c in enumerate(columns)}
+    return _by_counting(source, columns, probabilities, bounds)
 
 
 def _by_counting(
@@ -72,6 +72,8 @@ def _by_counting(
         for key, (lo, hi, skipped) in list(open_targets.items()):
             for b_lo, b_hi, count in histogram[(key[0], lo, hi)]:
                 if key[1] < skipped + count:
+                    if (b_lo, b_hi) == (lo, hi):
+                        raise RuntimeError(f"values of {columns[key[0]]} between {lo} and {hi} can't be told apart")
                     open_targets[key] = (b_lo, b_hi, skipped)
                     break
                 skipped += count
@@ -83,12 +85,16 @@ def _by_counting(
                 values.append(None)
                 continue
             at = p * (counts[i] - 1)
-            low, high = found[(i, math.floor(at))], found[(i, math.ceil(at))]
-            values.append(low + (high - low) * (at - math.floor(at)))
+            low, high = (_outer(found[(i, r)]) for r in (math.floor(at), math.ceil(at)))
+            values.append(low if low == high or at == math.floor(at) else low + (high - low) * (at - math.floor(at)))
         result[c] = values
     return result
 
 
+def _outer(x: float) -> float:
+    return math.copysign(math.inf, x) if abs(x) == LARGEST else x
+
+
 def _histogram(source: DataFrame, names: list[str], brackets: list[tuple[int, float, float]]):
     """Buckets (min, max, count) in value order for every (column, lo, hi) bracket."""
     by_column: list[list[str]] = [[] for _ in names]

@@ -2,26 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.functions.sketch import correlation, nan_to_null
+from panelspark.functions.sketch import nan_to_null
 from panelspark.operators.profile import at_position
 from panelspark.schema import TARGET, literal, quoted, return_columns
 
-PAIRWISE_COLUMNS = 12
-
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], fill: float | None = None) -> DataFrame:
     """Long matrix (var1, var2, corr), all ordered pairs.
 
     With ``fill`` the rows are complete and the whole matrix comes from one pass of vector
-    products. Without it missing values are skipped pair by pair, in one aggregate.
+    products. Without it missing values are skipped pair by pair, in one pass too.
     """
     columns = list(columns)
     if fill is not None:
@@ -34,23 +33,39 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], fill: float | None
             for j, b in enumerate(columns)
         ]
         return df.sparkSession.createDataFrame(rows, "var1 string, var2 string, corr double")
-    if len(columns) > PAIRWISE_COLUMNS:
-        raise ValueError(f"pairwise deletion is meant for at most {PAIRWISE_COLUMNS} columns; give a fill value")
-    pairs = list(combinations(range(len(columns)), 2))
-    entries = [
-        F.struct(
-            F.lit(columns[i]).alias("a"),
-            F.lit(columns[j]).alias("b"),
-            correlation(F.col(f"`{columns[i]}`"), F.col(f"`{columns[j]}`")).alias("corr"),
-        )
-        for i, j in pairs + [(i, i) for i in range(len(columns))]
-    ]
-    half = df.agg(F.array(*entries).alias("e")).select(F.explode("e").alias("e")).select("e.a", "e.b", "e.corr")
-    mirrored = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
-        F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
-    )
-    both = half.select(F.explode(mirrored).alias("p"), "corr")
-    return both.select(F.col("p.a").alias("var1"), F.col("p.b").alias("var2"), "corr")
+    return _pairwise(df, columns)
+
+
+def _pairwise(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Missing values skipped pair by pair: every task sums count, x, xx and xy over the rows where both of a pair are present,
+    as products of its values with its mask, and hands on one row a pair. Values are shifted by their column's minimum first,
+    so constant columns have a spread of exactly zero."""
+    d = len(columns)
+    low = df.selectExpr(*[f"min(double({quoted(c)}))" for c in columns]).first()
+    shift = np.array([v if v is not None and np.isfinite(v) else 0.0 for v in low])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, d, d))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) - shift
+            seen = ~np.isnan(x)
+            x[~seen] = 0.0
+            mask = seen.astype(float)
+            total += [mask.T @ mask, x.T @ mask, (x * x).T @ mask, x.T @ x]
+        i, j = np.divmod(np.arange(d * d), d)
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (i, j, *total.reshape(4, -1))], names=["i", "j", "n", "sx", "sxx", "sxy"])
+
+    numbers = df.selectExpr(*[f"double({quoted(c)}) AS c{i}" for i, c in enumerate(columns)])
+    parts = numbers.mapInArrow(sums, "i long, j long, n double, sx double, sxx double, sxy double")
+    each = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sxx", "sxy")])
+    other = each.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("sx").alias("sy"), F.col("sxx").alias("syy"))
+    both = each.join(other, ["i", "j"]).withColumns({
+        "vx": F.expr("sxx - sx * sx / nullif(n, 0)"), "vy": F.expr("syy - sy * sy / nullif(n, 0)"), "cov": F.expr("sxy - sx * sy / nullif(n, 0)")})
+    # What rounding leaves of a spread of zero is far below the sums it comes from.
+    spread = F.expr("n > 1 AND vx > 1e-12 * sxx AND vy > 1e-12 * syy")
+    corr = F.when(spread, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.expr("cov / sqrt(vx) / sqrt(vy)"))))
+    name = F.array(*[F.lit(c) for c in columns])
+    return both.select(F.get(name, F.col("i")).alias("var1"), F.get(name, F.col("j")).alias("var2"), corr.alias("corr"))
 
 
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str = TARGET, fill: float | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ undecided ones are halved again. Pairs of points are never listed.
 from __future__ import annotations
 
 import math
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from panelspark.sources.scratch import cut_lineage
 
 POINTS_PER_SALT = 500_000
+DEEPEST = 50  # halvings of a cell; doubles tell no more apart
 # Cells within reach of a cell: two steps in each direction, without the four corners.
 _STEPS = [(a, b) for a in range(-2, 3) for b in range(-2, 3) if abs(a) + abs(b) < 4]
 
@@ -96,7 +98,7 @@ def _boxes(core: DataFrame, side: float, level: int) -> DataFrame:
     ).groupBy("cx", "cy", "sx", "sy").agg(
         F.min("x").alias("x_lo"), F.max("x").alias("x_hi"), F.min("y").alias("y_lo"), F.max("y").alias("y_hi")
     )
-    return boxes.selectExpr("*", "floor(sx / 2) AS px", "floor(sy / 2) AS py")
+    return boxes.selectExpr("*", "shiftright(sx, 1) AS px", "shiftright(sy, 1) AS py")
 
 
 def _decide(pairs: DataFrame, eps: float) -> DataFrame:
@@ -116,7 +118,7 @@ def _decide(pairs: DataFrame, eps: float) -> DataFrame:
     )
 
 
-def _cell_links(core: DataFrame, eps: float, side: float, max_level: int = 60) -> DataFrame:
+def _cell_links(core: DataFrame, eps: float, side: float) -> DataFrame:
     """Pairs of cells (ax, ay, bx, by) with core points in reach of each other, a before b."""
     forward = ", ".join(f"named_struct('a', {a}, 'b', {b})" for a, b in _STEPS if (a, b) > (0, 0))
     cells = core.select("cx", "cy").distinct()
@@ -127,7 +129,9 @@ def _cell_links(core: DataFrame, eps: float, side: float, max_level: int = 60) -
         *_CELLS, "ax AS asx", "ay AS asy", "bx AS bsx", "by AS bsy"
     )
     links = None
-    for level in range(max_level):
+    for level in count():
+        if level > DEEPEST:
+            raise RuntimeError(f"cells are still undecided at boxes of {side / 2**level}: eps is below the points' precision")
         boxes = _boxes(core, side, level)
         # At level 0 the boxes are the cells themselves, below they are halves of the pairs' boxes.
         x, y = ("sx", "sy") if level == 0 else ("px", "py")

@@ -103,6 +103,8 @@ def with_folds(df: DataFrame, k: int = 5, key: str = KEY, seed: int = 42) -> Dat
 
 
 def _mean_std(values: Sequence[float]) -> tuple[float, float]:
+    if not values:
+        raise ValueError("no fold has rows to score")
     mean = sum(values) / len(values)
     return mean, math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))
 
@@ -129,9 +131,12 @@ def cross_validate(make: Factory, folded: DataFrame, k: int = 5, train_filter=No
         if train_filter is not None:
             train = train.where(train_filter)
         model = make().fit(train)
-        result.scores.append(accuracy(model.transform(folded.where(F.col("fold") == i))) or 0.0)
-        if score_train:
-            result.train_scores.append(accuracy(model.transform(train)) or 0.0)
+        # A fold without rows has no accuracy and is left out of the mean.
+        score = accuracy(model.transform(folded.where(F.col("fold") == i)))
+        if score is not None:
+            result.scores.append(score)
+        if score_train and (score := accuracy(model.transform(train))) is not None:
+            result.train_scores.append(score)
     return result
 
 

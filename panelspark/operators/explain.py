@@ -81,7 +81,9 @@ def permutation_importance(model, data: DataFrame, columns: Sequence[str], repea
     base = data.select(KEY, LABEL, vector_to_array(FEATURES).alias("x"))
     rows = base.count()
     hit = (F.col(LABEL) == F.col(PREDICTION)).cast("double")
-    baseline = model.transform(data).agg(F.avg(hit)).first()[0] or 0.0
+    baseline = model.transform(data).agg(F.avg(hit)).first()[0]
+    if baseline is None:
+        raise ValueError("no rows to score")
     drops = None
     for repeat in range(repeats):
         paired = _random_partner(base, ["x"], seed + 2 * repeat, rows)

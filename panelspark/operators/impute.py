@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelspark.functions.quantiles import column_quantiles
+from panelspark.sources.scratch import cut_lineage
 from panelspark.schema import columns_except, literal, quoted, replace_columns, return_columns
 
 
@@ -45,25 +46,26 @@ def fill_down(
     by: Sequence[str],
     order: str,
     method: str = "ffill",
-    chunks: int = 64,
+    ranges: int | None = None,
 ) -> DataFrame:
-    """Fill gaps along ``order`` inside each ``by`` key.
+    """Fill gaps along ``order`` inside each ``by`` key; rows with a null key are a key of their own.
 
-    A key may hold a large part of the table, so a key is cut into ranges of ``order``: windows
-    run per (key, range), and each range hands one summary row (its size, first and last
-    present value per column) to the others. Only those summaries, at most ``chunks`` per key,
-    meet in a window over the whole key.
+    A key may hold a large part of the table, so rows are dealt by ranges of (key, order) of about
+    equal size, as many as there are shuffle partitions unless ``ranges`` says otherwise: windows
+    run per (key, range), and each range hands one summary row (its size, first and last present
+    value per column) to the others. Only those summaries, at most one a range, meet in a window
+    over the whole key. Equal values of ``order`` are put in order by a hash of the row.
     """
     if method not in DOWN_METHODS:
         raise ValueError(f"unknown fill {method!r}, expected one of {DOWN_METHODS}")
     by, columns = list(by), list(columns)
-    cuts = df.agg(
-        F.percentile_approx(F.col(order).cast("double"), [i / chunks for i in range(1, chunks)], 1000).alias("q")
-    ).first()["q"]
-    cut_points = F.array(*[F.lit(float(c)) for c in sorted(set(cuts or []))])
-    part = "__part"
-    base = df.withColumn(part, F.size(F.filter(cut_points, lambda c: c < F.col(order).cast("double"))))
-    inside = W.partitionBy(*by, part).orderBy(order)
+    part, tie = "__part", "__tie"
+    back, ahead = method != "bfill", method != "ffill"  # which directions the method looks in
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn(tie, F.xxhash64(*[F.col(quoted(c)) for c in df.columns])).repartitionByRange(n, *by, order, tie)
+    # Stored, so that both uses below see the same ranges.
+    base = cut_lineage(dealt.withColumn(part, F.spark_partition_id()))
+    inside = W.partitionBy(*by, part).orderBy(order, tie)
     base = base.withColumn("__at", F.row_number().over(inside))
 
     def seen(c: str) -> Column:
@@ -72,14 +74,14 @@ def fill_down(
     before = inside.rowsBetween(W.unboundedPreceding, 0)
     after = inside.rowsBetween(0, W.unboundedFollowing)
     local = base.withColumns(
-        {f"__prev_{c}": F.last(seen(c), ignorenulls=True).over(before) for c in columns}
-        | {f"__next_{c}": F.first(seen(c), ignorenulls=True).over(after) for c in columns}
+        {f"__prev_{c}": F.last(seen(c), ignorenulls=True).over(before) for c in columns if back}
+        | {f"__next_{c}": F.first(seen(c), ignorenulls=True).over(after) for c in columns if ahead}
     )
 
     summary = base.groupBy(*by, part).agg(
         F.count(F.lit(1)).alias("__n"),
-        *[F.max(seen(c)).alias(f"__last_{c}") for c in columns],
-        *[F.min(seen(c)).alias(f"__first_{c}") for c in columns],
+        *[F.max(seen(c)).alias(f"__last_{c}") for c in columns if back],
+        *[F.min(seen(c)).alias(f"__first_{c}") for c in columns if ahead],
     )
     whole = W.partitionBy(*by).orderBy(part)
     earlier, later = whole.rowsBetween(W.unboundedPreceding, -1), whole.rowsBetween(1, W.unboundedFollowing)
@@ -92,15 +94,21 @@ def fill_down(
         )
 
     summary = summary.withColumns(
-        {f"__carry_{c}": F.last(shifted(f"__last_{c}"), ignorenulls=True).over(earlier) for c in columns}
-        | {f"__ahead_{c}": F.first(shifted(f"__first_{c}"), ignorenulls=True).over(later) for c in columns}
-    ).select(*by, part, "__offset", *[f"__{k}_{c}" for c in columns for k in ("carry", "ahead")])
-
-    joined = local.join(summary, [*by, part])
+        {f"__carry_{c}": F.last(shifted(f"__last_{c}"), ignorenulls=True).over(earlier) for c in columns if back}
+        | {f"__ahead_{c}": F.first(shifted(f"__first_{c}"), ignorenulls=True).over(later) for c in columns if ahead}
+    )
+    kept = [f"__{k}_{c}" for c in columns for k, use in (("carry", back), ("ahead", ahead)) if use]
+    summary = summary.select(*[F.col(quoted(c)).alias(f"__by{i}") for i, c in enumerate(by)], F.col(part).alias("__of"), "__offset", *kept)
+    same = local[part] == summary["__of"]
+    for i, c in enumerate(by):
+        same = same & local[c].eqNullSafe(summary[f"__by{i}"])
+    joined = local.join(summary, same)
 
     def filled(c: str) -> Column:
-        prev = F.coalesce(shifted(f"__prev_{c}"), F.col(f"__carry_{c}"))
-        nxt = F.coalesce(shifted(f"__next_{c}"), F.col(f"__ahead_{c}"))
+        if back:
+            prev = F.coalesce(shifted(f"__prev_{c}"), F.col(f"__carry_{c}"))
+        if ahead:
+            nxt = F.coalesce(shifted(f"__next_{c}"), F.col(f"__ahead_{c}"))
         if method == "ffill":
             return prev["v"]
         if method == "bfill":

@@ -103,10 +103,14 @@ class BestKMeans(Estimator):
         self.k, self.runs, self.seed = k, runs, seed
 
     def _fit(self, df: DataFrame) -> KMeansModel:
-        fitted = [
-            KMeans(k=self.k, seed=self.seed + i, featuresCol=FEATURES, predictionCol=PREDICTION).fit(df)
-            for i in range(self.runs)
-        ]
+        points = df.select(FEATURES).persist()
+        try:
+            fitted = [
+                KMeans(k=self.k, seed=self.seed + i, featuresCol=FEATURES, predictionCol=PREDICTION).fit(points)
+                for i in range(self.runs)
+            ]
+        finally:
+            points.unpersist()
         return min(fitted, key=lambda m: m.summary.trainingCost)
 
 
@@ -131,11 +135,24 @@ def random_forest(n_trees: int = 100, max_depth: int = 10) -> RandomForestClassi
     return RandomForestClassifier(numTrees=n_trees, maxDepth=max_depth, seed=SEED, featuresCol=FEATURES, labelCol=LABEL)
 
 
-def multinomial_logistic(max_iter: int = 1000, penalty: float = 0.0) -> LogisticRegression:
-    return LogisticRegression(
-        family="multinomial", maxIter=max_iter, regParam=penalty, standardization=False,
-        featuresCol=FEATURES, labelCol=LABEL,
-    )
+class MultinomialLogistic(Estimator):
+    """Logistic regression that minimises ``strength`` times the sum of losses plus half the squared weights, so the penalty
+    on the mean loss is 1 / (strength * rows)."""
+
+    def __init__(self, max_iter: int = 1000, strength: float = 1.0):
+        super().__init__()
+        self.max_iter, self.strength = max_iter, strength
+
+    def _fit(self, df: DataFrame):
+        rows = max(df.count(), 1)
+        return LogisticRegression(
+            family="multinomial", maxIter=self.max_iter, regParam=1.0 / (self.strength * rows), standardization=False,
+            featuresCol=FEATURES, labelCol=LABEL,
+        ).fit(df)
+
+
+def multinomial_logistic(max_iter: int = 1000, strength: float = 1.0) -> MultinomialLogistic:
+    return MultinomialLogistic(max_iter, strength)
 
 
 def kernel_svm(size: int = 128) -> Pipeline:

@@ -57,7 +57,7 @@ def group_profile(df: DataFrame, groups: Mapping[str, Sequence[str]] | None = No
             [extremes(corr.where(F.col("group") == g), "corr", 3).select(F.lit(g).alias("group"), "*") for g in groups]
         )
     inner = [
-        correlation_matrix(df, cols[:10]).select(F.lit(g).alias("group"), "*") for g, cols in groups.items() if len(cols) > 1
+        correlation_matrix(df, cols).select(F.lit(g).alias("group"), "*") for g, cols in groups.items() if len(cols) > 1
     ]
     if inner:
         out["inner"] = _stack(inner)

@@ -42,7 +42,7 @@ def compare_methods(
     ranked = rank_all(df, columns, [m for m in methods if m in RANKERS])
     out = {"rankings": ranked, "overlaps": pair_overlaps(ranked, top_n)}
     if "pca" in methods:
-        variance = fit_components(df, columns, min(len(columns), 100)).variance()
+        variance = fit_components(df, columns, len(columns)).variance()
         out["components"] = components_needed(variance, (0.7, 0.8, 0.9, 0.95))
     return out
 

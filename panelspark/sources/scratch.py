@@ -18,7 +18,9 @@ def _base(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder all executors share")
-    return _local.setdefault(context.applicationId, tempfile.mkdtemp(prefix="panelspark-"))
+    if context.applicationId not in _local:
+        _local[context.applicationId] = tempfile.mkdtemp(prefix="panelspark-")
+    return _local[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

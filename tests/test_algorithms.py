@@ -8,6 +8,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.sql import functions as F
 
 from panelspark.functions.quantiles import column_quantiles
+from panelspark.operators.correlate import correlation_matrix
 from panelspark.functions.sketch import f_tail, normal_quantile
 from panelspark.operators import explain as X
 from panelspark.operators.density import connected_components, dbscan
@@ -39,12 +40,28 @@ def test_quantiles_by_counting_equal_single_pass(spark):
     })
     df = to_spark(spark, frame)
     probs = [0.0, 0.01, 0.25, 0.5, 0.77, 1.0]
-    counted = column_quantiles(df, list("abcd"), probs, single_pass_rows=0)
-    single = column_quantiles(df, list("abcd"), probs)
+    counted = column_quantiles(df, list("abcd"), probs)
     for c in "abc":
         np.testing.assert_allclose(counted[c], frame[c].quantile(probs))
-        np.testing.assert_allclose(single[c], frame[c].quantile(probs))
-    assert counted["d"] == single["d"] == [None] * len(probs)
+    assert counted["d"] == [None] * len(probs)
+
+
+def test_quantiles_take_nan_and_infinities(spark):
+    inf = float("inf")
+    rows = [(v, 1.0) for v in (1.0, 2.0, float("nan"), inf, None, -inf, 3.0)]
+    cuts = column_quantiles(spark.createDataFrame(rows, "a double, b double"), ["a", "b"], [0.0, 0.25, 0.5, 0.75, 1.0])
+    assert cuts == {"a": [-inf, 1.0, 2.0, 3.0, inf], "b": [1.0] * 5}
+
+
+def test_pairwise_correlations_of_many_columns(spark):
+    rng = np.random.default_rng(3)
+    frame = pd.DataFrame(rng.normal(size=(60, 20)) + 1e4, columns=[f"r{i}" for i in range(20)])
+    frame[rng.random((60, 20)) < 0.4] = np.nan
+    frame["r18"], frame["r19"] = 0.1, np.nan
+    want = frame.corr()
+    for r in correlation_matrix(to_spark(spark, frame), list(frame.columns)).collect():
+        expected = want.loc[r["var1"], r["var2"]]
+        assert (r["corr"] is None) == bool(np.isnan(expected)) and (r["corr"] is None or abs(r["corr"] - expected) < 1e-6)
 
 
 def brute_dbscan(xy: np.ndarray, eps: float, least: int):

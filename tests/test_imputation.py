@@ -52,6 +52,16 @@ def test_fills_down_rows(spark, method, chunks):
     np.testing.assert_allclose(collected(got, cols), want[cols].to_numpy(), equal_nan=True)
 
 
+def test_fill_down_keeps_rows_with_null_keys_and_ties(spark):
+    rows = [(1, None, 1, 1.0), (2, None, 2, None), (3, 1, 1, None), (4, 1, 1, 5.0), (5, 1, 2, None), (5, 1, 2, None), (6, None, None, None)]
+    df = spark.createDataFrame(rows, "ID long, equity int, day int, r0 double")
+    for method in ("ffill", "bfill", "ffill_then_bfill", "bfill_then_ffill", "linear"):
+        got = fill_down(df, ["r0"], ["equity"], "day", method, 3).collect()
+        assert sorted(r["ID"] for r in got) == [1, 2, 3, 4, 5, 5, 6]
+    filled = {r["ID"]: r["r0"] for r in fill_down(df, ["r0"], ["equity"], "day", "ffill", 3).collect()}
+    assert filled[2] == 1.0 and filled[5] == 5.0 and filled[6] is None
+
+
 def test_standardise_and_back(spark):
     frame = panel_frame(seed=2)
     cols = returns(frame)

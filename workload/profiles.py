@@ -134,10 +134,10 @@ def a9(spark, sf_dir):
     "SELECT \"column\", " + ", ".join(num(f"quantile_cont(value, {q / 100})", f"q{q:02d}") for q in (1, 25, 50, 99)) + f' FROM {LINE_LONG} GROUP BY "column"',
 )
 def a9_counting(spark, sf_dir):
-    """The distributed path, forced."""
+    """Raw numbers, four probabilities at once."""
     from panelspark.functions.quantiles import column_quantiles
 
-    cuts = column_quantiles(lineitem(spark, sf_dir), LINE, [0.01, 0.25, 0.5, 0.99], single_pass_rows=0)
+    cuts = column_quantiles(lineitem(spark, sf_dir), LINE, [0.01, 0.25, 0.5, 0.99])
     return spark.createDataFrame([(c, *q) for c, q in cuts.items()], "column string, q01 double, q25 double, q50 double, q99 double")
 
 
@@ -203,13 +203,12 @@ def a10(spark, sf_dir):
 
 
 def pairwise_sql(source: str) -> str:
-    return f"""SELECT a.pos AS i, b.pos AS j, corr(a.value, b.value) AS c FROM {source} a JOIN {source} b USING ("ID")
-      WHERE a.pos IN (0, 10, 25, 40, 52) AND b.pos IN (0, 10, 25, 40, 52) GROUP BY ALL"""
+    return f"""SELECT a.pos AS i, b.pos AS j, corr(a.value, b.value) AS c FROM {source} a JOIN {source} b USING ("ID") GROUP BY ALL"""
 
 
 @query("a10_correlation_pairwise", sql(f"SELECT {PAIR}, {num('c', 'corr')} FROM ({pairwise_sql('grid')})"))
 def a10_pairwise(spark, sf_dir):
-    return C.correlation_matrix(panel(spark, sf_dir), CHOSEN)
+    return C.correlation_matrix(panel(spark, sf_dir), RETURNS)
 
 
 @query(
@@ -244,7 +243,7 @@ NORMED = """normed AS (SELECT "ID", pos, coalesce((value - m) / (s + 1e-8), 0.0)
 )
 def a13(spark, sf_dir):
     df = panel(spark, sf_dir)
-    return C.normalisation_impact(df, normalise_rows(df), CHOSEN)
+    return C.normalisation_impact(df, normalise_rows(df), RETURNS)
 
 
 EXTREMES = """(SELECT * FROM (SELECT 'top' AS side, c, pos FROM {t} WHERE c IS NOT NULL ORDER BY c DESC LIMIT {n})

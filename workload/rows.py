@@ -186,25 +186,29 @@ def _down_sql(kind: str) -> str:
     pn = f"first_value(CASE WHEN value IS NOT NULL THEN seq END IGNORE NULLS) OVER ({after})"
     value = {
         "ffill": prev,
+        "bfill": nxt,
+        "ffill_then_bfill": f"coalesce({prev}, {nxt})",
         "bfill_then_ffill": f"coalesce({nxt}, {prev})",
         "linear": f"coalesce(value, {prev} + ({nxt} - {prev}) * (seq - {pp}) / ({pn} - {pp}), {prev}, {nxt})",
     }[kind]
     return sql(
         f"SELECT {wholes('ID', 'pos')}, {num(value, 'value')} FROM "
-        "(SELECT *, row_number() OVER (PARTITION BY equity, pos ORDER BY day) AS seq FROM grid WHERE pos < 6)"
+        "(SELECT *, row_number() OVER (PARTITION BY equity, pos ORDER BY day) AS seq FROM grid)"
     )
 
 
 def _down_query(name: str, kind: str):
     @query(name, _down_sql(kind))
     def run(spark, sf_dir):
-        columns = RETURNS[:6]
+        columns = RETURNS
         df = panel(spark, sf_dir).select(KEY, "day", "equity", *columns)
         filled = I.fill_down(df, columns, ["equity"], "day", kind)
         return filled.select(KEY, F.posexplode(S.pack(columns)).alias("pos", "value"))
 
 
 _down_query("i1_forward_fill_down", "ffill")
+_down_query("i2_backward_fill_down", "bfill")
+_down_query("i3_forward_then_backward_down", "ffill_then_bfill")
 _down_query("i3_backward_then_forward_down", "bfill_then_ffill")
 _down_query("i4_interpolation_down", "linear")
 
