@@ -1,7 +1,7 @@
 """Neighbour and iterative imputation, clustering, components, models, attribution.
 
-Model queries run on the whole derived panel with small estimators; their tables hold fitted or
-sampled numbers that no SQL gives, unless an oracle is stated.
+Model queries run on the whole derived panel with the catalogue's estimators and the default numbers of rounds, folds, draws,
+repeats and samples; their tables hold fitted or sampled numbers that no SQL gives, unless an oracle is stated.
 """
 
 from __future__ import annotations
@@ -25,13 +25,10 @@ from panelspark.sources.derived import split_by_key
 from workload.base import RETURNS, num, packed, query, sql, stored_kept, stored_panel, whole, wholes
 from workload.files import registry
 
-SMALL = {
-    "boosted": M.Entry(lambda: M.boosted_trees(3, 3, 0.3), "a few boosted trees"),
-    "forest": M.Entry(lambda: M.random_forest(10, 5), "small forest"),
-    "logistic": M.Entry(lambda: M.multinomial_logistic(20, 0.01), "multinomial logistic regression"),
-    "svm": M.Entry(lambda: M.kernel_svm(64), "RBF features and margins"),
-    "dense": M.Entry(lambda: M.dense_network(len(RETURNS), (16, 8), 15), "small dense network"),
-    "bottleneck": M.Entry(lambda: M.bottleneck_network(len(RETURNS), 8, 15), "encoder and network"),
+CATALOGUE = M.all_models() | {
+    "dense": M.Entry(lambda: M.dense_network(len(RETURNS)), "64-32 network"),
+    "bottleneck": M.Entry(lambda: M.bottleneck_network(len(RETURNS)), "encoder and 128-64-32 network"),
+    "signature": M.Entry(M.signature_model, "boosted trees on path signatures"),
 }
 
 
@@ -72,7 +69,7 @@ def i8(spark, sf_dir):
 
 @query("i9_iterative_imputation")
 def i9(spark, sf_dir):
-    return packed(impute_iterative(stored_kept(spark, sf_dir), rounds=3))
+    return packed(impute_iterative(stored_kept(spark, sf_dir)))
 
 
 # --- clustering ---------------------------------------------------------------------------------
@@ -120,7 +117,7 @@ def cluster_sizes(model, df: DataFrame) -> DataFrame:
 @query("m6_k_means")
 def m6(spark, sf_dir):
     df = vectors(spark, sf_dir)
-    return cluster_sizes(M.BestKMeans(3, 3).fit(df), df)
+    return cluster_sizes(M.unsupervised_models()["kmeans"].make().fit(df), df)
 
 
 @query("m7_hierarchical_clusters")
@@ -160,12 +157,12 @@ def r2(spark, sf_dir):
 def _model_query(name: str, key: str):
     @query(name)
     def run(spark, sf_dir):
-        _, _, predictions = V.score_experiment(*sides(spark, sf_dir), SMALL[key], "standard", RETURNS)
+        _, _, predictions = V.score_experiment(*sides(spark, sf_dir), CATALOGUE[key], "standard", RETURNS)
         return E.class_report(E.confusion_counts(predictions))
 
 
-_model_query("m1_m4_boosted_trees", "boosted")
-_model_query("m2_random_forest", "forest")
+_model_query("m1_m4_boosted_trees", "xgboost_baseline")
+_model_query("m2_random_forest", "rf_baseline")
 _model_query("m3_m12_logistic_regression", "logistic")
 _model_query("m5_kernel_svm", "svm")
 _model_query("m8_dense_network", "dense")
@@ -174,7 +171,7 @@ _model_query("m9_bottleneck_network", "bottleneck")
 
 @query("m11_signature_model")
 def m11(spark, sf_dir):
-    _, _, predictions = V.signature_experiment(*sides(spark, sf_dir), SMALL["boosted"])
+    _, _, predictions = V.signature_experiment(*sides(spark, sf_dir), CATALOGUE["signature"])
     return E.prediction_shares(predictions)
 
 
@@ -185,19 +182,19 @@ def measured(results: DataFrame) -> DataFrame:
 
 @query("v1_run_experiment")
 def v1(spark, sf_dir):
-    return measured(V.run_experiment(spark, registry(spark, sf_dir), "ffbf", "logistic", models=SMALL))
+    return measured(V.run_experiment(spark, registry(spark, sf_dir), "ffbf", "logistic", models=CATALOGUE))
 
 
 @query("c5_v9_scaler_sweep")
 def c5(spark, sf_dir):
     return measured(V.sweep(
-        spark, registry(spark, sf_dir), ["ffbf"], ["forest"], (False,), ("standard", "minmax", "robust", "quantile"), models=SMALL
+        spark, registry(spark, sf_dir), ["ffbf"], ["rf_baseline"], (False,), ("standard", "minmax", "robust", "quantile"), models=CATALOGUE
     ))
 
 
 @query("e8_feature_sets")
 def e8(spark, sf_dir):
-    return V.evaluate_feature_sets(*sides(spark, sf_dir), SMALL["forest"]).select("feature_set", "accuracy", "f1_weighted")
+    return V.evaluate_feature_sets(*sides(spark, sf_dir), CATALOGUE["rf_baseline"]).select("feature_set", "accuracy", "f1_weighted")
 
 
 def assembled(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -207,7 +204,7 @@ def assembled(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 @query("v4_evaluate_performance")
 def v4(spark, sf_dir):
-    metrics, _ = E.evaluate_performance(SMALL["logistic"].make, *assembled(spark, sf_dir), cv=3)
+    metrics, _ = E.evaluate_performance(CATALOGUE["logistic"].make, *assembled(spark, sf_dir))
     rows = [(k, float(v)) for k, v in metrics.items() if not k.endswith("_time")]
     return spark.createDataFrame(rows, "metric string, value double")
 
@@ -215,28 +212,29 @@ def v4(spark, sf_dir):
 @query("v5_search_parameters")
 def v5(spark, sf_dir):
     train, _ = assembled(spark, sf_dir)
-    grid = {"n_trees": [5, 10], "max_depth": [2, 4]}
-    return E.search_parameters(M.random_forest, grid, train, cv=2, n_iter=2)["trials"]
+    grid = {"max_iter": [100, 300, 1000], "strength": [0.01, 0.03, 0.1, 0.3, 1.0, 3.0, 10.0, 30.0]}
+    return E.search_parameters(M.multinomial_logistic, grid, train)["trials"]
 
 
 @query("v6_learning_curve")
 def v6(spark, sf_dir):
     train, _ = assembled(spark, sf_dir)
-    return E.learning_curve(SMALL["logistic"].make, train, 2, (0.5, 1.0))
+    return E.learning_curve(CATALOGUE["logistic"].make, train)
 
 
 @query("e7_optimise_feature_count")
 def e7(spark, sf_dir):
     train, _ = sides(spark, sf_dir)
-    ranking = S.ordered_features(S.RANKERS["correlation"](train, RETURNS, top_n=10))
-    return S.optimise_feature_count(train, ranking, SMALL["logistic"], (5, 10), cv=2)["results"]
+    ranking = S.ordered_features(S.RANKERS["correlation"](train, RETURNS, top_n=len(RETURNS)))
+    counts = tuple(range(5, len(ranking) + 1, 5))
+    return S.optimise_feature_count(train, ranking, CATALOGUE["logistic"], counts)["results"]
 
 
 @query("v11_final_models")
 def v11(spark, sf_dir):
     train, test = sides(spark, sf_dir)
     ranking = S.ordered_features(S.RANKERS["f_value"](train, RETURNS, top_n=10))
-    return S.final_models(train, test, ranking, SMALL["forest"])
+    return S.final_models(train, test, ranking, CATALOGUE["rf_baseline"])
 
 
 # --- attribution --------------------------------------------------------------------------------
@@ -244,7 +242,7 @@ def v11(spark, sf_dir):
 
 def explained(spark, sf_dir):
     train, test = assembled(spark, sf_dir)
-    return SMALL["logistic"].make().fit(train), train, test
+    return CATALOGUE["logistic"].make().fit(train), train, test
 
 
 @query("x1_builtin_importance")
@@ -256,23 +254,23 @@ def x1(spark, sf_dir):
 @query("x2_train_and_rank")
 def x2(spark, sf_dir):
     train, _ = sides(spark, sf_dir)
-    return V.feature_importance(add_features(train), SMALL["forest"])[0]
+    return V.feature_importance(add_features(train), CATALOGUE["rf_baseline"])[0]
 
 
 @query("x3_permutation_importance")
 def x3(spark, sf_dir):
     model, _, test = explained(spark, sf_dir)
-    return X.permutation_importance(model, test, RETURNS, repeats=2)
+    return X.permutation_importance(model, test, RETURNS)
 
 
 @query("x4_x5_shapley_ranking")
 def x4(spark, sf_dir):
     model, _, test = explained(spark, sf_dir)
-    return X.attribution_ranking(X.shapley_attributions(model, test, RETURNS, permutations=2))
+    return X.attribution_ranking(X.shapley_attributions(model, test, RETURNS))
 
 
 @query("x6_local_surrogate")
 def x6(spark, sf_dir):
     """Every test row gets its own surrogate."""
     model, _, test = explained(spark, sf_dir)
-    return X.local_surrogate(model, test, RETURNS, [1.0] * len(RETURNS), samples=200)
+    return X.local_surrogate(model, test, RETURNS, [1.0] * len(RETURNS))
