@@ -244,7 +244,7 @@ def near_duplicates(df: DataFrame, text: str = "text", size: int = SHINGLE, max_
 def keep_one(df: DataFrame, text: str = "text", size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each group, that of the least doc_id, with its columns; of several rows with that doc_id one stays. Rows with
     a null doc_id can't be named, and all stay."""
-    chosen = near_duplicates(df, text, size, max_bits).select(F.col("component_id").alias("_keep")).filter("_keep IS NOT NULL")
+    chosen = near_duplicates(df, text, size, max_bits).select(F.col("component_id").alias("_keep")).filter("_keep IS NOT NULL").distinct()
     named = df.filter(F.col("doc_id").isNotNull())
     kept = named.join(chosen, named["doc_id"] == chosen["_keep"], "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(df.filter(F.col("doc_id").isNull()))
