@@ -71,7 +71,8 @@ def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.report(table(spark, sf_dir, "documents"))
+    """Without the name of the rejecting rule, as it depends on the measured order."""
+    return quality.report(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,4 +96,34 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_context_mixing, op2_line_dedup, op3_byte_level_bpe, op4_token_records, op5_warc_capture_index, op6_harmonic_packing, op7_quality_rules,
     op8_simhash_near_dedup, op9_rotated_code_neighbours, op10_chat_formatting,
 )}
-ORACLES: dict[str, str] = {}
+# SQL for DuckDB. The others hash shingles, tokenize, align, search by codes or fit a model, which SQL can't; tests compare
+# them with brute force.
+ORACLES: dict[str, str] = {
+    "op5_warc_capture_index": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, strlen(h) AS n, sha1(h) AS d, max(page_id) OVER (PARTITION BY h) AS first FROM p),
+r AS (SELECT *, n >= 1000 AND page_id < first AS again FROM q)
+SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN first END AS refers_to FROM r""",
+    "op7_quality_rules": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS c FROM win) WHERE c > 1),
+cov AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM rep, (VALUES (0), (1), (2)) v(k) GROUP BY doc_id),
+m AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l, coalesce(cov.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN cov ON cov.doc_id = d.doc_id),
+b AS (SELECT *, CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed, NOT (base_failed
+  OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept FROM b""",
+    "op10_chat_formatting": r"""
+WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, t)) AS turns_sha256,
+  CAST(coalesce(sum(length(t)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY turn, role, t) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(24 + length(role) + length(t) + len(regexp_extract_all(t, '<\\*\|'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id""",
+}
