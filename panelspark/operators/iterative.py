@@ -42,15 +42,15 @@ def impute_iterative(
         if settled:
             break
 
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            values = _replay(_matrix(batch["r"], len(columns)), start, models)
-            yield pd.DataFrame({KEY: batch[KEY], "__filled": list(values)})
+    width = len(columns)
+
+    @F.pandas_udf("array<double>")
+    def fill(r: pd.Series) -> pd.Series:
+        return pd.Series(list(_replay(_matrix(r, width), start, models)), index=r.index)
 
-    filled = packed.mapInPandas(fill, f"{KEY} long, __filled array<double>")
     observed = {i for i, v in enumerate(row) if v is not None}
     fresh = {c: v for i, (c, v) in enumerate(S.unpack("__filled", columns).items()) if i in observed}
-    return replace_columns(df.join(filled, KEY).select(*df.columns, "__filled"), fresh, ["__filled"])
+    return replace_columns(df.withColumn("__filled", fill(S.pack(columns))), fresh, ["__filled"])
 
 
 def _matrix(rows: pd.Series, width: int) -> np.ndarray:

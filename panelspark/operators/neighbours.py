@@ -14,6 +14,8 @@ The work stays quadratic in the size of a key: that is what an exact answer cost
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -38,36 +40,39 @@ def impute_neighbours(
     columns = return_columns(df) if columns is None else list(columns)
     by = list(by)
     width = len(columns)
-    packed = df.select(KEY, *by, S.pack(columns).alias("r"))
+    packed = df.withColumn("__r", S.pack(columns))
 
     def each(function: str) -> str:
         return f"array({', '.join(f'{function}({quoted(c)})' for c in columns)})"
 
     stats = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.expr(each("avg")).alias("mean"), F.expr(each("stddev_samp")).alias("std")
+        F.count(F.lit(1)).alias("__n"), F.expr(each("avg")).alias("__mean"), F.expr(each("stddev_samp")).alias("__std")
     )
     if by:
-        rows = packed.join(stats, by)
+        # Rows with a null key are a key of their own.
+        named = stats.withColumnsRenamed({c: f"__by{i}" for i, c in enumerate(by)})
+        same = [packed[c].eqNullSafe(named[f"__by{i}"]) for i, c in enumerate(by)]
+        rows = packed.join(named, reduce(and_, same)).drop(*[f"__by{i}" for i in range(len(by))])
     else:
         whole = stats.first()
         rows = packed.withColumns(
-            {"n": F.lit(whole["n"])}
-            | {c: literal_array(whole[c], "double") for c in ("mean", "std")}
+            {"__n": F.lit(whole["__n"])}
+            | {c: literal_array(whole[c], "double") for c in ("__mean", "__std")}
         )
     place = F.sequence(F.lit(0), F.lit(width - 1))
     z = F.transform(
         place,
         # A constant column has no scale; every present value then sits at 0.
         lambda i: F.coalesce(
-            F.try_divide(F.get("r", i) - F.get("mean", i), F.get("std", i)),
-            F.when(F.get("r", i).isNotNull(), F.lit(0.0)),
+            F.try_divide(F.get("__r", i) - F.get("__mean", i), F.get("__std", i)),
+            F.when(F.get("__r", i).isNotNull(), F.lit(0.0)),
         ),
     )
     rows = rows.withColumns(
-        {"z": z, "blocks": F.ceil(F.col("n") / block_rows).cast("int")}
-    ).withColumn("block", F.pmod(F.xxhash64(KEY), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    pairs = rows.select(KEY, *by, "z", "block", other).select(
+        {"__z": z, "__blocks": F.ceil(F.col("__n") / block_rows).cast("int")}
+    ).withColumn("__block", F.pmod(F.xxhash64(KEY), F.col("__blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)).alias("other")
+    pairs = rows.select(KEY, *by, F.col("__z").alias("z"), F.col("__block").alias("block"), other).select(
         F.col(KEY).alias("id"),
         *by,
         "z",
@@ -96,19 +101,17 @@ def impute_neighbours(
         .groupBy("id")
         .agg(F.map_from_entries(F.collect_list(F.struct("feature", "value"))).alias("found"))
     )
-    filled = rows.select(KEY, "r", "mean", "std").join(means.withColumnRenamed("id", KEY), KEY, "left")
-    filled = filled.select(
-        KEY,
-        F.transform(
-            place,
-            lambda i: F.coalesce(
-                F.get("r", i),
-                F.try_element_at("found", i) * F.coalesce(F.get("std", i), F.lit(0.0)) + F.get("mean", i),
-                F.get("mean", i),
-            ),
-        ).alias("__filled"),
+    means = means.select(F.col("id").alias("__id"), "found")
+    filled = F.transform(
+        place,
+        lambda i: F.coalesce(
+            F.get("__r", i),
+            F.try_element_at("found", i) * F.coalesce(F.get("__std", i), F.lit(0.0)) + F.get("__mean", i),
+            F.get("__mean", i),
+        ),
     )
-    joined = df.join(filled, KEY).select(*df.columns, "__filled")
+    # Whole rows are carried along, so a repeated id stays as often as it was.
+    joined = rows.join(means, rows[KEY] == means["__id"], "left").select(*df.columns, filled.alias("__filled"))
     return replace_columns(joined, S.unpack("__filled", columns), ["__filled"])
 
 

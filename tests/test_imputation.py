@@ -132,3 +132,10 @@ def test_iterative_first_round_is_ridge_on_mean_filled(spark):
     frame.loc[:9, "r1"] = np.nan
     got = collected(impute_iterative(to_spark(spark, frame), rounds=1), ["r1"])[:, 0]
     np.testing.assert_allclose(got[:10], (2 * a + 1)[:10], atol=1e-3)
+
+
+def test_imputers_keep_rows_with_null_keys_and_repeated_ids(spark):
+    rows = [(1, 1, 1.0, 2.0), (1, 1, None, 3.0), (2, 1, 2.0, None), (3, None, 4.0, 1.0), (4, None, None, 2.0), (5, 2, None, None)]
+    df = spark.createDataFrame(rows, "ID long, equity int, r0 double, r1 double")
+    for got in (impute_neighbours(df), impute_neighbours(df, by=["equity"]), impute_iterative(df)):
+        assert sorted(r["ID"] for r in got.collect()) == [1, 1, 2, 3, 4, 5]
