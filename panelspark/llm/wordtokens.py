@@ -16,7 +16,7 @@ import pyarrow as pa
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHED = 900_000  # chunks that a worker keeps, about 170 bytes each
+CACHED = 600_000  # chunks that a worker keeps, about 170 bytes each
 LONGEST = 64  # bytes of a chunk that is kept
 MARKS = b".,;:!?#$%&*)"
 SLICE = 1 << 20  # bytes of text encoded at a time
