@@ -89,6 +89,74 @@ def test_line_dedup_hot_line_repeated_rows_and_columns(spark):
     assert linededup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_windows_of_short_lines():
+    rng = random.Random(7)
+    for _ in range(200):
+        n = [rng.choice([0, 3, 11, 17, 29, 30, 70]) for _ in range(rng.randrange(15))]
+        plain = []
+        for i, own in enumerate(n):
+            for j in range(i + 1, len(n) + 1):
+                if not 0 < own or max(n[i:j]) >= linededup.LONG:
+                    break
+                if sum(n[i:j]) >= linededup.LONG:
+                    plain.append((i, j - 1))
+                    break
+        assert list(linededup.windows(n)) == plain
+
+
+def test_line_dedup_aligns_with_all_earlier_documents(spark):
+    p, q = ("\n".join(f"{x} {LONG_LINE} {k}" for k in range(3)) for x in "pq")
+    short = ["short rare line one", "short rare line two", "short rare line six"]
+    swapped = [f"{p}\n{q}", f"{q}\n{p}", f"{q}\n{p}", f"{q}\nhere a line of its own\n{p}"]
+    split = [f"{s}\nown text {k} of this document" for k, s in enumerate(short)] + ["\n".join([f"own start {k}", *short]) for k in range(2)]
+    around = [f"around {LONG_LINE}", *(f"{short[0]} b\naround {LONG_LINE}\n{short[1]} b" for _ in range(2))]
+    got = {r["doc_id"]: r for r in linededup.dedup_lines(H.documents(spark, swapped + split + around)).collect()}
+    assert got[0]["text"] == swapped[0] and got[1]["n_removed"] == 3
+    assert got[2]["text"] == "" and set(got[2]["aligned_with"]) == {0, 1}
+    assert got[3]["text"] == "here a line of its own"
+    assert [got[k]["n_removed"] for k in range(4, 9)] == [0, 0, 0, 0, 3] and got[8]["text"] == "own start 1" and got[8]["aligned_with"] == [7]
+    assert [got[k]["n_removed"] for k in (9, 10, 11)] == [0, 1, 3]
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_line_dedup_against_alignment_of_all_pairs(spark, ordered):
+    """Passages of long and of short lines. In one order the results are those of aligning each text with all earlier ones; else
+    no line may vanish from the corpus, and what two texts still share must be crossed by something else that they shared."""
+    rng = random.Random(11)
+    passages = [[f"{x} {LONG_LINE} {k}" for k in range(2)] for x in "abcd"] + [[f"{x} verse {k} of song" for k in range(3)] for x in "efgh"]
+    texts, orders = [], []
+    for i in range(30):
+        chosen = rng.sample(range(8), rng.randrange(1, 6))
+        orders.append(sorted(chosen) if ordered else chosen)
+        texts.append([f"own line of document {i} here"] + [y for x in orders[-1] for y in passages[x] + [""]])
+    rows = sorted(linededup.dedup_lines(H.documents(spark, ["\n".join(t) for t in texts])).collect(), key=lambda r: r["doc_id"])
+    lines = [[y for y in r["text"].split("\n") if y] for r in rows]
+    kept: list[list[str]] = []
+    for t in texts:
+        rest = [y for y in t if y]
+        for earlier in kept:
+            common = sorted((a, b) for a, x in enumerate(earlier) for b, y in enumerate(rest) if x == y)
+            gone = {common[i][1] for i in linededup.aligned(common)}
+            rest = [y for b, y in enumerate(rest) if b not in gone]
+        kept.append(rest)
+    assert {y for x in lines for y in x} == {y for x in texts for y in x if y}
+    if ordered:
+        assert lines == kept
+    for i, b in enumerate(orders):
+        for j, a in enumerate(orders[:i]):
+            for x in set(a) & set(b):
+                if passages[x][0] in lines[i] and passages[x][0] in lines[j]:
+                    assert any((a.index(x) < a.index(y)) != (b.index(x) < b.index(y)) for y in set(a) & set(b) - {x})
+
+
+@pytest.mark.parametrize("copies", [3, 20])
+def test_line_dedup_short_lines_at_any_frequency(spark, copies):
+    verse = "\n".join(["roses are red", "violets are blue", "", "sugar is sweet"])
+    texts = [f"own line {i} of this document\n{verse}" for i in range(copies)]
+    rows = linededup.dedup_lines(H.documents(spark, texts)).collect()
+    assert all(r["n_removed"] == (4 if r["doc_id"] else 0) for r in rows)
+
+
 @pytest.mark.parametrize("shape", ["path", "star", "random"])
 def test_components(spark, shape):
     rng = random.Random(3)
