@@ -33,12 +33,21 @@ class ChunkEncoder:
         found = self.library.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
         return (array("I", e.ids).tobytes() for e in found)
 
+    @staticmethod
+    def _chunks(text: bytes) -> list[bytes]:
+        if b"<|" in text:
+            return text.split()
+        if text.isascii():
+            return text.lower().split()
+        return [c.lower() if c.isascii() else c for c in text.split()]
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
         if len(self.kept) > CACHED:
             self.kept.clear()
-        # The tokenizer lower-cases all but its special tokens, which start with "<|"; doing A-Z here makes chunks alike.
-        kept, split = self.kept, [(t if b"<|" in t else t.lower()).split() for t in texts]
+        # The tokenizer lower-cases all but its special tokens, which start with "<|"; doing A-Z here makes chunks alike. Chunks
+        # that are not ASCII stay as they are: it composes marks before, and some letters compose with a mark in lower case only.
+        kept, split = self.kept, [self._chunks(t) for t in texts]
         new = {c for c in set().union(*split) if c not in kept}
         # A run of marks behind a letter or digit is a token sequence of its own, so a word is encoded once for all its marks.
         parts = {}

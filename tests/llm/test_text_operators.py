@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from panelspark.llm import components, linededup, packing, quality, queries, simhash
+from panelspark.llm import components, linededup, packing, quality, queries, simhash, wordtokens
 from panelspark.llm.common import table
 from tests.llm import helpers as H
 
@@ -219,6 +219,14 @@ def test_cut():
         assert sum(pieces) == n and max(pieces) <= 4096 and min(pieces) > 0
 
 
+def test_chunks_that_compose_in_lower_case_only():
+    library = Tokenizer.from_file(WORD_BPE)
+    words = [x + "ayr" for x in ("H\u0331", "T\u0308", "W\u030a", "Y\u030a", "J\u030c", "E\u0301", "\u00c9", "\u0130")]
+    texts = ["ABC " + w + ", Abc" for w in words] + [" ".join(words), "PLAIN Words.", "<|x|> H\u0331ayr Abc"]
+    found = wordtokens.encode_texts([x.encode() for x in texts], WORD_BPE)
+    assert [np.frombuffer(b, np.uint32).tolist() for b in found] == [library.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_packing(spark):
     texts = [r["text"] for r in table(spark, H.FOLDER, "documents").collect()] + [None, "", "a", "<|endoftext|> é́ x\x1cy", "long word " * 9000]
     ids = [*range(len(texts) - 1), None]
