@@ -40,6 +40,11 @@ def escape_role(role: Column) -> Column:
     return escape(F.replace(F.replace(role, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")))
 
 
+def text_part(text: Column) -> Column:
+    """A PART of kind text."""
+    return F.struct(F.lit("text"), text, *[F.lit(None)] * 5).cast(PART)
+
+
 def _known(part: Column) -> Column:
     return F.coalesce(part["type"].isin(*PLACEHOLDERS), F.lit(False))
 

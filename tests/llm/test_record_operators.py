@@ -205,6 +205,14 @@ def test_chat_parts(spark):
     assert second["attachments"] == [] and (second["loss_start"], second["loss_end"]) == (22, 22)
 
 
+def test_chat_query_visits_parts(spark, monkeypatch):
+    visited, flatten = [], chat.flatten
+    monkeypatch.setattr(chat, "flatten", lambda parts: visited.append(1) or flatten(parts))
+    got = queries.op10_chat_formatting(spark, H.FOLDER).filter("conv_id < 0").collect()
+    text = "<|im_end|><|im_start|>assistant ok"
+    assert visited and [(r["n_turns"], r["loss_chars"], r["formatted_chars"]) for r in got] == [(2, len(text), 48 + 13 + 2 * len(text) + 4)]
+
+
 def test_mixing_is_a_probability():
     words = [b"\x01the", b"\x01then", b"\x02der", b"\x00\n", b"\x01" + b"q" * 150]
     counts = np.array([50, 9, 20, 12, 1])
