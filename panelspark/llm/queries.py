@@ -7,12 +7,12 @@ from collections.abc import Callable, Iterator
 
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelspark.llm import bpe, chat, linededup, mixing, packing, quality, records, rotated_codes, simhash, warc
-from panelspark.llm.common import table
+from panelspark.llm import bpe, chat, linededup, mixing, packing, periodic, quality, records, rotated_codes, simhash, warc
+from panelspark.llm.common import bind, table, text_of, words
 from panelspark.llm.wordtokens import id_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,9 +93,36 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns, "parts"))
 
 
+def _repeated(doc_id: Column, text: Column) -> Column:
+    """The text; for a tenth of the ids its words, those from some place on replaced by repeats of the first few of them."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeats(w: Column) -> Column:
+        n = F.size(w)
+        a = (g % n).cast("int")
+        p = F.lit(1) + F.floor((n - a) / (g % 8 + 3)).cast("int")
+        return F.array_join(F.transform(w, lambda x, i: F.when(i < a, x).otherwise(F.get(w, a + (i - a) % p))), " ")
+
+    return F.when((h % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), bind(words(text), repeats)).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", text_of().alias("text"))
+    found = periodic.periodic_runs(docs.withColumn("text", _repeated(F.col("doc_id"), F.col("text"))))
+    runs = F.col("runs")
+    longest = F.get(F.array_sort(F.transform(runs, lambda r: F.struct((-r["length"]).alias("under"), r["start"], r["period"], r["length"]))), 0)
+    lines = F.transform(runs, lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.withColumn("best", longest).select(
+        "doc_id", F.size(runs).cast("long").alias("n_runs"), F.col("best.start").alias("start"), F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"), F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_context_mixing, op2_line_dedup, op3_byte_level_bpe, op4_token_records, op5_warc_capture_index, op6_harmonic_packing, op7_quality_rules,
-    op8_simhash_near_dedup, op9_rotated_code_neighbours, op10_chat_formatting,
+    op8_simhash_near_dedup, op9_rotated_code_neighbours, op10_chat_formatting, op13_periodic_runs,
 )}
 # SQL for DuckDB. The others hash shingles, tokenize, align, search by codes or fit a model, which SQL can't; tests compare
 # them with brute force.
