@@ -28,6 +28,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_base(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written once as Parquet under the shared folder and read back; several later passes see the same rows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later steps restart from stored data, also after losing executors."""
     spark = df.sparkSession
