@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelspark.llm import bpe, chat, linededup, mixing, packing, periodic, quality, records, rotated_codes, simhash, warc
+from panelspark.llm import bpe, chat, linededup, merkle, mixing, packing, periodic, quality, records, rotated_codes, simhash, warc
 from panelspark.llm.common import bind, table, text_of, words
 from panelspark.llm.wordtokens import id_bytes
 
@@ -93,6 +93,16 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns, "parts"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    found = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    leaves = docs.select("doc_id", "lang", merkle.leaf_digest(*(docs[c] for c in ("doc_id", "source", "lang", "n_chars", "text"))).alias("leaf"),
+                         merkle.leaf_digest(docs["doc_id"], docs["source"], docs["lang"], found, docs["text"]).alias("seen"))
+    checked = merkle.verify(merkle.manifest(leaves, "leaf", by="lang", order=["doc_id"]), "seen")
+    return checked.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def _repeated(doc_id: Column, text: Column) -> Column:
     """The text; for a tenth of the ids its words, those from some place on replaced by repeats of the first few of them."""
     h = F.crc32(doc_id.cast("string").cast("binary"))
@@ -122,7 +132,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_context_mixing, op2_line_dedup, op3_byte_level_bpe, op4_token_records, op5_warc_capture_index, op6_harmonic_packing, op7_quality_rules,
-    op8_simhash_near_dedup, op9_rotated_code_neighbours, op10_chat_formatting, op13_periodic_runs,
+    op8_simhash_near_dedup, op9_rotated_code_neighbours, op10_chat_formatting, op11_merkle_manifest, op13_periodic_runs,
 )}
 # SQL for DuckDB. The others hash shingles, tokenize, align, search by codes or fit a model, which SQL can't; tests compare
 # them with brute force.
@@ -146,6 +156,34 @@ b AS (SELECT *, CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distin
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed, NOT (base_failed
   OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept FROM b""",
+    # Levels of a tree are lists of digests; the CRC-32 runs bit by bit over the digits.
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE d AS (SELECT *, CAST(doc_id AS VARCHAR) AS digits FROM documents),
+c AS (SELECT *, xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(range(1, length(digits) + 1),
+    lambda i: [CAST(ascii(digits[i]) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, b: xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) % 2)))) % 7 = 0 AS tampered FROM d),
+f AS (SELECT doc_id, lang, tampered, n_chars, coalesce(strlen(digits) || ':' || digits, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') AS head, coalesce(strlen(text) || ':' || text, '-') AS tail FROM c),
+l AS (SELECT doc_id, lang, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(strlen(CAST(n AS VARCHAR)) || ':' || n, '-') || tail) AS seen
+    FROM (SELECT *, CASE WHEN tampered THEN n_chars + 1 ELSE n_chars END AS n FROM f)),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS nr FROM l),
+tree AS (SELECT lang, 0 AS h, list(leaf ORDER BY nr) AS nodes FROM r GROUP BY lang
+  UNION ALL SELECT lang, h + 1, list_transform(range(1, len(nodes) + 1, 2), lambda i: sha256(nodes[i] || coalesce(nodes[i + 1], '')))
+  FROM tree WHERE len(nodes) > 1),
+subs AS (SELECT lang, nodes[1] AS subroot, h, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS nr FROM tree WHERE len(nodes) = 1),
+top AS (SELECT 0 AS h, list(subroot ORDER BY nr) AS nodes FROM subs
+  UNION ALL SELECT h + 1, list_transform(range(1, len(nodes) + 1, 2), lambda i: sha256(nodes[i] || coalesce(nodes[i + 1], ''))) FROM top WHERE len(nodes) > 1),
+path AS (SELECT r.lang, r.nr, t.h, coalesce(t.nodes[xor(r.nr >> t.h, 1) + 1], '') AS other, (r.nr >> t.h) % 2 AS side
+    FROM r JOIN tree t ON t.lang IS NOT DISTINCT FROM r.lang WHERE len(t.nodes) > 1
+  UNION ALL SELECT r.lang, r.nr, s.h + p.h, coalesce(p.nodes[xor(s.nr >> p.h, 1) + 1], ''), (s.nr >> p.h) % 2
+    FROM r JOIN subs s ON s.lang IS NOT DISTINCT FROM r.lang JOIN top p ON len(p.nodes) > 1),
+proof AS (SELECT lang, nr, list({'o': other, 's': side} ORDER BY h) AS p FROM path GROUP BY lang, nr)
+SELECT r.doc_id, r.leaf, s.subroot, t.nodes[1] AS root,
+  sha256(coalesce(list_reduce(list_prepend('', list_transform(p, lambda x: x.o)), lambda a, b: a || b), '')) AS proof_sha256,
+  list_reduce(list_prepend({'o': r.seen, 's': 0}, coalesce(p, [])), lambda a, b:
+    {'o': sha256(CASE WHEN b.s = 1 THEN b.o || a.o ELSE a.o || b.o END), 's': 0}).o AS folded_root, folded_root = t.nodes[1] AS verified
+FROM r JOIN top t ON len(t.nodes) = 1 JOIN subs s ON s.lang IS NOT DISTINCT FROM r.lang LEFT JOIN proof ON proof.lang IS NOT DISTINCT FROM r.lang AND proof.nr = r.nr""",
     "op10_chat_formatting": r"""
 WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS t FROM conversations
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
