@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelspark.llm import bpe, chat, linededup, merkle, mixing, packing, periodic, quality, records, rotated_codes, simhash, warc
+from panelspark.llm import bpe, chat, linededup, merkle, mixing, packing, periodic, quality, records, rotated_codes, simhash, topk, warc
 from panelspark.llm.common import bind, table, text_of, words
 from panelspark.llm.wordtokens import id_bytes
 
@@ -103,6 +103,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op12_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.expr("id % 50 = 0"), k=5)
+
+
 def _repeated(doc_id: Column, text: Column) -> Column:
     """The text; for a tenth of the ids its words, those from some place on replaced by repeats of the first few of them."""
     h = F.crc32(doc_id.cast("string").cast("binary"))
@@ -132,7 +136,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_context_mixing, op2_line_dedup, op3_byte_level_bpe, op4_token_records, op5_warc_capture_index, op6_harmonic_packing, op7_quality_rules,
-    op8_simhash_near_dedup, op9_rotated_code_neighbours, op10_chat_formatting, op11_merkle_manifest, op13_periodic_runs,
+    op8_simhash_near_dedup, op9_rotated_code_neighbours, op10_chat_formatting, op11_merkle_manifest, op12_top_k_search, op13_periodic_runs,
 )}
 # SQL for DuckDB. The others hash shingles, tokenize, align, search by codes or fit a model, which SQL can't; tests compare
 # them with brute force.
@@ -184,6 +188,13 @@ SELECT r.doc_id, r.leaf, s.subroot, t.nodes[1] AS root,
   list_reduce(list_prepend({'o': r.seen, 's': 0}, coalesce(p, [])), lambda a, b:
     {'o': sha256(CASE WHEN b.s = 1 THEN b.o || a.o ELSE a.o || b.o END), 's': 0}).o AS folded_root, folded_root = t.nodes[1] AS verified
 FROM r JOIN top t ON len(t.nodes) = 1 JOIN subs s ON s.lang IS NOT DISTINCT FROM r.lang LEFT JOIN proof ON proof.lang IS NOT DISTINCT FROM r.lang AND proof.nr = r.nr""",
+    "op12_top_k_search": """
+WITH v AS (SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT q.n, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score FROM v q JOIN v c ON q.n <> c.n AND len(q.x) = len(c.x)
+  WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
     "op10_chat_formatting": r"""
 WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS t FROM conversations
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
