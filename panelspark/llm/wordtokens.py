@@ -20,43 +20,66 @@ CACHED = 600_000  # chunks that a worker keeps, about 170 bytes each
 LONGEST = 64  # bytes of a chunk that is kept
 MARKS = b".,;:!?#$%&*)"
 SLICE = 1 << 20  # bytes of text encoded at a time
+BORDER = "<|startoftext|>"  # special token put between chunks, so that the library gets many at a time
+TOGETHER = 200
 
 
 class ChunkEncoder:
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
+        # For words of a-z alone normalizing, splitting and the byte alphabet change nothing.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.border = self.library.token_to_id(BORDER)
         self.kept: dict[bytes, bytes] = {}
 
-    def _ids(self, chunks: list[bytes]) -> Iterator[bytes]:
-        found = self.library.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
-        return (array("I", e.ids).tobytes() for e in found)
+    def _ids(self, chunks: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Every chunk with its ids. Chunks that might hold a special token are encoded one by one."""
+        alone = [c for c in chunks if b"<|" in c]
+        for c, e in zip(alone, self.library.encode_batch_fast([c.decode() for c in alone], add_special_tokens=False)):
+            yield c, array("I", e.ids).tobytes()
+        plain = [c for c in chunks if c.isalpha() and c.islower()]
+        others = set(chunks).difference(alone, plain)
+        between = f" {BORDER} ".encode()
+        for library, part in ((self.plain, plain), (self.library, list(others))):
+            groups = [part[i:i + TOGETHER] for i in range(0, len(part), TOGETHER)]
+            found = library.encode_batch_fast([between.join(g).decode() for g in groups], add_special_tokens=False)
+            for group, e in zip(groups, found):
+                ids = array("I", e.ids)
+                flat, begun = ids.tobytes(), 0
+                ends = np.append(np.flatnonzero(np.frombuffer(ids, np.uint32) == self.border), len(ids)).tolist()
+                for c, end in zip(group, ends):
+                    yield c, flat[4 * begun:4 * end]
+                    begun = end + 1
 
     @staticmethod
     def _chunks(text: bytes) -> list[bytes]:
+        # The tokenizer lower-cases all but its special tokens, which start with "<|"; doing A-Z here makes chunks alike. It composes
+        # marks before that, and some letters compose with a mark in lower case only: chunks with marks U+0300 to U+037F,
+        # which begin with bytes CC and CD, stay as they are.
         if b"<|" in text:
             return text.split()
-        if text.isascii():
-            return text.lower().split()
-        return [c.lower() if c.isascii() else c for c in text.split()]
+        if b"\xcc" in text or b"\xcd" in text:
+            return [c if b"\xcc" in c or b"\xcd" in c else c.lower() for c in text.split()]
+        return text.lower().split()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
         if len(self.kept) > CACHED:
             self.kept.clear()
-        # The tokenizer lower-cases all but its special tokens, which start with "<|"; doing A-Z here makes chunks alike. Chunks
-        # that are not ASCII stay as they are: it composes marks before, and some letters compose with a mark in lower case only.
         kept, split = self.kept, [self._chunks(t) for t in texts]
-        new = {c for c in set().union(*split) if c not in kept}
+        new = set().union(*split).difference(kept)
         # A run of marks behind a letter or digit is a token sequence of its own, so a word is encoded once for all its marks.
         parts = {}
         for c in new:
             core = c.rstrip(MARKS)
             if len(core) < len(c) and core[-1:].isalnum():
                 parts[c] = core, c[len(core):]
-        lone = [c for c in (new - set(parts)).union(*parts.values()) if c not in kept]
-        kept.update(zip(lone, self._ids(lone)))
+        lone = list(new.difference(parts).union(*parts.values()).difference(kept))
+        kept.update(self._ids(lone))
         for c, (core, marks) in parts.items():
             kept[c] = kept[core] + kept[marks]
         look_up = kept.__getitem__
