@@ -14,10 +14,10 @@ others, one by one. An empty table gives an empty result; other columns are not
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -31,7 +31,9 @@ WASTE = 64  # a rest is cut once more if its class would leave over 1/WASTE of a
 SHORT = 64  # a rest up to this length is not cut
 GROUP = 256
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids array<int>"
-PLACED = PIECES + ", class int, worker long, sequence_id long, offset long"
+PLACED = "sequence_id long, offset long"
+FILLED = f"{PIECES}, class int, worker long, piece long, {PLACED}"
+SHORT_ROWS = f"class int, worker long, piece long, length long, {PLACED}"
 
 
 def class_of(length: int, capacity: int = CAPACITY) -> int:
@@ -78,17 +80,18 @@ class _Bins:
 
 
 def _batch(rows: list[tuple], worker: int, capacity: int) -> pa.RecordBatch:
-    doc, start, length, total, ids, seq, at = zip(*rows)
+    doc, start, length, total, ids, piece, seq, at = zip(*rows)
     return pa.RecordBatch.from_arrays([
         pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(total, pa.int64()),
-        id_lists(list(ids)), pa.array([class_of(n, capacity) for n in length], pa.int32()),
-        pa.array([worker] * len(rows), pa.int64()), pa.array(seq, pa.int64()), pa.array(at, pa.int64()),
-    ], names=["doc_id", "start", "length", "doc_tokens", "ids", "class", "worker", "sequence_id", "offset"])
+        id_lists(list(ids)), pa.array([class_of(n, capacity) for n in length], pa.int32()), pa.array([worker] * len(rows), pa.int64()),
+        pa.array(piece, pa.int64()), pa.array(seq, pa.int64()), pa.array(at, pa.int64()),
+    ], names=["doc_id", "start", "length", "doc_tokens", "ids", "class", "worker", "piece", "sequence_id", "offset"])
 
 
 def _fill(batches: Iterator[pa.RecordBatch], tokenizer: str, end: int, capacity: int) -> Iterator[pa.RecordBatch]:
     worker = TaskContext.get().partitionId()
     bins, last = _Bins(worker << 32, capacity), np.array([end], np.uint32).tobytes()
+    piece = worker << 32
     for batch in batches:
         out, size = [], 0
         docs = batch.column("doc_id").to_pylist()
@@ -96,8 +99,9 @@ def _fill(batches: Iterator[pa.RecordBatch], tokenizer: str, end: int, capacity:
             ids += last
             start, total = 0, len(ids) // 4
             for n in cut(total, capacity):
-                out += bins.add((doc, start, n, total, ids[4 * start:4 * (start + n)]), n)
+                out += bins.add((doc, start, n, total, ids[4 * start:4 * (start + n)], piece), n)
                 start += n
+                piece += 1
             size += len(ids)
             if size > 1 << 22 and out:
                 yield _batch(out, worker, capacity)
@@ -108,53 +112,84 @@ def _fill(batches: Iterator[pa.RecordBatch], tokenizer: str, end: int, capacity:
         yield _batch(rest, worker, capacity)
 
 
-def _by_class(rows: pd.DataFrame, capacity: int) -> pd.DataFrame:
+Row = tuple[int, int, int, int]  # class, worker, piece, length
+
+
+def _rounds(batches: Iterator[pa.RecordBatch], key: Callable[[Row], tuple], place: Callable[[Iterator[Row]], Iterator[tuple]]) -> Iterator[pa.RecordBatch]:
+    """Rows, which come sorted by ``key``, streamed group by group through ``place``, which gives (row, sequence_id, offset)."""
+    names = ["class", "worker", "piece", "length"]
+
+    def rows() -> Iterator[Row]:
+        for batch in batches:
+            yield from zip(*(batch.column(c).to_pylist() for c in names))
+
+    def batch_of(out: list) -> pa.RecordBatch:
+        columns = [*zip(*(r for r, _, _ in out)), [s for _, s, _ in out], [at for _, _, at in out]]
+        types = [pa.int32()] + [pa.int64()] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[*names, "sequence_id", "offset"])
+
+    out: list = []
+    for _, group in groupby(rows(), key):
+        for placed in place(group):
+            out.append(placed)
+            if len(out) >= 10_000:
+                yield batch_of(out)
+                out = []
+    if out:
+        yield batch_of(out)
+
+
+def _by_class(rows: Iterator[Row], capacity: int) -> Iterator[tuple]:
     """Pieces of one class of GROUP workers: full bins get an id, the last few pieces none."""
-    rows = rows.sort_values(["worker", "doc_id", "start"], kind="stable", ignore_index=True)
-    k = int(rows["class"][0])
-    place = np.arange(len(rows))
-    group = (int(rows["worker"][0]) // GROUP * (capacity + 1) + k) << 16
-    full = place < len(rows) // k * k
-    before = rows["length"].cumsum() - rows["length"]
-    rows["sequence_id"] = pd.array(np.where(full, (1 << 61) | (group + place // k), 0), "Int64")
-    rows["offset"] = pd.array(before - before.to_numpy()[place // k * k], "Int64")
-    rows.loc[~full, ["sequence_id", "offset"]] = pd.NA
-    return rows
-
-
-def _in_turn(rows: pd.DataFrame, capacity: int) -> pd.DataFrame:
+    held: list[Row] = []
+    for n, row in enumerate(rows):
+        held.append(row)
+        k, worker = row[0], row[1]
+        if len(held) == k:
+            group, at = (worker // GROUP * (capacity + 1) + k) << 16, 0
+            for r in held:
+                yield r, (1 << 61) | (group + n // k), at
+                at += r[3]
+            held = []
+    yield from ((r, None, None) for r in held)
+
+
+def _in_turn(rows: Iterator[Row], capacity: int) -> Iterator[tuple]:
     """The last pieces of GROUP * GROUP workers, largest first, each into the first bin with room."""
-    rows = rows.sort_values(["length", "worker", "doc_id", "start"], ascending=[False, True, True, True], kind="stable", ignore_index=True)
-    first = (1 << 62) | (int(rows["worker"][0]) // (GROUP * GROUP) << 32)
     used: list[int] = []
     low: dict[int, int] = {}  # for each length the first bin that may have room
-    seq, at = [], []
-    for n in rows["length"]:
+    for row in rows:
+        n = row[3]
         b = low.get(n, 0)
         while b < len(used) and used[b] + n > capacity:
             b += 1
         low[n] = b
         if b == len(used):
             used.append(0)
-        seq.append(first + b)
-        at.append(used[b])
+        yield row, ((1 << 62) | (row[1] // (GROUP * GROUP) << 32)) + b, used[b]
         used[b] += n
-    rows["sequence_id"], rows["offset"] = seq, at
-    return rows
 
 
 def pack(df: DataFrame, tokenizer: str, end: int = 2, capacity: int = CAPACITY, text: str = "text") -> DataFrame:
-    """Pieces (PIECES) with their ``sequence_id`` and ``offset``; each id of every document lies in exactly one piece."""
+    """Pieces (PIECES) with their ``sequence_id`` and ``offset``; each id of every document lies in exactly one piece.
+
+    The later rounds move lengths only; what they decide is joined with the pieces by number.
+    """
     texts = df.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(text).alias("t"))
-    filled = store(texts.mapInArrow(lambda batches: _fill(batches, tokenizer, end, capacity), PLACED), "pieces")
+    filled = store(texts.mapInArrow(lambda batches: _fill(batches, tokenizer, end, capacity), FILLED), "pieces")
+    rest = filled.filter("sequence_id IS NULL").select("class", "worker", "piece", "length")
+    group, all_groups = F.expr(f"worker div {GROUP}"), F.expr(f"worker div {GROUP * GROUP}")
     again = store(
-        filled.filter("sequence_id IS NULL").groupBy("class", F.expr(f"worker div {GROUP}"))
-        .applyInPandas(lambda rows: _by_class(rows, capacity), PLACED), "pieces-by-class")
-    rest = again.filter("sequence_id IS NULL").groupBy(F.expr(f"worker div {GROUP * GROUP}")).applyInPandas(
-        lambda rows: _in_turn(rows, capacity), PLACED)
+        rest.repartition("class", group).sortWithinPartitions("class", group, "piece").mapInArrow(
+            lambda batches: _rounds(batches, lambda r: (r[0], r[1] // GROUP), lambda rows: _by_class(rows, capacity)), SHORT_ROWS),
+        "pieces-by-class")
+    rest = again.filter("sequence_id IS NULL").select("class", "worker", "piece", "length")
+    last = rest.repartition(all_groups).sortWithinPartitions(all_groups, F.col("length").desc(), "piece").mapInArrow(
+        lambda batches: _rounds(batches, lambda r: (r[1] // (GROUP * GROUP),), lambda rows: _in_turn(rows, capacity)), SHORT_ROWS)
+    decided = again.filter("sequence_id IS NOT NULL").unionByName(last).select("piece", "sequence_id", "offset")
     columns = ["doc_id", "start", "length", "doc_tokens", "ids", "sequence_id", "offset"]
-    placed = filled.filter("sequence_id IS NOT NULL").unionByName(again.filter("sequence_id IS NOT NULL")).unionByName(rest)
-    return placed.select(columns)
+    open_ = filled.filter("sequence_id IS NULL").drop("sequence_id", "offset").join(decided, "piece")
+    return filled.filter("sequence_id IS NOT NULL").select(columns).unionByName(open_.select(columns))
 
 
 def sequences(pieces: DataFrame, pad: int, capacity: int = CAPACITY) -> DataFrame:
