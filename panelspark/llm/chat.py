@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -132,42 +133,41 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     return [(role(a), plain(b)) for a, b in _TURN.findall(formatted)]
 
 
-def digest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+
+
+def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Read turns back from rows sorted by (conv_id, turn_index) and digest each conversation as it streams by."""
     from hashlib import sha256
 
-    def row() -> pd.DataFrame:
-        conv = pd.array([pd.NA if pd.isna(at) else int(at)], "Int64")
-        return pd.DataFrame({"conv_id": conv, "n_turns": [n], "turns_sha256": [turns.hexdigest()], "loss_chars": [chars],
-                             "loss_sha256": [loss.hexdigest()], "formatted_chars": [size]})
-
-    at, begun = None, False
-    out: list[pd.DataFrame] = []
-    for frame in frames:
-        for conv, text, lo, hi in zip(frame["conv_id"], frame["formatted"], frame["loss_start"], frame["loss_end"]):
-            if not begun or not (conv == at or (pd.isna(conv) and pd.isna(at))):
-                if begun:
-                    out.append(row())
-                at, begun, n, chars, size, turns, loss = conv, True, 0, 0, 0, sha256(), sha256()
+    names = [c.split()[0] for c in DIGEST.split(", ")]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            yield from zip(*(batch.column(c).to_pylist() for c in ("conv_id", "formatted", "loss_start", "loss_end")))
+
+    out = []
+    for conv, group in groupby(rows(), lambda r: r[0]):
+        n, chars, size, turns, loss = 0, 0, 0, sha256(), sha256()
+        for _, text, lo, hi in group:
             for role, content in parse(text):
                 n += 1
                 turns.update(f"{role}\n{content}\n".encode())
-            if not pd.isna(lo):
-                under = re.sub(r"<\\(\\*)\|", r"<\1|", text[int(lo):int(hi)])
+            if lo is not None:
+                under = re.sub(r"<\\(\\*)\|", r"<\1|", text[lo:hi])
                 chars += len(under)
                 loss.update(under.encode())
             size += len(text)
-        if out:
-            yield pd.concat(out, ignore_index=True)
+        out.append((conv, n, turns.hexdigest(), chars, loss.hexdigest(), size))
+        if len(out) >= 10_000:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
             out = []
-    if begun:
-        yield row()
-
-
-DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """Per conversation what its formatted turns say (DIGEST). A conversation streams through one task and is never held."""
-    dealt = formatted.select("conv_id", "turn_index", "formatted", "loss_start", "loss_end")
-    return dealt.repartition("conv_id").sortWithinPartitions("conv_id", "turn_index").mapInPandas(digest, DIGEST)
+    dealt = formatted.select(F.col("conv_id").cast("long"), "turn_index", "formatted", "loss_start", "loss_end")
+    return dealt.repartition("conv_id").sortWithinPartitions("conv_id", "turn_index").mapInArrow(digest, DIGEST)
