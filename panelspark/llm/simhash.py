@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from panelspark.llm.common import store, text_of
+from panelspark.llm.common import free_name, store, text_of
 from panelspark.llm.components import components
 
 SHINGLE = 4
@@ -81,17 +81,17 @@ def _runs(end: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         lo, done = hi, int(end[hi - 1])
 
 
-def fingerprints(df: DataFrame, text: str = "text", size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) with the fingerprint as a signed long."""
+def fingerprints(df: DataFrame, text: str = "text", size: int = SHINGLE, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(doc_id, fp), or other columns than doc_id, with the fingerprint as a signed long."""
     def majority(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = [np.array(shingle_hashes(t, size), np.uint64) for t in batch.column("t").cast(pa.binary()).to_pylist()]
             flat = np.concatenate(lists) if lists else np.zeros(0, np.uint64)
             fp = majority_bits(flat, np.array([len(x) for x in lists], np.int64)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(fp)], [*keep, "fp"])
 
-    texts = df.select("doc_id", text_of(text).alias("t"))
-    return texts.mapInArrow(majority, texts.select("doc_id", F.lit(0).cast("long").alias("fp")).schema)
+    texts = df.select(*keep, text_of(text).alias("t"))
+    return texts.mapInArrow(majority, texts.select(*keep, F.lit(0).cast("long").alias("fp")).schema)
 
 
 def _cells(max_bits: int) -> list[int]:
@@ -226,13 +226,14 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def classes(fingerprinted: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(fp, component_id) for every distinct fingerprint of (doc_id, fp)."""
+def classes(fingerprinted: DataFrame, max_bits: int = MAX_BITS, label: bool = False) -> DataFrame:
+    """(fp, component_id) for every distinct fingerprint of (doc_id, fp); with ``label`` also one name a component of its own."""
+    columns = ["fp", "component_id"] + ["label"] * label
     distinct = store(fingerprinted.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprints")
-    label = components(links(distinct, max_bits)).withColumnRenamed("node", "fp")
-    labelled = distinct.join(label, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    reached = components(links(distinct, max_bits)).withColumnRenamed("node", "fp")
+    labelled = distinct.join(reached, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     least = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
-    return labelled.join(least, "label").select("fp", "component_id")
+    return labelled.join(least, "label").select(columns)
 
 
 def near_duplicates(df: DataFrame, text: str = "text", size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
@@ -242,12 +243,17 @@ def near_duplicates(df: DataFrame, text: str = "text", size: int = SHINGLE, max_
 
 
 def keep_one(df: DataFrame, text: str = "text", size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row of each group, that of the least doc_id, with its columns; of several rows with that doc_id one stays. Rows with
-    a null doc_id can't be named, and all stay."""
-    chosen = near_duplicates(df, text, size, max_bits).select(F.col("component_id").alias("_keep")).filter("_keep IS NOT NULL").distinct()
-    named = df.filter(F.col("doc_id").isNotNull())
-    kept = named.join(chosen, named["doc_id"] == chosen["_keep"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(df.filter(F.col("doc_id").isNull()))
+    """One row of each group, that of the least doc_id, with its columns. Rows of one doc_id in different groups are different
+    documents: each group keeps its own; of several texts in a group under its least doc_id that of the least hash stays, and of equal rows
+    one. Rows with a null doc_id can't be named, and all stay."""
+    own, keep, kept_key = (free_name(df, c) for c in ("text_hash", "keep_id", "keep_hash"))
+    hashed = df.withColumn(own, F.xxhash64(text_of(text)))
+    prints = store(fingerprints(hashed, text, size, ("doc_id", own)), "doc-fingerprints")
+    groups = store(classes(prints.select("doc_id", "fp"), max_bits, label=True), "classes")
+    chosen = prints.filter("doc_id IS NOT NULL").join(groups, "fp").groupBy("label").agg(F.min(F.struct("doc_id", own)).alias("least")).select(
+        F.col("least.doc_id").alias(keep), F.col(f"least.{own}").alias(kept_key))
+    kept = hashed.join(chosen, (F.col("doc_id") == F.col(keep)) & (F.col(own) == F.col(kept_key)), "left_semi")
+    return kept.dropDuplicates(["doc_id", own]).drop(own).unionByName(df.filter(F.col("doc_id").isNull()))
 
 
 def hex_fingerprint(fp: Column) -> Column:
