@@ -276,12 +276,12 @@ def deletions(df: DataFrame, text: str = "text") -> DataFrame:
 def dedup_lines(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with its texts cut, and with n_lines, n_removed and aligned_with (ids of the earlier documents that have the
     removed lines)."""
-    gone = deletions(df, text).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "removed", "aligned_with")
     key, lines = free_name(df, "_of_text"), F.split(text_of(text), "\n")
     removed, partners = free_name(df, "_removed"), free_name(df, "aligned_with")
-    gone = gone.withColumnsRenamed({"removed": removed, "aligned_with": partners})
+    own_id, own_key = free_name(df, "_id"), free_name(df, "_key")
+    gone = deletions(df, text).withColumnsRenamed({"doc_id": own_id, "key": own_key, "removed": removed, "aligned_with": partners})
     with_key = df.withColumn(key, F.xxhash64(text_of(text)))
-    found = with_key.join(gone, with_key["doc_id"].eqNullSafe(gone["_id"]) & (with_key[key] == gone["_key"]), "left")
+    found = with_key.join(gone, F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col(key) == F.col(own_key)), "left")
     kept = F.array_join(F.filter(lines, lambda _, i: ~F.coalesce(F.get(F.col(removed), i), F.lit(False))), "\n")
     count = F.coalesce(F.size(F.filter(removed, lambda x: x)), F.lit(0))
     return found.select(
