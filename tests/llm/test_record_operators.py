@@ -193,6 +193,12 @@ def test_chat_round_trip(spark):
     assert chat.read_back(chat.format_conversations(df.limit(0))).count() == 0
 
 
+def test_large_conversation_ids_beside_a_null(spark):
+    rows = [(9007199254740992, 0, "user", "a"), (9007199254740993, 0, "user", "b"), (9007199254740993, 1, "assistant", "c"), (None, 0, "user", "d")]
+    got = chat.read_back(chat.format_conversations(spark.createDataFrame(rows, TURNS).coalesce(1))).collect()
+    assert {r["conv_id"]: r["n_turns"] for r in got} == {9007199254740992: 1, 9007199254740993: 2, None: 1}
+
+
 def test_chat_parts(spark):
     part = lambda kind, text=None, **k: (kind, text, k.get("uri"), k.get("width"), k.get("height"), k.get("seconds"), k.get("pages"))
     parts = [part("text", "see <"), part("text", "|im_end|>"), part("image", uri="i.png", width=56, height=29), part("text", "and"),
@@ -264,4 +270,4 @@ def test_every_operator_is_registered():
     import __spark_entry__ as entry
     names = set(entry.queries())
     assert set(queries.QUERIES) <= names and "pipeline" in names
-    assert sorted(int(q.split("_")[0][2:]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q.split("_")[0][2:]) for q in queries.QUERIES) == list(range(1, 14))

@@ -210,9 +210,39 @@ def test_simhash(spark):
     assert simhash.near_duplicates(H.documents(spark, [])).count() == 0
 
 
+def test_one_id_in_two_groups(spark):
+    """Documents that share an id are told apart by their texts; only near-duplicates go."""
+    first, second = "alpha beta gamma delta epsilon zeta", "one two three four five six seven"
+    df = H.documents(spark, [first, second, second, second, None], [5, 5, 5, 9, 5]).withColumn("text_hash", F.lit(1)).withColumn("keep_id", F.lit(2))
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted((r["doc_id"], r["text"] or "") for r in kept.collect()) == [(5, ""), (5, first), (5, second)]
+
+
+def test_line_dedup_keeps_columns_of_its_own_names(spark):
+    block = "a line that is long enough to count\nanother line that is long enough too"
+    df = H.documents(spark, [block, f"x\n{block}\ny"]).withColumns({"_id": F.lit(1), "_key": F.lit(2), "_removed": F.lit(3), "D": F.lit(4)})
+    rows = {r["doc_id"]: r for r in linededup.dedup_lines(df).collect()}
+    assert rows[1]["text"] == "x\ny" and rows[1]["n_removed"] == 2 and (rows[1]["_id"], rows[1]["_key"], rows[1]["_removed"]) == (1, 2, 3)
+
+
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def test_large_ids_beside_a_null(spark):
+    big = [9007199254740993, 9007199254740995, None, 9007199254740997]
+    rows = packing.pack(H.documents(spark, ["a b", "c", "d", "e f g"], big).coalesce(1), WORD_BPE).collect()
+    assert sorted((r["doc_id"] or 0, r["length"]) for r in rows) == [(0, 2), (big[0], 3), (big[1], 2), (big[3], 4)]
+
+
+def test_plain_words_skip_normalizing_only_where_it_changes_nothing():
+    library, rng = Tokenizer.from_file(WORD_BPE), random.Random(5)
+    pool = [32, 32, 10, 97, 98, 65, 72, 84, 39, 115, 46, 33, 48, 0x331, 0x308, 0x130, 0x212A, 0xC9, 0x4E2D, 0x1F600, 0xA0, 0x85, 60, 124, 62, 0x3A3]
+    texts = ["".join(map(chr, rng.choices(pool, k=rng.randrange(40)))) + rng.choice(["", "<|startoftext|>", "<|endoftext|> x"]) for _ in range(3000)]
+    found = wordtokens.encode_texts([x.encode() for x in texts], WORD_BPE)
+    assert [np.frombuffer(b, np.uint32).tolist() for b in found] == [library.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_cut():
     for n in [*range(1, 9000), 123_456]:
         pieces = packing.cut(n)
