@@ -3,11 +3,11 @@
 Vectors are turned into whole numbers, floor(scale * component). The components are dealt to SLICES slices and the vectors to cells,
 so a node (slice, cell) knows the local scores of its vectors, and a score is the sum of one local score a slice.
 
-1. Each node returns the k best local scores of every query and its least one. The least of all nodes of a slice
-   is taken off its local scores, so none is negative, and what is not reported counts as 0. The k-th largest sum
-   of what is reported is a bound that k vectors reach.
+1. Each node returns a list of the best local scores of every query, and its least one. The least of all nodes of a slice
+   is taken off its local scores, so none is negative. The nodes are asked for the other local scores of the listed vectors;
+   their k-th largest sum is a bound that k vectors reach.
 2. A vector that reaches the bound has a local score of bound / SLICES or more somewhere. That cutoff goes to the nodes, and they
-   return all local scores that reach it. With these the bound rises, and a vector whose sum, with
+   return all local scores that reach it. With these the bound may rise, and a vector whose sum, with
    the most that the cutoff leaves for unreported slices, stays under it is out.
 3. The nodes are asked for the scores still missing of the vectors left, and the k largest sums are the answer.
 
@@ -34,6 +34,7 @@ from panelspark.llm.common import store
 
 SLICES = 2
 ROWS = 8192
+LISTED = 32  # local scores that a node lists in the first phase, k at least
 ASKED = 256  # questions answered together
 SALTS = 8  # tasks that the rows of one query vector are dealt to
 RESULT = "query_id long, rank int, vec_id long, score long"
@@ -167,7 +168,7 @@ def _reaching(q, asked, e, held, more):
 
 
 def _named(q, asked, e, held, more):
-    """Phase 3: the local scores of the entries that ``more`` names, over the least one, its first number."""
+    """The local scores of the entries that ``more`` names, over the least one, its first number."""
     order = np.argsort(e)
     wanted = [np.array(m[1:], np.int64) for m in more]
     least = np.repeat(np.array([m[0] for m in more], np.int64), [len(w) for w in wanted])
@@ -187,30 +188,38 @@ def _kth(sums: DataFrame, k: int) -> DataFrame:
 def _three_phases(entries: DataFrame, queries: DataFrame, cells: int, k: int) -> DataFrame:
     """(q, e, score) of the k best entries, and maybe more, of each query (q, dim, v)."""
     none = F.array().cast("array<bigint>")
-    first = store(_nodes(entries, queries.withColumn("more", none), cells, _best(k)), "local-best")
-    least = first.groupBy("q", "slice").agg(F.min("least").alias("floor"))
-    sums = first.join(least, ["q", "slice"]).groupBy("q", "e").agg(F.sum(F.col("s") - F.col("floor")).alias("low"))
+    first = store(_nodes(entries, queries.withColumn("more", none), cells, _best(max(k, LISTED))), "local-best")
+    floors = store(first.groupBy("q", "slice").agg(F.min("least").alias("floor")), "least-scores")
+    listed = _sums(first.join(floors, ["q", "slice"]).withColumn("s", F.col("s") - F.col("floor")))
     # Whole numbers: a local score reaches bound / SLICES where it reaches the next whole number.
-    bounds = _kth(sums, k).select("q", F.expr(f"(bound + {SLICES - 1}) div {SLICES}").alias("cutoff"))
-    limits = store(least.join(bounds, "q"), "cutoffs")
-
-    asked = queries.join(limits, "q").select("q", "dim", "v", "slice", F.array("cutoff", "floor").alias("more"))
-    second = store(_nodes(entries, asked, cells, _reaching), "local-reaching")
-    sums = second.groupBy("q", "e").agg(F.sum("s").alias("low"), F.collect_set("slice").alias("seen"))
-    sums = store(sums.join(limits.select("q", "cutoff").distinct(), "q"), "partial-sums")
-    open_slices = F.lit(SLICES) - F.size("seen")
-    left = sums.join(_kth(sums, k), "q").filter(F.col("low") + open_slices * F.greatest(F.col("cutoff") - 1, F.lit(0)) >= F.col("bound"))
-    left = store(left.drop("bound", "cutoff"), "candidates")
-
-    missing = left.filter(open_slices > 0).withColumn("slice", F.explode(F.array_except(F.sequence(F.lit(0), F.lit(SLICES - 1)), F.col("seen"))))
+    bounds = _kth(_resolved(entries, queries, floors, listed, cells), k).withColumn("cutoff", F.expr(f"(bound + {SLICES - 1}) div {SLICES}"))
+    bounds = store(bounds, "bounds")
+
+    asked = queries.join(bounds, "q").join(floors, "q").select("q", "dim", "v", "slice", F.array("cutoff", "floor").alias("more"))
+    second = _sums(store(_nodes(entries, asked, cells, _reaching), "local-reaching"))
+    better = bounds.join(_kth(second, k).withColumnRenamed("bound", "higher"), "q", "left")
+    most = F.col("low") + (SLICES - F.size("seen")) * F.greatest(F.col("cutoff") - 1, F.lit(0))
+    left = second.join(better, "q").filter(most >= F.greatest("bound", "higher")).select("q", "e", "low", "seen")
+    total = _resolved(entries, queries, floors, store(left, "candidates"), cells)
+    taken = floors.groupBy("q").agg(F.sum("floor").alias("floor"))
+    return total.join(taken, "q").select("q", "e", (F.col("low") + F.col("floor")).alias("score"))
+
+
+def _sums(local: DataFrame) -> DataFrame:
+    """(q, e, low, seen): sum of the local scores known of each pair, and their slices."""
+    return store(local.groupBy("q", "e").agg(F.sum("s").alias("low"), F.collect_set("slice").alias("seen")), "partial-sums")
+
+
+def _resolved(entries: DataFrame, queries: DataFrame, floors: DataFrame, sums: DataFrame, cells: int) -> DataFrame:
+    """(q, e, low) of ``sums`` in full: the nodes are asked for what is missing."""
+    open_slices = F.explode(F.array_except(F.sequence(F.lit(0), F.lit(SLICES - 1)), F.col("seen")))
+    missing = sums.filter(F.size("seen") < SLICES).select("q", "e", open_slices.alias("slice"))
     # A question names entries of one cell, so at most as many as a cell holds.
     named = missing.groupBy("q", "slice", _cell(cells).alias("cell")).agg(F.collect_list("e").alias("wanted"))
-    asked = named.join(limits, ["q", "slice"]).join(queries, "q").select(
+    asked = named.join(floors, ["q", "slice"]).join(queries, "q").select(
         "q", "dim", "v", "slice", "cell", F.concat(F.array("floor"), F.col("wanted")).alias("more"))
-    third = _nodes(entries, asked, cells, _named).select("q", "e", F.col("s").alias("low"))
-    floors = least.groupBy("q").agg(F.sum("floor").alias("floor"))
-    total = left.select("q", "e", "low").unionByName(third).groupBy("q", "e").agg(F.sum("low").alias("low"))
-    return total.join(floors, "q").select("q", "e", (F.col("low") + F.col("floor")).alias("score"))
+    rest = _nodes(entries, asked, cells, _named).select("q", "e", F.col("s").alias("low"))
+    return sums.select("q", "e", "low").unionByName(rest).groupBy("q", "e").agg(F.sum("low").alias("low"))
 
 
 def search(df: DataFrame, is_query: Column, k: int = 5, vector: str = "embedding", key: str = "vec_id", scale: float = 256.0) -> DataFrame:
