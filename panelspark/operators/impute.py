@@ -71,20 +71,20 @@ def fill_down(
     def seen(c: str) -> Column:
         return F.when(F.col(c).isNotNull(), F.struct(F.col("__at").alias("at"), F.col(c).cast("double").alias("v")))
 
-    before = inside.rowsBetween(W.unboundedPreceding, 0)
-    after = inside.rowsBetween(0, W.unboundedFollowing)
+    # Looking ahead is looking back from the other end: frames that only grow are scanned once, whatever their size.
+    outside = W.partitionBy(*by, part).orderBy(F.col("__at").desc())
+    before, after = (w.rowsBetween(W.unboundedPreceding, 0) for w in (inside, outside))
     local = base.withColumns(
         {f"__prev_{c}": F.last(seen(c), ignorenulls=True).over(before) for c in columns if back}
-        | {f"__next_{c}": F.first(seen(c), ignorenulls=True).over(after) for c in columns if ahead}
-    )
+    ).withColumns({f"__next_{c}": F.last(seen(c), ignorenulls=True).over(after) for c in columns if ahead})
 
     summary = base.groupBy(*by, part).agg(
         F.count(F.lit(1)).alias("__n"),
         *[F.max(seen(c)).alias(f"__last_{c}") for c in columns if back],
         *[F.min(seen(c)).alias(f"__first_{c}") for c in columns if ahead],
     )
-    whole = W.partitionBy(*by).orderBy(part)
-    earlier, later = whole.rowsBetween(W.unboundedPreceding, -1), whole.rowsBetween(1, W.unboundedFollowing)
+    whole = W.partitionBy(*by)
+    earlier, later = (whole.orderBy(o).rowsBetween(W.unboundedPreceding, -1) for o in (part, F.col(part).desc()))
     summary = summary.withColumn("__offset", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
 
     def shifted(name: str) -> Column:
@@ -95,7 +95,7 @@ def fill_down(
 
     summary = summary.withColumns(
         {f"__carry_{c}": F.last(shifted(f"__last_{c}"), ignorenulls=True).over(earlier) for c in columns if back}
-        | {f"__ahead_{c}": F.first(shifted(f"__first_{c}"), ignorenulls=True).over(later) for c in columns if ahead}
+        | {f"__ahead_{c}": F.last(shifted(f"__first_{c}"), ignorenulls=True).over(later) for c in columns if ahead}
     )
     kept = [f"__{k}_{c}" for c in columns for k, use in (("carry", back), ("ahead", ahead)) if use]
     summary = summary.select(*[F.col(quoted(c)).alias(f"__by{i}") for i, c in enumerate(by)], F.col(part).alias("__of"), "__offset", *kept)

@@ -25,7 +25,7 @@ from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.operators.density import dbscan
+from panelspark.operators.balls import dbscan_vectors
 from panelspark.schema import CLASSES, KEY, TARGET, quoted
 
 SEED = 42
@@ -207,10 +207,10 @@ def advanced_models() -> dict[str, Entry]:
 
 
 def unsupervised_models() -> dict[str, Entry]:
-    """``dbscan`` makes a function (id, x, y) -> clusters; the others make estimators."""
+    """``dbscan`` makes a function of points (id, v) that gives (id, core, cluster); the others make estimators."""
     return {
         "kmeans": Entry(lambda: BestKMeans(3, 10), "k-means, best of ten starts"),
-        "dbscan": Entry(lambda: lambda points: dbscan(points, 0.5, 5), "density clustering in the plane"),
+        "dbscan": Entry(lambda: lambda points: dbscan_vectors(points, 0.5, 5), "density clustering of all columns"),
         "agg_clustering": Entry(
             lambda: BisectingKMeans(k=3, seed=SEED, featuresCol=FEATURES, predictionCol=PREDICTION),
             "hierarchical clustering, top down",

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from panelspark.operators import evaluate as E
 from panelspark.operators import explain as X
 from panelspark.operators import models as M
+from panelspark.operators.balls import dbscan_vectors
 from panelspark.operators.density import dbscan
 from panelspark.operators.features import add_features
 from panelspark.operators.iterative import impute_iterative
@@ -105,6 +106,21 @@ def m10(spark, sf_dir):
     )
 
 
+@query(
+    "m10_density_clusters_of_vectors",
+    """WITH RECURSIVE pts AS (SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+    near AS (SELECT a.id AS a, b.id AS b FROM pts a JOIN pts b ON list_distance(a.v, b.v) <= 1.15),
+    flagged AS (SELECT id, (SELECT count(*) FROM near WHERE a = id) >= 5 AS core FROM pts),
+    reach AS (SELECT id AS a, id AS b FROM flagged WHERE core UNION
+      SELECT reach.a, near.b FROM reach JOIN near ON near.a = reach.b JOIN flagged f ON f.id = near.b AND f.core),
+    root AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+    border AS (SELECT n.a, min(r.b) AS b FROM near n JOIN root r ON r.a = n.b GROUP BY n.a)
+    SELECT id, core, coalesce(root.b, border.b) AS cluster FROM flagged LEFT JOIN root ON root.a = id LEFT JOIN border ON border.a = id""",
+)
+def m10_vectors(spark, sf_dir):
+    return dbscan_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 1.15, 5, "vec_id", "embedding")
+
+
 def vectors(spark, sf_dir) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return table.select("vec_id", array_to_vector(F.transform("embedding", lambda v: v.cast("double"))).alias("features"))
