@@ -18,7 +18,7 @@ Answer = Callable[[Rows, Rows], Iterator[pa.RecordBatch]]
 def pack_vectors(df: DataFrame, column: str) -> DataFrame:
     """``column`` (array of double, no nulls) as little-endian doubles in a binary, which numpy reads without a copy a number."""
     kinds = [f for f in df.schema.fields if f.name != column]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds) + f", `{column}` binary"
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds), f"`{column}` binary"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -18,7 +18,7 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.clustering import BisectingKMeans, KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.operators.balls import dbscan_vectors
+from panelspark.operators.ward import WardClustering
 from panelspark.schema import CLASSES, KEY, TARGET, quoted
 
 SEED = 42
@@ -211,10 +212,7 @@ def unsupervised_models() -> dict[str, Entry]:
     return {
         "kmeans": Entry(lambda: BestKMeans(3, 10), "k-means, best of ten starts"),
         "dbscan": Entry(lambda: lambda points: dbscan_vectors(points, 0.5, 5), "density clustering of all columns"),
-        "agg_clustering": Entry(
-            lambda: BisectingKMeans(k=3, seed=SEED, featuresCol=FEATURES, predictionCol=PREDICTION),
-            "hierarchical clustering, top down",
-        ),
+        "agg_clustering": Entry(lambda: WardClustering(3, featuresCol=FEATURES, predictionCol=PREDICTION), "Ward clustering"),
     }
 
 

@@ -2,8 +2,10 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 
 from panelspark.operators import balls as B
+from panelspark.operators import ward as W
 
 
 def plain_dbscan(ids, points, eps, least):
@@ -61,3 +63,76 @@ def test_a_crowded_ball_meets_nobody_of_its_own(spark, monkeypatch):
     found = B.dbscan_vectors(df, 1.0, 5, pivots=1)
     assert {(r["core"], r["cluster"]) for r in found.collect()} == {(True, 0)}
     assert sum(v.count() for v in visits) == 0
+
+
+def plain_ward(points, k):
+    """The closest pair each time; groups as sorted lists."""
+    groups, weight, mean = [[i] for i in range(len(points))], np.ones(len(points)), points.astype(float).copy()
+    alive = np.ones(len(points), bool)
+    while alive.sum() > k:
+        cost = ((mean[:, None] - mean[None]) ** 2).sum(2) * weight[:, None] * weight[None] / (weight[:, None] + weight[None])
+        cost[~alive], cost[:, ~alive] = np.inf, np.inf
+        np.fill_diagonal(cost, np.inf)
+        a, b = sorted(np.unravel_index(cost.argmin(), cost.shape))
+        mean[a] = (weight[a] * mean[a] + weight[b] * mean[b]) / (weight[a] + weight[b])
+        weight[a] += weight[b]
+        groups[a] += groups[b]
+        alive[b] = False
+    return sorted(sorted(groups[i]) for i in np.flatnonzero(alive))
+
+
+def squares_within(points, groups):
+    return sum(((points[g] - points[g].mean(0)) ** 2).sum() for g in groups)
+
+
+def vectors(spark, points):
+    return spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(points)], "id long, v array<double>").select("id", array_to_vector("v").alias("features"))
+
+
+def clusters(model, df):
+    found = {}
+    for r in model.transform(df).collect():
+        found.setdefault(r["prediction"], []).append(r["id"])
+    return sorted(sorted(x) for x in found.values())
+
+
+def test_chain_equals_closest_pairs():
+    rng = np.random.default_rng(0)
+    for _ in range(4):
+        points = rng.normal(size=(70, 4)) + rng.integers(0, 2, (70, 1)) * 2
+        features = W.Features(np.ones(70), points, np.zeros(70))
+        for k in (1, 3, 7, 70, 90):
+            group = W.cut(70, W.ward_tree(features), k)
+            assert sorted(sorted(np.flatnonzero(group == c).tolist()) for c in range(group.max() + 1)) == plain_ward(points, max(k, 1))
+
+
+def test_ward_equals_plain_version(spark):
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(500, 6)) + rng.integers(0, 3, (500, 1)) * 1.5
+    df = vectors(spark, np.concatenate([points, points[:1].repeat(40, 0)]).copy())
+    model = W.WardClustering(4).fit(df)
+    whole = np.concatenate([points, points[:1].repeat(40, 0)])
+    assert clusters(model, df) == plain_ward(whole, 4) and model.spread == 0
+    sizes = [len(x) for x in sorted(clusters(model, df), key=len, reverse=True)]
+    assert sizes == [r["count"] for r in model.transform(df).groupBy("prediction").count().orderBy("prediction").collect()]
+
+
+def test_summaries_lose_little(spark, monkeypatch):
+    """3,000 rows in tasks of 400 over summaries of 120 features: squares within 5 percent of the plain method's."""
+    monkeypatch.setattr(W, "ROWS", 400)
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(3000, 3)) + rng.integers(0, 3, (3000, 1)) * 3.0
+    df = vectors(spark, points)
+    model = W.WardClustering(3, most=120).fit(df)
+    assert len(model.features) <= 120 and model.features.weight.sum() == 3000 and model.spread > 0
+    own = points[np.random.default_rng(1).permutation(3000)[:600]]
+    got, want = squares_within(points, clusters(model, df)), squares_within(own, plain_ward(own, 3)) * 5
+    assert got < 1.05 * want
+    again = W.WardClustering(3, most=120).fit(df.repartition(7))
+    assert clusters(again, df) == clusters(model, df)
+
+
+def test_ward_of_few_rows(spark):
+    df = vectors(spark, np.array([[1.0, 2.0], [1.0, 2.0]]))
+    assert clusters(W.WardClustering(3).fit(df), df) == [[0, 1]]
+    assert W.WardClustering(3).fit(df.limit(0)).transform(df.limit(0)).count() == 0

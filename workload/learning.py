@@ -15,7 +15,7 @@ from panelspark.operators import explain as X
 from panelspark.operators import models as M
 from panelspark.operators.balls import dbscan_vectors
 from panelspark.operators.density import dbscan
-from panelspark.operators.features import add_features
+from panelspark.operators.features import add_features, fill_rows
 from panelspark.operators.iterative import impute_iterative
 from panelspark.operators.neighbours import impute_neighbours
 from panelspark.operators.reduce import components_needed, fit_components
@@ -23,7 +23,7 @@ from panelspark.plans import experiments as V
 from panelspark.plans import selection as S
 from panelspark.schema import KEY, TARGET
 from panelspark.sources.derived import split_by_key
-from workload.base import RETURNS, num, packed, query, sql, stored_kept, stored_panel, whole, wholes
+from workload.base import RETURNS, mixed_fill, num, packed, query, sql, stored_kept, stored_panel, whole, wholes
 from workload.files import registry
 
 CATALOGUE = M.all_models() | {
@@ -142,6 +142,35 @@ def m7(spark, sf_dir):
     return cluster_sizes(M.unsupervised_models()["agg_clustering"].make().fit(df), df)
 
 
+def filled_rows(spark, sf_dir) -> DataFrame:
+    """(ID, features): the kept rows, filled, without those that have nothing to fill from."""
+    df = fill_rows(stored_kept(spark, sf_dir), "ffill_then_bfill")
+    values = F.array(*RETURNS)
+    return df.select(KEY, values.alias("v")).where(F.forall("v", lambda x: x.isNotNull())).select(KEY, array_to_vector("v").alias("features"))
+
+
+@query(
+    "m7_ward_clusters_of_rows",
+    sql(
+        f"""SELECT {whole('unnest(c.m)', 'ID')}, {whole('list_min(c.m)', 'cluster')}
+        FROM (SELECT unnest(cl) AS c FROM tree WHERE len(cl) = least(3, (SELECT count(*) FROM pts)))""",
+        f"""filled AS ({mixed_fill('ffill_then_bfill')}),
+        pts AS (SELECT "ID" AS id, list(CAST(value AS DOUBLE) ORDER BY pos) AS v FROM filled GROUP BY "ID" HAVING count(value) = 53),
+        tree AS (SELECT list({{'k': id, 'n': CAST(1 AS DOUBLE), 'v': v, 'm': [id]}} ORDER BY id) AS cl FROM pts
+          UNION ALL SELECT list_concat(list_filter(cl, lambda c: c.k <> p.a.k AND c.k <> p.b.k), [{{'k': p.a.k, 'n': p.a.n + p.b.n,
+            'v': list_transform(range(1, 54), lambda i: (p.a.n * p.a.v[i] + p.b.n * p.b.v[i]) / (p.a.n + p.b.n)), 'm': list_concat(p.a.m, p.b.m)}}])
+          FROM (SELECT cl, (SELECT arg_min({{'a': a, 'b': b}}, a.n * b.n / (a.n + b.n) * list_distance(a.v, b.v) ** 2)
+            FROM (SELECT unnest(cl) AS a) s, (SELECT unnest(cl) AS b) t WHERE a.k < b.k) AS p FROM tree WHERE len(cl) > 3))""",
+    ).replace("WITH k AS", "WITH RECURSIVE k AS", 1),
+)
+def m7_rows(spark, sf_dir):
+    """Clusters are named by their least key."""
+    df = filled_rows(spark, sf_dir)
+    found = M.unsupervised_models()["agg_clustering"].make().fit(df).transform(df)
+    names = found.groupBy("prediction").agg(F.min(KEY).alias("cluster"))
+    return found.join(names, "prediction").select(KEY, "cluster")
+
+
 # --- components ---------------------------------------------------------------------------------
 
 
