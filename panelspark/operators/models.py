@@ -11,7 +11,6 @@ import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, Transformer
 from pyspark.ml.classification import (
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
@@ -26,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.operators.balls import dbscan_vectors
+from panelspark.operators.boosting import BoostedTrees, Growth
 from panelspark.operators.ward import WardClustering
 from panelspark.schema import CLASSES, KEY, TARGET, quoted
 
@@ -117,19 +117,11 @@ class BestKMeans(Estimator):
 
 def boosted_trees(
     n_estimators: int = 100, max_depth: int = 6, learning_rate: float = 0.3,
-    subsample: float = 1.0, feature_share: float | None = None, min_child: int = 1,
-) -> OneVsRest:
-    """Gradient-boosted trees, one binary model per class."""
-    trees = GBTClassifier(
-        maxIter=n_estimators,
-        maxDepth=max_depth,
-        stepSize=learning_rate,
-        subsamplingRate=subsample,
-        featureSubsetStrategy="all" if feature_share is None else str(feature_share),
-        minInstancesPerNode=min_child,
-        seed=SEED,
-    )
-    return OneVsRest(classifier=trees, featuresCol=FEATURES, labelCol=LABEL, parallelism=len(CLASSES))
+    subsample: float = 1.0, feature_share: float | None = None, min_child: float = 1.0, ridge: float = 1.0,
+) -> BoostedTrees:
+    """Gradient-boosted trees for all classes together, softmax loss."""
+    growth = Growth(n_estimators, max_depth, learning_rate, subsample, feature_share or 1.0, ridge, 0.0, min_child, SEED)
+    return BoostedTrees(growth, len(CLASSES), featuresCol=FEATURES, labelCol=LABEL, predictionCol=PREDICTION)
 
 
 def random_forest(n_trees: int = 100, max_depth: int = 10) -> RandomForestClassifier:
@@ -201,7 +193,7 @@ def baseline_models() -> dict[str, Entry]:
 def advanced_models() -> dict[str, Entry]:
     return {
         "random_forest": Entry(lambda: random_forest(100, 30), "random forest, as deep as allowed"),
-        "gradient_boosting": Entry(lambda: boosted_trees(100, 3, 0.1), "gradient boosting"),
+        "gradient_boosting": Entry(lambda: boosted_trees(100, 3, 0.1, min_child=0.0, ridge=0.0), "gradient boosting"),
         "svm": Entry(lambda: kernel_svm(), "support vector machine with RBF features"),
         "xgboost_tuned": Entry(lambda: boosted_trees(200, 5, 0.1), "boosted trees, tuned"),
     }
@@ -216,7 +208,7 @@ def unsupervised_models() -> dict[str, Entry]:
     }
 
 
-def signature_model() -> OneVsRest:
+def signature_model() -> BoostedTrees:
     """The model used on path signatures."""
     return boosted_trees(300, 4, 0.1, subsample=0.8, feature_share=0.8)
 

@@ -148,7 +148,7 @@ def test_catalogues_make_fresh_models():
 def test_models_are_fresh(spark):
     entry = M.baseline_models()["xgboost_tuned"]
     first, second = entry.make(), entry.make()
-    assert first is not second and first.getClassifier().getMaxIter() == 300
+    assert first is not second and first.growth.rounds == 300
 
 
 def test_boosted_trees_learn(spark, sides):

@@ -207,6 +207,8 @@ def _model_query(name: str, key: str):
 
 
 _model_query("m1_m4_boosted_trees", "xgboost_baseline")
+_model_query("m1_boosted_trees_tuned", "xgboost_tuned")
+_model_query("m4_gradient_boosting", "gradient_boosting")
 _model_query("m2_random_forest", "rf_baseline")
 _model_query("m3_m12_logistic_regression", "logistic")
 _model_query("m5_kernel_svm", "svm")
@@ -299,7 +301,7 @@ def x1(spark, sf_dir):
 @query("x2_train_and_rank")
 def x2(spark, sf_dir):
     train, _ = sides(spark, sf_dir)
-    return V.feature_importance(add_features(train), CATALOGUE["rf_baseline"])[0]
+    return V.feature_importance(add_features(train), CATALOGUE["xgboost_baseline"])[0]
 
 
 @query("x3_permutation_importance")
