@@ -32,7 +32,7 @@ SHORT = 64  # a rest up to this length is not cut
 GROUP = 256
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids array<int>"
 PLACED = "sequence_id long, offset long"
-FILLED = f"{PIECES}, class int, worker long, piece long, {PLACED}"
+FILLED = f"{PIECES}, class int, worker long, piece long, {PLACED}".replace("ids array<int>", "ids binary")
 SHORT_ROWS = f"class int, worker long, piece long, length long, {PLACED}"
 
 
@@ -83,7 +83,7 @@ def _batch(rows: list[tuple], worker: int, capacity: int) -> pa.RecordBatch:
     doc, start, length, total, ids, piece, seq, at = zip(*rows)
     return pa.RecordBatch.from_arrays([
         pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(total, pa.int64()),
-        id_lists(list(ids)), pa.array([class_of(n, capacity) for n in length], pa.int32()), pa.array([worker] * len(rows), pa.int64()),
+        pa.array(ids, pa.binary()), pa.array([class_of(n, capacity) for n in length], pa.int32()), pa.array([worker] * len(rows), pa.int64()),
         pa.array(piece, pa.int64()), pa.array(seq, pa.int64()), pa.array(at, pa.int64()),
     ], names=["doc_id", "start", "length", "doc_tokens", "ids", "class", "worker", "piece", "sequence_id", "offset"])
 
@@ -170,8 +170,8 @@ def _in_turn(rows: Iterator[Row], capacity: int) -> Iterator[tuple]:
         used[b] += n
 
 
-def pack(df: DataFrame, tokenizer: str, end: int = 2, capacity: int = CAPACITY, text: str = "text") -> DataFrame:
-    """Pieces (PIECES) with their ``sequence_id`` and ``offset``; each id of every document lies in exactly one piece.
+def pack_bytes(df: DataFrame, tokenizer: str, end: int = 2, capacity: int = CAPACITY, text: str = "text") -> DataFrame:
+    """``pack`` with ids as little-endian unsigned 32-bit integers in a binary.
 
     The later rounds move lengths only; what they decide is joined with the pieces by number.
     """
@@ -192,6 +192,18 @@ def pack(df: DataFrame, tokenizer: str, end: int = 2, capacity: int = CAPACITY,
     return filled.filter("sequence_id IS NOT NULL").select(columns).unionByName(open_.select(columns))
 
 
+def pack(df: DataFrame, tokenizer: str, end: int = 2, capacity: int = CAPACITY, text: str = "text") -> DataFrame:
+    """Pieces (PIECES) with their ``sequence_id`` and ``offset``; each id of every document lies in exactly one piece."""
+    packed = pack_bytes(df, tokenizer, end, capacity, text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = id_lists(batch.column("ids").to_pylist())
+            yield pa.RecordBatch.from_arrays([lists if c == "ids" else batch.column(c) for c in batch.schema.names], names=batch.schema.names)
+
+    return packed.mapInArrow(run, f"{PIECES}, {PLACED}")
+
+
 def sequences(pieces: DataFrame, pad: int, capacity: int = CAPACITY) -> DataFrame:
     """(sequence_id, ids, n_tokens): the sequences in full, padded with ``pad`` to ``capacity`` except at a power of two."""
     joined = pieces.groupBy("sequence_id").agg(

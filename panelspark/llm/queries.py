@@ -67,7 +67,8 @@ def op5_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_crc(packing.pack(table(spark, sf_dir, "documents"), WORD_BPE, end=2))
+    packed = packing.pack_bytes(table(spark, sf_dir, "documents"), WORD_BPE, end=2)
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

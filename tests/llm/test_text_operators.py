@@ -321,3 +321,17 @@ def test_pipeline(spark):
 def test_crc(spark):
     rows = queries.with_crc(spark.createDataFrame([(1, [1, 2, 70000]), (2, [])], "doc_id long, ids array<int>")).collect()
     assert {r["doc_id"]: r["ids_crc32"] for r in rows} == {1: zlib.crc32(np.array([1, 2, 70000], "<u4").tobytes()), 2: 0}
+
+
+def test_packing_query(spark):
+    """Every document's ids by the library, cut as the pieces say."""
+    library = Tokenizer.from_file(WORD_BPE)
+    whole = {r["doc_id"]: library.encode(r["text"] or "", add_special_tokens=False).ids + [2] for r in table(spark, H.FOLDER, "documents").collect()}
+    rows = queries.op6_harmonic_packing(spark, H.FOLDER).collect()
+    seen = {i: 0 for i in whole}
+    for r in rows:
+        ids = whole[r["doc_id"]][r["start"]:r["start"] + r["length"]]
+        assert len(ids) == r["length"] and r["doc_tokens"] == len(whole[r["doc_id"]])
+        assert r["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+        seen[r["doc_id"]] += r["length"]
+    assert seen == {i: len(x) for i, x in whole.items()}
