@@ -9,11 +9,13 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import product
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.sketch import hash_fold, hash_unit
 from panelspark.operators.models import LABEL, PREDICTION, index_class
+from panelspark.operators.order import free_names, rank_within
+from panelspark.operators.pool import side_by_side
 from panelspark.schema import CLASSES, KEY
 
 # --- metrics from predictions -----------------------------------------------------------------
@@ -102,6 +104,14 @@ def with_folds(df: DataFrame, k: int = 5, key: str = KEY, seed: int = 42) -> Dat
     return df.withColumn("fold", hash_fold(F.col(key), k, seed))
 
 
+def with_stratified_folds(df: DataFrame, k: int = 5, label: str = LABEL, key: str = KEY, seed: int = 42) -> DataFrame:
+    """Adds ``fold``: the rows of each class, in an order that a hash of the key gives, are dealt to the folds in turn, so a
+    class's numbers of rows by fold differ by one at most. Places are exact, yet no class is ordered in one task."""
+    hashed, place, total = free_names(df, "hashed", "place", "total")
+    placed = rank_within(df.withColumn(hashed, F.xxhash64(F.lit(seed), F.col(key))), [label], [hashed, key], place, total)
+    return placed.withColumn("fold", (F.col(place) % k).cast("int")).drop(hashed, place, total)
+
+
 def _mean_std(values: Sequence[float]) -> tuple[float, float]:
     if not values:
         raise ValueError("no fold has rows to score")
@@ -123,26 +133,35 @@ class FoldScores:
         return _mean_std(self.scores)[1]
 
 
+def _score_fold(make: Factory, folded: DataFrame, fold: int, train_filter, score_train: bool) -> tuple[float | None, float | None]:
+    train = folded.where(F.col("fold") != fold)
+    if train_filter is not None:
+        train = train.where(train_filter)
+    model = make().fit(train)
+    own = accuracy(model.transform(folded.where(F.col("fold") == fold)))
+    return own, accuracy(model.transform(train)) if score_train else None
+
+
+def cross_validate_all(jobs: Sequence[tuple[Factory, Column | None]], folded: DataFrame, k: int = 5, score_train: bool = False) -> list[FoldScores]:
+    """Fold accuracies of each (make, filter of the training rows), all fits of all of them side by side."""
+    work = [lambda m=make, f=only, i=i: _score_fold(m, folded, i, f, score_train) for make, only in jobs for i in range(k)]
+    found = side_by_side(folded.sparkSession, work)
+    results = []
+    for j in range(len(jobs)):
+        pairs = found[j * k:(j + 1) * k]
+        # A fold without rows has no accuracy and is left out of the mean.
+        results.append(FoldScores([s for s, _ in pairs if s is not None], [t for _, t in pairs if t is not None]))
+    return results
+
+
 def cross_validate(make: Factory, folded: DataFrame, k: int = 5, train_filter=None, score_train: bool = False) -> FoldScores:
     """Accuracy of a fresh model per fold. ``folded`` has features, label and fold; cache it beforehand."""
-    result = FoldScores()
-    for i in range(k):
-        train = folded.where(F.col("fold") != i)
-        if train_filter is not None:
-            train = train.where(train_filter)
-        model = make().fit(train)
-        # A fold without rows has no accuracy and is left out of the mean.
-        score = accuracy(model.transform(folded.where(F.col("fold") == i)))
-        if score is not None:
-            result.scores.append(score)
-        if score_train and (score := accuracy(model.transform(train))) is not None:
-            result.train_scores.append(score)
-    return result
+    return cross_validate_all([(make, train_filter)], folded, k, score_train)[0]
 
 
 def evaluate_performance(make: Factory, train: DataFrame, test: DataFrame, cv: int = 5) -> tuple[dict, DataFrame]:
     """Cross-validate on train, fit on all of it, score test. Returns (metrics with timings, predictions)."""
-    folded = with_folds(train, cv).persist()
+    folded = with_stratified_folds(train, cv).persist()
     try:
         t0 = time.perf_counter()
         folds = cross_validate(make, folded, cv)
@@ -187,12 +206,11 @@ def search_parameters(
     ``trials`` is the table of all draws.
     """
     started = time.perf_counter()
-    folded = with_folds(train, cv).persist()
+    folded = with_stratified_folds(train, cv).persist()
     try:
-        trials = []
-        for params in parameter_draws(grid, n_iter if use_random else None):
-            folds = cross_validate(lambda p=params: make(**p), folded, cv)
-            trials.append((params, folds.mean, folds.std))
+        draws = parameter_draws(grid, n_iter if use_random else None)
+        found = cross_validate_all([(lambda p=params: make(**p), None) for params in draws], folded, cv)
+        trials = [(params, folds.mean, folds.std) for params, folds in zip(draws, found)]
         best = max(trials, key=lambda t: t[1])
         model = make(**best[0]).fit(folded)
     finally:
@@ -211,12 +229,10 @@ def learning_curve(
     make: Factory, train: DataFrame, cv: int = 5, shares: Sequence[float] = tuple(i / 10 for i in range(1, 11))
 ) -> DataFrame:
     """(share, train_mean, train_std, test_mean, test_std). Larger training sets contain the smaller ones."""
-    folded = with_folds(train, cv).withColumn("__u", hash_unit(F.col(KEY), seed=7)).persist()
+    folded = with_stratified_folds(train, cv).withColumn("__u", hash_unit(F.col(KEY), seed=7)).persist()
     try:
-        rows = []
-        for share in shares:
-            folds = cross_validate(make, folded, cv, F.col("__u") < share, score_train=True)
-            rows.append((float(share), *_mean_std(folds.train_scores), *_mean_std(folds.scores)))
+        found = cross_validate_all([(make, F.col("__u") < share) for share in shares], folded, cv, score_train=True)
+        rows = [(float(share), *_mean_std(folds.train_scores), *_mean_std(folds.scores)) for share, folds in zip(shares, found)]
     finally:
         folded.unpersist()
     return train.sparkSession.createDataFrame(

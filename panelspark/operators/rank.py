@@ -12,6 +12,7 @@ from panelspark.functions import series as S
 from panelspark.functions.quantiles import column_quantiles
 from panelspark.functions.sketch import f_tail
 from panelspark.operators.correlate import target_correlations
+from panelspark.operators.information import nearest_information
 from panelspark.operators.profile import at_position
 from panelspark.schema import TARGET, literal_array
 
@@ -105,6 +106,12 @@ def rank_by_mutual_information(
     return _ranked(mutual_information(df, columns, target, bins), "mutual_info", top_n)
 
 
+def rank_by_nearest_information(
+    df: DataFrame, columns: Sequence[str], target: str = TARGET, top_n: int | None = None, k: int = 3
+) -> DataFrame:
+    return _ranked(nearest_information(df, columns, target, k), "mutual_info", top_n)
+
+
 def best_features(importance: DataFrame, threshold: float = 0.01, max_features: int = 20) -> DataFrame:
     """Features above an importance threshold, the first ``max_features`` of them."""
     return (

@@ -7,9 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.operators.evaluate import cross_validate, with_folds
+from panelspark.operators.evaluate import cross_validate, with_stratified_folds
 from panelspark.operators.features import add_financial_features
 from panelspark.operators.models import Entry, assemble
+from panelspark.operators.pool import side_by_side
 from panelspark.operators.rank import (
     pair_overlaps,
     rank_by_correlation,
@@ -58,16 +59,20 @@ def optimise_feature_count(
 ) -> dict:
     """Cross-validated accuracy of the best n features for every n; the first best n wins.
 
-    The scaler is fitted on the training part of each fold.
+    The scaler is fitted on the training part of each fold. All fits run side by side; a fold without rows doesn't count.
     """
-    ranking = list(ranking)
-    data = with_folds(df.select(KEY, TARGET, *ranking).na.fill(0, ranking), cv).persist()
+    ranking, counts = list(ranking), list(counts)
+    data = with_stratified_folds(df.select(KEY, TARGET, *ranking).na.fill(0, ranking), cv, TARGET).persist()
     rows = []
     try:
-        for n in counts:
-            scores = [_fold_score(data, ranking[:n], entry, scaler, i) for i in range(cv)]
-            mean = sum(scores) / cv
-            rows.append((n, mean, (sum((s - mean) ** 2 for s in scores) / cv) ** 0.5))
+        work = [lambda n=n, i=i: _fold_score(data, ranking[:n], entry, scaler, i) for n in counts for i in range(cv)]
+        found = side_by_side(df.sparkSession, work)
+        for j, n in enumerate(counts):
+            scores = [s for part in found[j * cv:(j + 1) * cv] for s in part]
+            if not scores:
+                raise ValueError("no fold has rows to score")
+            mean = sum(scores) / len(scores)
+            rows.append((n, mean, (sum((s - mean) ** 2 for s in scores) / len(scores)) ** 0.5))
     finally:
         data.unpersist()
     best = max(rows, key=lambda r: r[1])
@@ -75,13 +80,13 @@ def optimise_feature_count(
     return {"optimal_n_features": best[0], "best_score": best[1], "optimal_features": ranking[: best[0]], "results": table}
 
 
-def _fold_score(data: DataFrame, columns: Sequence[str], entry: Entry, scaler: str | None, fold: int) -> float:
+def _fold_score(data: DataFrame, columns: Sequence[str], entry: Entry, scaler: str | None, fold: int) -> list[float]:
     fitted = fit_scaler(scaler, data.where(F.col("fold") != fold), columns)
     scaled = data if fitted is None else fitted.transform(data)
     frame = assemble(scaled, list(columns), keep=(KEY, "fold"))
     # cross_validate over one fold: it trains where fold != 0 and scores where fold = 0.
     one = frame.withColumn("fold", (F.col("fold") != fold).cast("int"))
-    return cross_validate(entry.make, one, 1).scores[0]
+    return cross_validate(entry.make, one, 1).scores
 
 
 def choose_method(optimised: Mapping[str, dict], fallback: DataFrame | None = None) -> tuple[str | None, list[str]]:

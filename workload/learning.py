@@ -274,7 +274,7 @@ def e7(spark, sf_dir):
     train, _ = sides(spark, sf_dir)
     ranking = S.ordered_features(S.RANKERS["correlation"](train, RETURNS, top_n=len(RETURNS)))
     counts = tuple(range(5, len(ranking) + 1, 5))
-    return S.optimise_feature_count(train, ranking, CATALOGUE["logistic"], counts)["results"]
+    return S.optimise_feature_count(train, ranking, CATALOGUE["xgboost_baseline"], counts)["results"]
 
 
 @query("v11_final_models")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from panelspark.operators import correlate as C
 from panelspark.operators import profile as P
 from panelspark.operators import rank as R
+from panelspark.operators.evaluate import with_stratified_folds
 from panelspark.operators.features import fill_rows, normalise_rows
 from panelspark.operators.results import importance_share
 from panelspark.operators.sampling import split_rows
@@ -393,6 +394,22 @@ def e4(spark, sf_dir):
     return R.rank_by_mutual_information(panel(spark, sf_dir), RETURNS)
 
 
+NEAR_SCORE = """v AS (SELECT pos, reod, "ID", value FROM grid JOIN lab USING ("ID") WHERE value IS NOT NULL),
+ u AS (SELECT *, count(*) OVER (PARTITION BY pos, reod) AS nc FROM v QUALIFY nc > 1),
+ d AS (SELECT a.pos, a."ID", a.value, a.nc, list_sort(list(abs(b.value - a.value)))[least(3, a.nc - 1)] AS r
+   FROM u a JOIN u b ON a.pos = b.pos AND a.reod = b.reod AND a."ID" <> b."ID" GROUP BY a.pos, a."ID", a.value, a.nc),
+ m AS (SELECT d.pos, d."ID", d.nc, count(*) AS m FROM d JOIN u b ON b.pos = d.pos AND (abs(b.value - d.value) < d.r OR b.value = d.value) GROUP BY ALL),
+ h AS (SELECT n, coalesce(sum(1 / (n - 1)) FILTER (n > 1) OVER (ORDER BY n), 0) AS psi FROM (SELECT CAST(unnest(range(1, (SELECT count(*) + 2 FROM lab))) AS DOUBLE) AS n)),
+ by_near AS (SELECT pos, greatest((SELECT psi FROM h WHERE n = whole) + mean, 0) AS score FROM (
+   SELECT m.pos, count(*) AS whole, avg(hk.psi - hc.psi - hm.psi) AS mean FROM m JOIN h hk ON hk.n = least(3, m.nc - 1) JOIN h hc ON hc.n = m.nc JOIN h hm ON hm.n = m.m GROUP BY m.pos))"""
+
+
+@query("e4_nearest_mutual_information", sql(ranked_sql("mutual_info", "by_near"), NEAR_SCORE))
+def e4_nearest(spark, sf_dir):
+    """The estimate of the nearest neighbours, three of them."""
+    return R.rank_by_nearest_information(stored_panel(spark, sf_dir), RETURNS)
+
+
 @query("e10_fallback_top_correlated", sql(f"SELECT {FEATURE}, {whole('rank', 'rank')} FROM (SELECT *, {RANKED} AS rank FROM by_corr) WHERE rank <= 20", CORR_SCORE))
 def e10(spark, sf_dir):
     return R.rank_by_correlation(panel(spark, sf_dir), RETURNS, top_n=20).select("feature", "rank")
@@ -528,6 +545,14 @@ def t7(spark, sf_dir):
     return train.select(F.lit("train").alias("part"), KEY).unionByName(validation.select(F.lit("validation").alias("part"), KEY))
 
 
+@query("v4_stratified_folds", sql(
+    "SELECT fold, reod, n FROM (SELECT fold, reod, CAST((n + 4 - fold) // 5 AS BIGINT) AS n FROM "
+    "(SELECT CAST(reod AS BIGINT) AS reod, count(*) AS n FROM lab GROUP BY ALL), (SELECT unnest(range(5)) AS fold)) WHERE n > 0"))
+def v4_stratified(spark, sf_dir):
+    folded = with_stratified_folds(stored_panel(spark, sf_dir), 5, TARGET)
+    return folded.groupBy("fold", TARGET).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("v4_fold_balance", sql(f"SELECT {whole(f'floor({HASH} * 5)', 'fold')}, {whole('reod', 'reod')}, count(*) AS n FROM lab GROUP BY ALL"))
 def v4_folds(spark, sf_dir):
     from panelspark.operators.evaluate import with_folds
