@@ -14,6 +14,7 @@ from panelspark.operators import evaluate as E
 from panelspark.operators import explain as X
 from panelspark.operators import models as M
 from panelspark.operators.balls import dbscan_vectors
+from panelspark.operators.chained import impute_chained
 from panelspark.operators.density import dbscan
 from panelspark.operators.features import add_features, fill_rows
 from panelspark.operators.iterative import impute_iterative
@@ -73,6 +74,18 @@ def i9(spark, sf_dir):
     return packed(impute_iterative(stored_kept(spark, sf_dir)))
 
 
+@query("i9_chained_imputation", sql(
+    f"SELECT {wholes('ID', 'pos')}, {num('value', 'present')}, value IS NULL AS gap, count(value) OVER (PARTITION BY pos) > 0 AS filled "
+    'FROM (SELECT "ID", unnest(range(53)) AS pos, unnest(r) AS value FROM kept)'))
+def i9_chained(spark, sf_dir):
+    """Cell by cell: what was present and stays, what was a gap and is filled."""
+    df = stored_kept(spark, sf_dir)
+    after = packed(impute_chained(df)).withColumnRenamed("value", "after")
+    both = packed(df).join(after, [KEY, "pos"])
+    kept = F.when(F.col("value").isNotNull(), F.col("after"))
+    return both.select(KEY, "pos", kept.alias("present"), F.col("value").isNull().alias("gap"), F.col("after").isNotNull().alias("filled"))
+
+
 # --- clustering ---------------------------------------------------------------------------------
 
 
