@@ -69,10 +69,16 @@ def _pairwise(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str = TARGET, fill: float | None = None) -> DataFrame:
-    """(column, corr) of each column with the target, missing values skipped pair by pair."""
+    """(column, corr) of each column with the target, missing values skipped pair by pair; NULL where one of them is constant."""
     columns = list(columns)
     rest = "CAST(NULL AS DOUBLE)" if fill is None else literal(float(fill))
-    pairs = [f"corr(coalesce(double({quoted(c)}), {rest}), double({quoted(target)}))" for c in columns]
+
+    def pair(c: str) -> str:
+        x, y = f"coalesce(double({quoted(c)}), {rest})", f"double({quoted(target)})"
+        spread = " * ".join(f"var_pop(if({b} IS NULL, NULL, {a}))" for a, b in ((x, y), (y, x)))
+        return f"try_divide(covar_pop({x}, {y}), sqrt({spread}))"
+
+    pairs = [pair(c) for c in columns]
     each = df.selectExpr(f"posexplode(array({', '.join(pairs)})) AS (pos, corr)")
     return each.select(at_position(columns).alias("column"), nan_to_null(F.col("corr")).alias("corr"))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Mapping, Sequence
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,32 +49,41 @@ def build_datasets(
         registry.write(key, IMPUTERS[key](train), IMPUTERS[key](test))
 
 
-def precompute_features(spark: SparkSession, registry: Registry, strategies: Sequence[str] = tuple(STRATEGIES)) -> list[str]:
-    """Write ``<key>_with_features`` for every strategy that can be read; returns the new keys."""
+def precompute_features(
+    spark: SparkSession, registry: Registry, strategies: Sequence[str] = tuple(STRATEGIES), failed: dict[str, str] | None = None
+) -> list[str]:
+    """Write ``<key>_with_features`` for every strategy that can be read; returns the new keys. ``failed`` gets the others with
+    their errors."""
     done = []
     for key in strategies:
         try:
             train, test = registry.read(spark, key)
             registry.write(key + FEATURE_SUFFIX, add_features(train), add_features(test))
             done.append(key + FEATURE_SUFFIX)
-        except Exception as error:  # one missing dataset must not stop the others
+        except (PySparkException, Py4JError, ValueError) as error:  # one missing dataset must not stop the others
             log.warning("no features for dataset %s: %s", key, error)
+            if failed is not None:
+                failed[key] = str(error)
     return done
 
 
 def load_datasets(
-    spark: SparkSession, registry: Registry, strategies: Sequence[str] = tuple(STRATEGIES)
+    spark: SparkSession, registry: Registry, strategies: Sequence[str] = tuple(STRATEGIES), failed: dict[str, str] | None = None
 ) -> dict[str, dict]:
-    """{key: {train, test, description}} of the datasets that can be read."""
+    """{key: {train, test, description}} of the datasets that can be read. ``failed`` gets the others with their errors."""
     loaded = {}
     for key in strategies:
         if key not in registry:
+            if failed is not None:
+                failed[key] = "not registered"
             continue
         try:
             train, test = registry.read(spark, key)
             loaded[key] = {"train": train, "test": test, "description": registry[key].description}
-        except Exception as error:
+        except (PySparkException, Py4JError) as error:
             log.warning("dataset %s was not loaded: %s", key, error)
+            if failed is not None:
+                failed[key] = str(error)
     return loaded
 
 

@@ -13,6 +13,7 @@ from panelspark.operators.evaluate import class_report, confusion_counts, labell
 from panelspark.operators.explain import builtin_importance
 from panelspark.operators.features import add_features, add_signature, normalise_rows
 from panelspark.operators.models import Entry, all_models, assemble, signature_model
+from panelspark.operators.pool import side_by_side
 from panelspark.operators.results import TRACKER
 from panelspark.operators.scale import fit_scaler
 from panelspark.schema import KEY, TARGET, columns_except
@@ -117,6 +118,10 @@ def _experiment_row(train, test, entry, add_feat, feature_sets, normalize_by_row
     return Row(**{name: values[name] for name in TRACKER.fieldNames()})
 
 
+# (features added, rows normalised): as it is, with features, with features and rows normalised.
+SETTINGS = ((False, False), (True, False), (True, True))
+
+
 def sweep(
     spark: SparkSession,
     registry: Registry,
@@ -126,14 +131,18 @@ def sweep(
     scalers: Sequence[str | None] = ("standard",),
     normalize: Sequence[bool] = (False,),
     models: Mapping[str, Entry] | None = None,
+    settings: Sequence[tuple[bool, bool]] | None = None,
 ) -> DataFrame:
-    """All combinations as result rows. Every run gets a fresh scaler and model."""
-    rows = []
-    for key, model, feat, scaler, norm in product(dataset_keys, model_keys, add_feat, scalers, normalize):
-        rows += run_experiment(
-            spark, registry, key, model, feat, normalize_by_row=norm, scaler=scaler, models=models
-        ).collect()
-    return spark.createDataFrame(rows, TRACKER)
+    """All combinations as result rows; ``settings`` lists pairs of ``add_feat`` and ``normalize`` instead of all of them. Every run
+    gets a fresh scaler and model; runs go side by side."""
+    runs = [(key, model, feat, scaler, norm) for key, model, feat, scaler, norm in product(dataset_keys, model_keys, (False, True), scalers, (False, True))
+            if ((feat, norm) in settings if settings is not None else feat in add_feat and norm in normalize)]
+
+    def one(key, model, feat, scaler, norm):
+        return run_experiment(spark, registry, key, model, feat, normalize_by_row=norm, scaler=scaler, models=models).collect()
+
+    found = side_by_side(spark, [lambda r=r: one(*r) for r in runs])
+    return spark.createDataFrame([row for rows in found for row in rows], TRACKER)
 
 
 ABLATION = {

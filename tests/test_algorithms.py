@@ -231,3 +231,11 @@ def test_fourier_features_approximate_the_kernel(spark):
     z = np.stack([v.toArray() for v in rows["fourier"]])
     kernel = np.exp(-((x[:, None] - x[None]) ** 2).sum(-1) / 4)
     assert np.abs(z @ z.T - kernel).max() < 0.12
+
+
+def test_target_correlation_of_a_constant_column(spark):
+    from panelspark.operators.correlate import target_correlations
+
+    df = spark.createDataFrame([(1, 1.0, 5.0, 1.0), (0, 2.0, 5.0, None), (1, 3.0, 5.0, 1.0), (None, 4.0, 6.0, 2.0)], "reod int, a double, b double, c double")
+    got = {r["column"]: r["corr"] for r in target_correlations(df, ["a", "b", "c"]).collect()}
+    assert got["a"] == pytest.approx(0.0) and got["b"] is None and got["c"] is None

@@ -8,22 +8,23 @@ from panelspark.operators import segments as G
 from panelspark.plans import datasets as D
 from panelspark.schema import TARGET, panel_schema
 from panelspark.sources.derived import split_by_key
-from panelspark.sources.registry import Registry
+from panelspark.sources.registry import STRATEGIES, Registry
 from panelspark.sources.scratch import scratch_path
 from panelspark.sources.tables import read_csv, write_csv
-from workload.base import cells, mixed_fill, num, nums, packed, query, sql, stored_kept, stored_panel, whole, wholes
+from workload.base import RETURNS, cells, mixed_fill, num, nums, packed, query, sql, stored_kept, stored_panel, whole, wholes
 from workload.rows import BASIC, BASIC_COUNTS, BASIC_FLOATS, TECHNICAL, TECHNICAL_NAMES
 
 _registries: dict[tuple[str, str], Registry] = {}
-FILL_KEYS = ["raw", "ffbf", "bfff", "interp"]
+FILLS = (("raw", "raw"), ("ffbf", "ffill_then_bfill"), ("bfff", "bfill_then_ffill"), ("interp", "linear"))
+KEYS = list(STRATEGIES)
 
 
 def registry(spark, sf_dir) -> Registry:
-    """Filtered train and test tables under four strategies, written once per session."""
+    """Filtered train and test tables under all strategies, written once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _registries:
         made = Registry(scratch_path(spark, "registry"))
-        D.build_datasets(made, *split_by_key(stored_kept(spark, sf_dir)), FILL_KEYS)
+        D.build_datasets(made, *split_by_key(stored_kept(spark, sf_dir)), KEYS)
         _registries[key] = made
     return _registries[key]
 
@@ -48,56 +49,92 @@ def s2(spark, sf_dir):
 SIDES = """CASE WHEN "ID" % 5 <> 0 THEN 'train' ELSE 'test' END AS side"""
 
 
+# An imputer of columns leaves a gap only in a column without any value on that side.
+MODELLED = f"""SELECT strategy, side, sum(missing) AS gaps FROM (SELECT "ID", {SIDES}, pos,
+  CASE WHEN count(value) OVER (PARTITION BY "ID" % 5 <> 0, pos) = 0 THEN 1 ELSE 0 END AS missing
+  FROM (SELECT "ID", unnest(range(53)) AS pos, unnest(r) AS value FROM kept)), (SELECT unnest(['mice', 'knn']) AS strategy) GROUP BY strategy, side, "ID" """
+
+
 @query(
     "s3_s5_dataset_sizes",
     sql("SELECT strategy, side, count(*) AS n_rows, 57::BIGINT AS n_columns, " + whole("sum(gaps)", "n_nulls") + " FROM ("
-        + " UNION ALL ".join(
-            f"SELECT '{k}' AS strategy, {SIDES}, count(*) - count(value) AS gaps FROM ({mixed_fill(m)}) GROUP BY \"ID\""
-            for k, m in (("raw", "raw"), ("ffbf", "ffill_then_bfill"), ("bfff", "bfill_then_ffill"), ("interp", "linear"))
-        ) + ") GROUP BY strategy, side"),
+        + " UNION ALL ".join([*(f"SELECT '{k}' AS strategy, {SIDES}, count(*) - count(value) AS gaps FROM ({mixed_fill(m)}) GROUP BY \"ID\"" for k, m in FILLS), MODELLED])
+        + ") GROUP BY strategy, side"),
 )
 def s5(spark, sf_dir):
-    return D.profile_datasets(D.load_datasets(spark, registry(spark, sf_dir), FILL_KEYS))[0]
+    return D.profile_datasets(loaded(spark, sf_dir))[0]
+
+
+def loaded(spark, sf_dir) -> dict:
+    failed: dict[str, str] = {}
+    found = D.load_datasets(spark, registry(spark, sf_dir), KEYS, failed)
+    if failed:
+        raise RuntimeError(f"datasets not loaded: {failed}")
+    return found
 
 
 @query(
     "s5_dataset_classes",
     sql("SELECT strategy, " + whole("reod", "class") + ", count(*) AS n, " + num("count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY strategy)", "percent")
-        + " FROM kept, (SELECT unnest(['raw', 'ffbf', 'bfff', 'interp']) AS strategy) WHERE \"ID\" % 5 <> 0 GROUP BY strategy, reod"),
+        + f" FROM kept, (SELECT unnest({KEYS!r}) AS strategy) WHERE \"ID\" % 5 <> 0 GROUP BY strategy, reod"),
 )
 def s5_classes(spark, sf_dir):
-    return D.profile_datasets(D.load_datasets(spark, registry(spark, sf_dir), FILL_KEYS))[1]
+    return D.profile_datasets(loaded(spark, sf_dir))[1]
 
 
-KEPT_LONG = '(SELECT "ID", day, equity, reod, unnest(range(53)) AS pos, unnest(r) AS value FROM kept WHERE "ID" % 5 <> 0)'
-NORMED = f"""SELECT "ID", day, equity, reod, pos, coalesce((value - avg(value) OVER w) / (stddev_samp(value) OVER w + 1e-8), 0) AS value
+KEPT_LONG = f'(SELECT "ID", {SIDES}, day, equity, reod, unnest(range(53)) AS pos, unnest(r) AS value FROM kept)'
+NORMED = f"""SELECT "ID", side, day, equity, reod, pos, coalesce((value - avg(value) OVER w) / (stddev_samp(value) OVER w + 1e-8), 0) AS value
   FROM {KEPT_LONG} WINDOW w AS (PARTITION BY "ID")"""
 
 
-@query("s6_load_for_analysis", sql(f"SELECT {wholes('ID', 'day', 'equity', 'reod', 'pos')}, {nums('value')} FROM ({NORMED})"))
+def both_sides(pair):
+    train, test = pair
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+
+
+@query("s6_load_for_analysis", sql(f"SELECT side, {wholes('ID', 'day', 'equity', 'reod', 'pos')}, {nums('value')} FROM ({NORMED})"))
 def s6(spark, sf_dir):
-    train, _ = D.load_for_analysis(spark, registry(spark, sf_dir), "raw", normalise=True)
-    return packed(train, ("day", "equity", TARGET))
+    return packed(both_sides(D.load_for_analysis(spark, registry(spark, sf_dir), "raw", normalise=True)), ("side", "day", "equity", TARGET))
 
 
-@query("s7_load_without_identifiers", sql(f"SELECT {wholes('ID', 'reod', 'pos')}, {num('coalesce(value, 0)', 'value')} FROM {KEPT_LONG}"))
+@query("s7_load_without_identifiers", sql(f"SELECT side, {wholes('ID', 'reod', 'pos')}, {num('coalesce(value, 0)', 'value')} FROM {KEPT_LONG}"))
 def s7(spark, sf_dir):
-    train, _ = D.load_for_analysis(spark, registry(spark, sf_dir), "raw", with_identifiers=False)
-    assert "day" not in train.columns and "equity" not in train.columns
-    return packed(train, (TARGET,))
+    pair = D.load_for_analysis(spark, registry(spark, sf_dir), "raw", with_identifiers=False)
+    assert not {"day", "equity"} & {c for df in pair for c in df.columns}
+    return packed(both_sides(pair), ("side", TARGET))
+
+
+FEATURES_OF = f'{wholes("ID")}, {nums(*BASIC_FLOATS, *TECHNICAL_NAMES)}, {wholes(*BASIC_COUNTS)}'
+
+
+def with_features(spark, sf_dir, keys):
+    known, failed = registry(spark, sf_dir), {}
+    done = D.precompute_features(spark, known, keys, failed)
+    if failed:
+        raise RuntimeError(f"no features for {failed}")
+    return {key: both_sides(known.read(spark, name)) for key, name in zip(keys, done)}
+
+
+def stacked(tables: dict):
+    out = None
+    for key, df in tables.items():
+        part = df.withColumn("strategy", F.lit(key)).drop("day", "equity", TARGET, *RETURNS)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query(
     "s4_s8_precomputed_features",
-    sql(f'SELECT {wholes("ID")}, {nums(*BASIC_FLOATS, *TECHNICAL_NAMES)}, {wholes(*BASIC_COUNTS)} FROM (SELECT "ID", {BASIC}, {TECHNICAL} FROM ({mixed_fill("linear")}) WHERE "ID" % 5 <> 0 GROUP BY "ID")'),
+    sql(" UNION ALL ".join(f'SELECT \'{k}\' AS strategy, {SIDES}, {FEATURES_OF} FROM (SELECT "ID", {BASIC}, {TECHNICAL} FROM ({mixed_fill(m)}) GROUP BY "ID")' for k, m in FILLS)),
 )
 def s8(spark, sf_dir):
-    from workload.base import RETURNS
+    return stacked(with_features(spark, sf_dir, [k for k, _ in FILLS]))
+
 
-    known = registry(spark, sf_dir)
-    (key,) = D.precompute_features(spark, known, ["interp"])
-    train, _ = known.read(spark, key)
-    return train.drop("day", "equity", TARGET, *RETURNS)
+@query("s8_features_of_imputed")
+def s8_imputed(spark, sf_dir):
+    """The two strategies whose values come from a model."""
+    return stacked(with_features(spark, sf_dir, ["mice", "knn"]))
 
 
 # --- segments -----------------------------------------------------------------------------------

@@ -25,7 +25,7 @@ from panelspark.plans import selection as S
 from panelspark.schema import KEY, TARGET
 from panelspark.sources.derived import split_by_key
 from workload.base import RETURNS, mixed_fill, num, packed, query, sql, stored_kept, stored_panel, whole, wholes
-from workload.files import registry
+from workload.files import KEYS, registry
 
 CATALOGUE = M.all_models() | {
     "dense": M.Entry(lambda: M.dense_network(len(RETURNS)), "64-32 network"),
@@ -247,9 +247,15 @@ def v1(spark, sf_dir):
 
 @query("c5_v9_scaler_sweep")
 def c5(spark, sf_dir):
+    """All scalers on one dataset: as it is, with features, with features and rows normalised."""
     return measured(V.sweep(
-        spark, registry(spark, sf_dir), ["ffbf"], ["rf_baseline"], (False,), ("standard", "minmax", "robust", "quantile"), models=CATALOGUE
-    ))
+        spark, registry(spark, sf_dir), ["ffbf"], ["xgboost_baseline"], scalers=("standard", "minmax", "robust", "quantile"), models=CATALOGUE, settings=V.SETTINGS))
+
+
+@query("c5_strategy_sweep")
+def c5_strategies(spark, sf_dir):
+    """All datasets in all settings."""
+    return measured(V.sweep(spark, registry(spark, sf_dir), KEYS, ["xgboost_baseline"], models=CATALOGUE, settings=V.SETTINGS))
 
 
 @query("e8_feature_sets")

@@ -10,15 +10,17 @@ from panelspark.operators import correlate as C
 from panelspark.operators import profile as P
 from panelspark.operators import rank as R
 from panelspark.operators.evaluate import with_stratified_folds
-from panelspark.operators.features import fill_rows, normalise_rows
+from panelspark.operators.features import add_features, fill_rows, normalise_rows
 from panelspark.operators.results import importance_share
 from panelspark.operators.sampling import split_rows
 from panelspark.operators.scale import fit_scaler
 from panelspark.plans import findings as G
 from panelspark.schema import KEY, TARGET
 from panelspark.sources.derived import panel, split_by_key
+from panelspark.sources.scratch import stored
 from panelspark.sources.tables import sorted_output
 from workload.base import RETURNS, mixed_fill, num, nums, packed, query, sql, stored_kept, stored_panel, whole, wholes
+from workload.rows import BASIC, BASIC_COUNTS, BASIC_FLOATS, TECHNICAL, TECHNICAL_NAMES
 
 CHOSEN = ["r0", "r10", "r25", "r40", "r52"]
 LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -262,28 +264,56 @@ def a14(spark, sf_dir):
 
 # --- feature groups and normalisations ----------------------------------------------------------
 
-COLSTAT = "cs AS (SELECT pos, avg(value) AS m, stddev_samp(value) AS s, count(*) - count(value) AS missing FROM grid GROUP BY pos)"
-
-
 def spread_sql(c: str, name: str) -> str:
     return ", ".join(num(f"{f}({c})", f"{name}_{k}") for k, f in
                      (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("median", "median"), ("max", "max")))
 
 
+# Long cells of the filled panel and its features, by group of columns.
+FEATURE_NAMES = (*BASIC_FLOATS, *BASIC_COUNTS, *TECHNICAL_NAMES)
+GROUPED = f"""{FILLED}, feats AS (SELECT "ID", {BASIC}, {TECHNICAL} FROM filled GROUP BY "ID"),
+ wide AS (SELECT "ID", {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURE_NAMES)} FROM feats),
+ cells AS (SELECT 'returns' AS "group", 'r' || pos AS "column", "ID", reod, CAST(value AS DOUBLE) AS value FROM filled
+   UNION ALL SELECT CASE WHEN name LIKE '%roll%' THEN 'rolling' WHEN name LIKE '%momentum%' THEN 'momentum' ELSE 'basic_stats' END, name, "ID", reod, value
+   FROM (FROM wide UNPIVOT INCLUDE NULLS (value FOR name IN ({", ".join(FEATURE_NAMES)}))) JOIN lab USING ("ID"))"""
+COLSTAT = """cs AS (SELECT "group", "column", avg(value) AS m, stddev_samp(value) AS s, count(*) - count(value) AS missing, corr(value, reod) AS c FROM cells GROUP BY ALL)"""
+
+
+def grouped(spark, sf_dir) -> DataFrame:
+    return stored(add_features(fill_rows(stored_kept(spark, sf_dir), "ffill_then_bfill")), "grouped")
+
+
 @query(
     "a18_group_profile",
-    sql(f"SELECT 'returns' AS \"group\", count(*) AS n_features, {whole('sum(missing)', 'missing')}, {spread_sql('m', 'mean')}, {spread_sql('s', 'std')} FROM cs", COLSTAT),
+    sql(f"""SELECT "group", count(*) AS n_features, {whole('sum(missing)', 'missing')}, {spread_sql('m', 'mean')}, {spread_sql('s', 'std')} FROM cs GROUP BY "group\"""",
+        f"{GROUPED}, {COLSTAT}"),
 )
 def a18(spark, sf_dir):
-    return G.group_profile(stored_panel(spark, sf_dir))["stats"]
+    return G.group_profile(grouped(spark, sf_dir))["stats"]
+
+
+@query("a18_group_target", sql(f"""SELECT "group", {num('avg(abs(c)) FILTER (NOT isnan(c))', 'mean_abs_corr')} FROM cs GROUP BY "group\"""", f"{GROUPED}, {COLSTAT}"))
+def a18_target(spark, sf_dir):
+    return G.group_profile(grouped(spark, sf_dir))["target"]
 
 
 @query(
-    "a18_group_target",
-    sql(f"SELECT 'returns' AS \"group\", {num('avg(abs(c))', 'mean_abs_corr')} FROM tc", TARGET_CORR),
+    "a18_group_extremes",
+    sql(f"""SELECT "group", side, "column", {num('c', 'corr')} FROM (
+      SELECT *, 'top' AS side, row_number() OVER (PARTITION BY "group" ORDER BY c DESC, "column") AS k FROM cs WHERE c IS NOT NULL AND NOT isnan(c)
+      UNION ALL SELECT *, 'bottom', row_number() OVER (PARTITION BY "group" ORDER BY c, "column") FROM cs WHERE c IS NOT NULL AND NOT isnan(c)) WHERE k <= 3""",
+        f"{GROUPED}, {COLSTAT}"),
 )
-def a18_target(spark, sf_dir):
-    return G.group_profile(stored_panel(spark, sf_dir))["target"]
+def a18_extremes(spark, sf_dir):
+    return G.group_profile(grouped(spark, sf_dir))["target_extremes"]
+
+
+@query(
+    "a18_group_correlations",
+    sql(f"""SELECT a."group", a."column" AS var1, b."column" AS var2, {num('corr(a.value, b.value)', 'corr')} FROM cells a JOIN cells b USING ("group", "ID") GROUP BY ALL""", GROUPED),
+)
+def a18_inner(spark, sf_dir):
+    return G.group_profile(grouped(spark, sf_dir))["inner"]
 
 
 VERSIONS = f"""fz AS (SELECT "ID", pos, coalesce(value, 0) AS value FROM raw),
