@@ -124,7 +124,7 @@ def findings(
     importance: DataFrame | None,
     selected: Sequence[str] = (),
 ) -> DataFrame:
-    """(section, key, value) rows that sum up an analysis."""
+    """(section, key, value) rows that sum up an analysis, numbers with four digits behind the point."""
     def rows(df: DataFrame, section: str, key, value) -> DataFrame:
         return df.select(F.lit(section).alias("section"), key.cast("string").alias("key"), value.cast("string").alias("value"))
 
@@ -138,13 +138,13 @@ def findings(
     if strong is not None:
         parts.append(rows(strong.agg(F.count(F.lit(1)).alias("n")), "strong pairs", F.lit("count"), F.col("n")))
         top = strong.orderBy(F.abs("corr").desc(), "var1", "var2").limit(3)
-        parts.append(rows(top, "strong pairs", F.concat_ws(" / ", "var1", "var2"), F.round("corr", 4)))
+        parts.append(rows(top, "strong pairs", F.concat_ws(" / ", "var1", "var2"), F.format_string("%.4f", "corr")))
     if target is not None:
-        parts.append(rows(extremes(target, "corr", 3), "target", F.concat_ws(" ", "side", "column"), F.round("corr", 4)))
+        parts.append(rows(extremes(target, "corr", 3), "target", F.concat_ws(" ", "side", "column"), F.format_string("%.4f", "corr")))
     if importance is not None:
         top = importance.orderBy(F.col("importance").desc(), "feature").limit(5)
-        parts.append(rows(top, "importance", F.col("feature"), F.round("importance", 4)))
-        parts.append(rows(importance_share(importance), "importance", F.lit("top 10 share"), F.round("importance", 4)))
+        parts.append(rows(top, "importance", F.col("feature"), F.format_string("%.4f", "importance")))
+        parts.append(rows(importance_share(importance), "importance", F.lit("top 10 share"), F.format_string("%.4f", "importance")))
     if selected:
         counts = [
             ("selected", str(len(selected))),

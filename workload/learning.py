@@ -10,9 +10,12 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.operators import correlate as C
 from panelspark.operators import evaluate as E
 from panelspark.operators import explain as X
 from panelspark.operators import models as M
+from panelspark.operators import rank as R
+from panelspark.operators.attribution import by_feature, tree_attributions
 from panelspark.operators.balls import dbscan_vectors
 from panelspark.operators.chained import impute_chained
 from panelspark.operators.density import dbscan
@@ -20,7 +23,9 @@ from panelspark.operators.features import add_features, fill_rows
 from panelspark.operators.iterative import impute_iterative
 from panelspark.operators.neighbours import impute_neighbours
 from panelspark.operators.reduce import components_needed, fit_components
+from panelspark.operators.results import importance_share
 from panelspark.plans import experiments as V
+from panelspark.plans import findings as G
 from panelspark.plans import selection as S
 from panelspark.schema import KEY, TARGET
 from panelspark.sources.derived import split_by_key
@@ -209,6 +214,28 @@ def r2(spark, sf_dir):
     return scores.select(KEY, TARGET, F.get("components", F.lit(0)).alias("pc1"), F.get("components", F.lit(1)).alias("pc2"))
 
 
+@query("r1_correlations_rebuilt", sql(
+    f"SELECT 'r' || a.pos AS var1, 'r' || b.pos AS var2, {num('corr(a.value, b.value)', 'corr')} FROM zero a JOIN zero b USING (\"ID\") GROUP BY a.pos, b.pos",
+    'zero AS (SELECT "ID", pos, coalesce(value, 0) AS value FROM grid)'))
+def r1_rebuilt(spark, sf_dir):
+    """All components together give back the correlations of the zero-filled columns."""
+    found = fit_components(stored_panel(spark, sf_dir), RETURNS)
+    weights, shares = found.model.pc.toArray(), found.model.explainedVariance.toArray()
+    rebuilt = len(RETURNS) * (weights * shares) @ weights.T
+    rows = [(a, b, float(rebuilt[i, j])) for i, a in enumerate(RETURNS) for j, b in enumerate(RETURNS)]
+    return spark.createDataFrame(rows, "var1 string, var2 string, corr double")
+
+
+@query("r2_row_norms", sql(
+    f"SELECT {wholes('ID')}, {num('sum(((value - m) / s) ** 2)', 'norm')} FROM zero JOIN col USING (pos) GROUP BY \"ID\"",
+    'zero AS (SELECT "ID", pos, coalesce(value, 0) AS value FROM grid), col AS (SELECT pos, avg(value) AS m, stddev_pop(value) AS s FROM zero GROUP BY pos)'))
+def r2_norms(spark, sf_dir):
+    """Scores on all components are a rotation: they keep the length of the standardised row."""
+    df = stored_panel(spark, sf_dir)
+    scores = fit_components(df, RETURNS).transform(df)
+    return scores.select(KEY, F.aggregate("components", F.lit(0.0), lambda total, x: total + x * x).alias("norm"))
+
+
 # --- models -------------------------------------------------------------------------------------
 
 
@@ -303,6 +330,27 @@ def v11(spark, sf_dir):
     return S.final_models(train, test, ranking, CATALOGUE["rf_baseline"])
 
 
+@query("e9_findings_of_models")
+def e9_models(spark, sf_dir):
+    """The findings table over fitted components, boosted trees and the selected features."""
+    train, _ = sides(spark, sf_dir)
+    featured = add_features(train)
+    found = fit_components(train, RETURNS)
+    importance, _ = V.feature_importance(featured, CATALOGUE["xgboost_baseline"], 1000)
+    strong = C.strong_pairs(C.correlation_matrix(train, RETURNS, fill=0.0), RETURNS, 0.1)
+    selected = [r["feature"] for r in R.best_features(importance).collect()]
+    return G.findings(found.variance(), found.loadings(), strong, C.target_correlations(featured, RETURNS), importance, selected)
+
+
+@query("e6_a24_boosted_importances")
+def e6_boosted(spark, sf_dir):
+    """Importances of boosted trees: those above the threshold, and the share of the first ten."""
+    train, _ = sides(spark, sf_dir)
+    importance, _ = V.feature_importance(add_features(train), CATALOGUE["xgboost_baseline"], 1000)
+    share = importance_share(importance).select(F.lit("top 10 share").alias("feature"), "importance")
+    return R.best_features(importance).select("feature", "importance").unionByName(share)
+
+
 # --- attribution --------------------------------------------------------------------------------
 
 
@@ -335,6 +383,27 @@ def x4(spark, sf_dir):
     return X.attribution_ranking(X.shapley_attributions(model, test, RETURNS))
 
 
+def boosted(spark, sf_dir):
+    train, test = assembled(spark, sf_dir)
+    return CATALOGUE["xgboost_tuned"].make().fit(train), test
+
+
+@query("x4_tree_attributions")
+def x4_trees(spark, sf_dir):
+    """Exact attributions of the tuned boosted trees, ranked."""
+    model, test = boosted(spark, sf_dir)
+    return X.attribution_ranking(by_feature(tree_attributions(model, test, RETURNS), test, RETURNS))
+
+
+@query("x5_attribution_dependence")
+def x5(spark, sf_dir):
+    """The strongest feature's attributions by its value, coloured by the second."""
+    model, test = boosted(spark, sf_dir)
+    long = by_feature(tree_attributions(model, test, RETURNS), test, RETURNS)
+    first, second = (r["feature"] for r in X.attribution_ranking(long).take(2))
+    return X.attribution_dependence(long, first, second)
+
+
 @query("x6_local_surrogate")
 def x6(spark, sf_dir):
     """Every test row gets its own surrogate."""

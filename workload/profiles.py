@@ -528,13 +528,15 @@ def w4(spark, sf_dir):
 @query(
     "e9_findings",
     sql(f"""SELECT 'strong pairs' AS section, 'count' AS key, CAST(count(*) AS VARCHAR) AS value FROM matrix WHERE i < j AND abs(c) > 0.1
-      UNION ALL SELECT 'target', side || ' r' || pos, NULL FROM {EXTREMES.format(t='tc', n=3)}
-      UNION ALL SELECT 'importance', 'r' || pos, NULL FROM (SELECT pos FROM imp ORDER BY importance DESC LIMIT 5)
+      UNION ALL SELECT * FROM (SELECT 'strong pairs', 'r' || i || ' / r' || j, printf('%.4f', c) FROM matrix WHERE i < j AND abs(c) > 0.1 ORDER BY abs(c) DESC LIMIT 3)
+      UNION ALL SELECT 'target', side || ' r' || pos, printf('%.4f', c) FROM {EXTREMES.format(t='tc', n=3)}
+      UNION ALL SELECT * FROM (SELECT 'importance', 'r' || pos, printf('%.4f', importance) FROM imp ORDER BY importance DESC LIMIT 5)
+      UNION ALL SELECT 'importance', 'top 10 share', printf('%.4f', sum(importance)) FROM (SELECT importance FROM imp ORDER BY importance DESC LIMIT 10)
       UNION ALL SELECT 'components', CAST(t AS VARCHAR), CAST(min(component) FILTER (cumulative >= t) AS VARCHAR) FROM curve, (SELECT unnest([0.7::DOUBLE, 0.8, 0.9, 0.95]) AS t) GROUP BY t""",
         f"{ZERO}, {MATRIX}, {TARGET_CORR}, {IMPORTANCE}, {CURVE}"),
 )
 def e9(spark, sf_dir):
-    """Numbers printed with four digits are left to the tests; here: the counts and names."""
+    """The table with a curve of mean squares and F shares, which SQL can give; ``e9_findings_of_models`` has fitted ones."""
     from pyspark.sql import Window as W
 
     from panelspark.operators.reduce import running_total
@@ -543,13 +545,10 @@ def e9(spark, sf_dir):
     share = P.long_values(df, RETURNS).groupBy("pos").agg(F.avg(F.col("value") * F.col("value")).alias("m"))
     curve = share.select((F.col("pos") + 1).alias("component"), (F.col("m") / F.sum("m").over(W.partitionBy())).alias("ratio"))
     strong = C.strong_pairs(C.correlation_matrix(df, RETURNS, fill=0.0), RETURNS, 0.1)
-    table = G.findings(
+    return G.findings(
         curve.withColumn("cumulative", running_total("ratio", "component")), None, strong,
         C.target_correlations(df, RETURNS), score_shares(spark, sf_dir),
     )
-    printed = F.col("section").isin("target", "importance")
-    table = table.where(~F.col("key").contains("/") & (F.col("key") != "top 10 share"))
-    return table.withColumn("value", F.when(~printed, F.col("value")))
 
 
 # --- order and splits ---------------------------------------------------------------------------
