@@ -11,10 +11,8 @@ import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, Transformer
 from pyspark.ml.classification import (
-    LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
-    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -26,6 +24,7 @@ from pyspark.sql import functions as F
 
 from panelspark.operators.balls import dbscan_vectors
 from panelspark.operators.boosting import BoostedTrees, Growth
+from panelspark.operators.kernel import KernelMachine
 from panelspark.operators.ward import WardClustering
 from panelspark.schema import CLASSES, KEY, TARGET, quoted
 
@@ -148,11 +147,8 @@ def multinomial_logistic(max_iter: int = 1000, strength: float = 1.0) -> Multino
     return MultinomialLogistic(max_iter, strength)
 
 
-def kernel_svm(size: int = 128) -> Pipeline:
-    margin = OneVsRest(
-        classifier=LinearSVC(maxIter=50, regParam=0.01), featuresCol="fourier", labelCol=LABEL, parallelism=len(CLASSES)
-    )
-    return Pipeline(stages=[FourierFeatures(size=size), margin])
+def kernel_svm(landmarks: int = 256) -> KernelMachine:
+    return KernelMachine(len(CLASSES), landmarks=landmarks, featuresCol=FEATURES, labelCol=LABEL, predictionCol=PREDICTION)
 
 
 def dense_network(n_features: int, hidden: tuple[int, ...] = (64, 32), epochs: int = 50) -> MultilayerPerceptronClassifier:
@@ -194,7 +190,7 @@ def advanced_models() -> dict[str, Entry]:
     return {
         "random_forest": Entry(lambda: random_forest(100, 30), "random forest, as deep as allowed"),
         "gradient_boosting": Entry(lambda: boosted_trees(100, 3, 0.1, min_child=0.0, ridge=0.0), "gradient boosting"),
-        "svm": Entry(lambda: kernel_svm(), "support vector machine with RBF features"),
+        "svm": Entry(lambda: kernel_svm(), "support vector machine with RBF kernel and probabilities"),
         "xgboost_tuned": Entry(lambda: boosted_trees(200, 5, 0.1), "boosted trees, tuned"),
     }
 
