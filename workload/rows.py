@@ -119,7 +119,7 @@ def p9(spark, sf_dir):
     def long(df, side):
         return df.select(F.lit(side).alias("side"), F.explode(F.array(*[
             F.struct(F.lit(int(c[1:])).alias("pos"), F.col(c).alias("v")) for c in kept_columns
-        ])).alias("e")) if kept_columns else df.select(F.lit(side).alias("side"), F.lit(None).alias("e")).where("false")
+        ])).alias("e")) if kept_columns else df.select(F.lit(side).alias("side"), F.lit(None).cast("struct<pos:int,v:double>").alias("e")).where("false")
 
     both = long(train, "train").unionByName(long(test, "test"))
     return both.groupBy("side", F.col("e.pos").alias("pos")).agg(F.count(F.lit(1)).alias("n"), F.sum("e.v").alias("total"))
