@@ -39,9 +39,13 @@ def _columns(batch: pa.RecordBatch, names: Sequence[str]) -> Rows:
             for c in names}
 
 
-def meet(held: DataFrame, visitors: DataFrame, keys: Sequence[str], answer: Answer, schema: str) -> DataFrame:
+def meet(
+    held: DataFrame, visitors: DataFrame, keys: Sequence[str], answer: Answer, schema: str,
+    finish: Callable[[Rows], Iterator[pa.RecordBatch]] | None = None,
+) -> DataFrame:
     """What ``answer(block, visitors)`` yields for the rows of each key: the rows of ``held``, which must be few enough for a task,
     against the rows of ``visitors``, at most VISITORS at a time. Both have the same columns. Keys without held rows are skipped.
+    What ``finish(block)`` yields follows the last visitors of a key; ``answer`` may keep something in the block for it.
     """
     names = [c for c in held.columns if c not in keys]
     kind = "__kind"
@@ -58,6 +62,8 @@ def meet(held: DataFrame, visitors: DataFrame, keys: Sequence[str], answer: Answ
                 while end < len(marks) and end < limit and marks[end] == marks[begun]:
                     end += 1
                 if marks[begun][:-1] != now:
+                    if finish and block is not None:
+                        yield from finish(block)
                     now, parts, block = marks[begun][:-1], [], None
                 rows = batch.slice(begun, end - begun)
                 if marks[begun][-1] == 0:
@@ -68,5 +74,7 @@ def meet(held: DataFrame, visitors: DataFrame, keys: Sequence[str], answer: Answ
                                  else [x for p in parts for x in p[c]] for c in names}
                     yield from answer(block, _columns(rows, names))
                 begun = end
+        if finish and block is not None:
+            yield from finish(block)
 
     return dealt.mapInArrow(run, schema)

@@ -4,28 +4,35 @@ The distance between two rows is the Euclidean one over the columns both have, s
 the share of columns compared. A gap is filled with the mean of the ``k`` nearest rows that
 have that column; if no row is comparable, with the column mean.
 
-The rows of a key are cut into blocks of about ``block_rows`` by key hash and each unordered
-pair of blocks becomes one task, so a key that holds a third of the table is spread over many
-tasks and no task ever sees more than two blocks. A task compares its two blocks with matrix
-products and hands on at most ``k`` candidates per gap; pairs of rows are never written out.
+The rows of a key are cut into blocks by key hash, of about ``block_rows`` rows until there are BLOCKS of them, then larger ones up to
+MOST_ROWS. A task holds a block and all rows of the key stream past it as donors; it keeps the ``k`` best of each gap and
+hands on these alone, so pairs of rows are never written out and each row travels BLOCKS times, however many there are. Products in
+single precision, with a bound of their error, tell which pairs can matter; these are compared exactly.
 The work stays quadratic in the size of a key: that is what an exact answer costs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import and_
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelspark.functions import series as S
+from panelspark.operators.meet import Rows, matrix, meet, pack_vectors
 from panelspark.schema import KEY, literal_array, quoted, replace_columns, return_columns
 
+BLOCKS = 64
+MOST_ROWS = 32_768
+TOGETHER = 1024  # rows of a block that are compared at a time
+FIRST = 32  # donors compared before any gap has candidates
+ERROR = 4e-5  # bounds the error of a squared distance in single precision, as a share of both squared lengths
+
 _CANDIDATE = "id long, feature int, distance double, donor long, value double"
 
 
@@ -68,30 +75,18 @@ def impute_neighbours(
             F.when(F.get("__r", i).isNotNull(), F.lit(0.0)),
         ),
     )
-    rows = rows.withColumns(
-        {"__z": z, "__blocks": F.ceil(F.col("__n") / block_rows).cast("int")}
-    ).withColumn("__block", F.pmod(F.xxhash64(KEY), F.col("__blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)).alias("other")
-    pairs = rows.select(KEY, *by, F.col("__z").alias("z"), F.col("__block").alias("block"), other).select(
-        F.col(KEY).alias("id"),
-        *by,
-        "z",
-        F.least("block", "other").alias("lo"),
-        F.greatest("block", "other").alias("hi"),
-        "block",
-    )
-
-    def nearest(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = key[-2], key[-1]
-        ids, block = frame["id"].to_numpy(), frame["block"].to_numpy()
-        values = np.array(frame["z"].tolist(), dtype=float).reshape(len(frame), width)
-        left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-        found = [_candidates(ids, values, left, right, k)]
-        if lo != hi:
-            found.append(_candidates(ids, values, right, left, k))
-        return pd.concat(found, ignore_index=True)
-
-    candidates = pairs.groupBy(*by, "lo", "hi").applyInPandas(nearest, _CANDIDATE)
+    blocks = f"int(greatest(least(ceil(__n / {block_rows}), {BLOCKS}), ceil(__n / {MOST_ROWS})))"
+    rows = rows.withColumns({"__z": z, "__blocks": F.expr(blocks)})
+    named_by = [F.col(c).alias(f"__by{i}") for i, c in enumerate(by)]
+    packed_rows = pack_vectors(
+        rows.select(F.col(KEY).cast("long").alias("id"), *named_by, F.pmod(F.xxhash64(KEY), F.col("__blocks")).cast("int").alias("block"),
+                    F.col("__blocks").alias("blocks"), F.transform("__z", lambda v: F.coalesce(v, F.lit(float("nan")))).alias("z")), "z")
+    keys = [*(f"__by{i}" for i in range(len(by))), "block"]
+    # Rows without an id get no neighbours' mean; as donors they come after others at the same distance.
+    queries = packed_rows.where(F.col("id").isNotNull()).select(*keys, "id", "z")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    donors = packed_rows.select(*keys[:-1], every, F.coalesce("id", F.lit(np.iinfo(np.int64).max)).alias("id"), "z")
+    candidates = meet(queries, donors, keys, _compare(width, k), _CANDIDATE, _found(width))
     rank = F.row_number().over(W.partitionBy("id", "feature").orderBy("distance", "donor"))
     means = (
         candidates.withColumn("rank", rank)
@@ -115,41 +110,87 @@ def impute_neighbours(
     return replace_columns(joined, S.unpack("__filled", columns), ["__filled"])
 
 
-def _candidates(ids, values, query, donors, k) -> pd.DataFrame:
-    """Up to k nearest donors for every gap of the query rows."""
-    q, d = values[query], values[donors]
-    q_has, d_has = ~np.isnan(q), ~np.isnan(d)
-    q0, d0 = np.where(q_has, q, 0.0), np.where(d_has, d, 0.0)
-    shared = q_has.astype(float) @ d_has.T.astype(float)
-    squares = (q0**2) @ d_has.T.astype(float) + q_has.astype(float) @ (d0**2).T - 2.0 * q0 @ d0.T
-    with np.errstate(divide="ignore", invalid="ignore"):
-        distance = np.sqrt(np.maximum(squares, 0.0) * values.shape[1] / shared)
-    distance[shared == 0] = np.inf
-    donor_ids = ids[donors]
-    parts = []
-    for f in range(values.shape[1]):
-        need, have = np.flatnonzero(~q_has[:, f]), np.flatnonzero(d_has[:, f])
-        if not len(need) or not len(have):
-            continue
-        gap = distance[np.ix_(need, have)]
-        take = min(k, len(have))
-        # Ties at the k-th distance are settled by donor id, as in the final ranking.
-        order = np.lexsort((np.broadcast_to(donor_ids[have], gap.shape), np.round(gap, 12)), axis=1)[:, :take]
-        best = np.take_along_axis(gap, order, axis=1)
-        parts.append(
-            pd.DataFrame(
-                {
-                    "id": np.repeat(ids[query][need], take),
-                    "feature": np.int32(f),
-                    "distance": np.round(best, 12).ravel(),
-                    "donor": donor_ids[have][order].ravel(),
-                    "value": d[have, f][order].ravel(),
-                }
-            )
-        )
-    if not parts:
-        return pd.DataFrame({"id": [], "feature": [], "distance": [], "donor": [], "value": []}).astype(
-            {"id": "int64", "feature": "int32", "distance": float, "donor": "int64", "value": float}
-        )
-    out = pd.concat(parts, ignore_index=True)
-    return out[np.isfinite(out["distance"])]
+class _Queries:
+    """Rows with gaps and the up to k nearest donors of every gap so far."""
+
+    def __init__(self, ids: np.ndarray, values: np.ndarray, k: int):
+        some = np.isnan(values).any(axis=1)
+        self.ids, self.values, self.k = ids[some], values[some], k
+        self.has = ~np.isnan(self.values)
+        shape = (*self.values.shape, k)
+        self.distance, self.donor, self.value = np.full(shape, np.inf), np.zeros(shape, np.int64), np.zeros(shape)
+        # Distance of the last candidate of each gap: what a further one must not exceed.
+        self.limit = np.where(self.has, -np.inf, np.inf)
+        flat, bare = self.has.astype(np.float32), np.where(self.has, self.values, 0)
+        size = (bare**2).sum(axis=1, keepdims=True)
+        self.left = np.hstack([bare**2, flat, -2 * bare, -ERROR * size, np.ones((len(bare), 1))]).astype(np.float32)
+        self.flat = flat
+
+    def meet(self, ids: np.ndarray, values: np.ndarray) -> None:
+        has = ~np.isnan(values)
+        flat, bare = has.astype(np.float32), np.where(has, values, 0)
+        size = (bare**2).sum(axis=1, keepdims=True)
+        right = np.hstack([flat, bare**2, bare, np.ones((len(bare), 1)), -ERROR * size]).astype(np.float32).T
+        for at in range(0, len(self.ids), TOGETHER):
+            part = slice(at, at + TOGETHER)
+            furthest = self.limit[part].max(axis=1)
+            with np.errstate(invalid="ignore", over="ignore"):
+                # Squares times columns over columns shared are at most the limit's square; 0 shared columns give none.
+                limit = ((furthest * (1 + 1e-6) + 1e-6) ** 2 / values.shape[1]).astype(np.float32)[:, None]
+                i, j = np.nonzero(self.left[part] @ right <= limit * (self.flat[part] @ flat.T))
+            if len(i):
+                self._take(i + at, j, ids, values, has)
+
+    def _take(self, i: np.ndarray, j: np.ndarray, ids: np.ndarray, values: np.ndarray, has: np.ndarray) -> None:
+        both = self.has[i] & has[j]
+        shared = both.sum(axis=1)
+        off = np.where(both, self.values[i] - values[j], 0.0)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            distance = np.round(np.sqrt((off * off).sum(axis=1) * values.shape[1] / shared), 12)
+        # Donors at the limit count, as ties are settled by donor id.
+        pair, feature = np.nonzero((distance[:, None] <= self.limit[i]) & has[j] & np.isfinite(distance)[:, None])
+        if not len(pair):
+            return
+        width, k = values.shape[1], self.k
+        cell = i[pair] * width + feature
+        held = np.unique(cell)
+        row, column = held // width, held % width
+        cells = np.concatenate([np.repeat(held, k), cell])
+        distances = np.concatenate([self.distance[row, column].ravel(), distance[pair]])
+        donors = np.concatenate([self.donor[row, column].ravel(), ids[j[pair]]])
+        found = np.concatenate([self.value[row, column].ravel(), values[j[pair], feature]])
+        order = np.lexsort((donors, distances, cells))
+        cells = cells[order]
+        first = np.searchsorted(cells, held)
+        best = order[first[:, None] + np.arange(k)]
+        self.distance[row, column], self.donor[row, column], self.value[row, column] = distances[best], donors[best], found[best]
+        self.limit[row, column] = distances[best[:, -1]]
+
+
+def _compare(width: int, k: int):
+    def answer(block: Rows, visitors: Rows) -> Iterator[pa.RecordBatch]:
+        begun = "queries" in block
+        if not begun:
+            block["queries"] = _Queries(block["id"], matrix(block["z"], width), k)
+        ids, values = visitors["id"], matrix(visitors["z"], width)
+        step = len(ids) if begun else FIRST
+        for at in range(0, len(ids), step):
+            block["queries"].meet(ids[at:at + step], values[at:at + step])
+        yield from ()
+
+    return answer
+
+
+def _found(width: int):
+    def finish(block: Rows) -> Iterator[pa.RecordBatch]:
+        queries = block["queries"]
+        for at in range(0, len(queries.ids), TOGETHER):
+            part = slice(at, at + TOGETHER)
+            row, feature, place = np.nonzero(np.isfinite(queries.distance[part]))
+            at_cell = (row + at, feature, place)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(queries.ids[row + at]), pa.array(feature.astype(np.int32)), pa.array(queries.distance[at_cell]),
+                 pa.array(queries.donor[at_cell]), pa.array(queries.value[at_cell])],
+                names=["id", "feature", "distance", "donor", "value"])
+
+    return finish

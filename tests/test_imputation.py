@@ -139,3 +139,25 @@ def test_imputers_keep_rows_with_null_keys_and_repeated_ids(spark):
     df = spark.createDataFrame(rows, "ID long, equity int, r0 double, r1 double")
     for got in (impute_neighbours(df), impute_neighbours(df, by=["equity"]), impute_iterative(df)):
         assert sorted(r["ID"] for r in got.collect()) == [1, 1, 2, 3, 4, 5]
+
+
+def test_neighbours_hand_on_the_best_donors_alone(spark, monkeypatch):
+    """However many blocks there are, a gap leaves its task with k candidates, and rows travel once a block."""
+    from panelspark.operators import neighbours
+
+    seen = []
+    inner = neighbours.meet
+
+    def spy(held, visitors, *rest):
+        out = inner(held, visitors, *rest)
+        seen.append((held.count(), visitors.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(neighbours, "meet", spy)
+    monkeypatch.setattr(neighbours, "BLOCKS", 4)
+    frame = panel_frame(n=90, width=6, gaps=0.3, seed=13)
+    cols = returns(frame)
+    got = impute_neighbours(to_spark(spark, frame), block_rows=10)
+    np.testing.assert_allclose(collected(got, cols), brute_neighbours(frame[cols].to_numpy()), atol=1e-9)
+    (held, visitors, handed_on), = seen
+    assert (held, visitors) == (90, 4 * 90) and handed_on <= 5 * frame[cols].isna().to_numpy().sum()
