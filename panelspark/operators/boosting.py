@@ -2,9 +2,9 @@
 
 Columns are binned at quantiles (bin 0: missing). A round grows one tree a class, all of them together, level by level: each task
 adds up gradients and hessians of its rows by (tree, node, column, bin), the sums of a (tree, node) meet in one task, which
-finds its best split, and one row a node goes to the driver. Sums are whole numbers (gradients to 30 binary places), so they don't
-depend on how rows are dealt, and neither do the trees. Rows live in blocks of BLOCK; their margins are stored anew every STORED
-rounds and carried on by the trees since. A table of one block needs no exchange: its task grows all the trees.
+finds its best split with the sums on its left, and one row a node goes to the driver; leaves under the last splits need no pass. Sums are whole numbers (gradients to 30 binary places), so they don't
+depend on how rows are dealt, and neither do the trees. Rows live in blocks of BLOCK; their margins are moved on once a round, by its
+trees alone, cached for the next one's levels and stored every STORED rounds. A table of one block needs no exchange: its task grows all the trees.
 
 A split sends missing values to the side where they gain more, and splits less than ``gamma`` or leaving less hessian than
 ``min_child`` on a side are not made. Rows and columns are sampled for each round and tree by hashes of row key and column, never by
@@ -145,11 +145,15 @@ def gradients(margin: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.nda
 def histogram(bins: np.ndarray, node: np.ndarray, g: np.ndarray, h: np.ndarray, nodes: int) -> np.ndarray:
     """(node, column, bin, 2) sums; rows with a negative node are left out."""
     used = node >= 0
-    bins, node, width = bins[used], node[used], bins.shape[1]
-    cell = ((node[:, None] * width + np.arange(width)) * BINS + bins).ravel()
-    out = np.empty((nodes, width, BINS, 2), np.int64)
-    for i, w in enumerate((g[used], h[used])):
-        out[..., i] = np.bincount(cell, np.repeat(w, width), nodes * width * BINS).reshape(nodes, width, BINS)
+    if not used.all():
+        bins, node, g, h = bins[used], node[used], g[used], h[used]
+    first = node * BINS
+    out = np.empty((nodes, bins.shape[1], BINS, 2), np.int64)
+    for c in range(bins.shape[1]):
+        # A column at a time: its sums stay in the processor's cache.
+        cell = first + bins[:, c]
+        for i, w in enumerate((g, h)):
+            out[:, c, :, i] = np.bincount(cell, w, nodes * BINS).reshape(nodes, BINS)
     return out
 
 
@@ -179,6 +183,15 @@ def best_split(sums: np.ndarray, columns: np.ndarray, growth: Growth) -> tuple:
     return (*best, int(total[0]), int(total[1]))
 
 
+def left_sums(sums: np.ndarray, found: tuple) -> tuple[int, int]:
+    """Gradients and hessians left of a node's best split, in whole units."""
+    _, column, split, missing_left, _, _ = found
+    if column < 0:
+        return 0, 0
+    left = sums[column, 0 if missing_left else 1:split + 1].sum(axis=0)
+    return int(left[0]), int(left[1])
+
+
 def _settle(tree: Trees, node: int, found: tuple, growth: Growth, last: bool) -> None:
     """Write what was found for a node into its tree."""
     gain, column, split, missing_left, g, h = found
@@ -188,6 +201,17 @@ def _settle(tree: Trees, node: int, found: tuple, growth: Growth, last: bool) ->
         tree.column[node], tree.split[node], tree.missing_left[node], tree.gain[node] = column, split, missing_left, gain
 
 
+def _settle_level(tree: Trees, level: int, found: list[tuple[int, tuple, tuple]], growth: Growth) -> None:
+    """(node of the level, best split, left sums) of all nodes into the tree. The leaves below the last splits follow from these."""
+    first, bottom = 2**level - 1, level + 1 == growth.depth
+    for i, split, left in found:
+        _settle(tree, first + i, split, growth, level == growth.depth)
+        if bottom and split[1] >= 0:
+            g, h = split[4:]
+            for side, sums in enumerate((left, (g - left[0], h - left[1]))):
+                _settle(tree, 2 * (first + i) + 1 + side, (0.0, -1, 0, False, *sums), growth, True)
+
+
 def _at_level(tree: Trees, bins: np.ndarray, chosen: np.ndarray, level: int) -> np.ndarray:
     """For each row its node counted inside the level, -1 if not sampled or in a leaf above."""
     node = places(bins, tree) - (2**level - 1)
@@ -197,18 +221,21 @@ def _at_level(tree: Trees, bins: np.ndarray, chosen: np.ndarray, level: int) ->
 def grow_in_task(bins: np.ndarray, label: np.ndarray, keys: np.ndarray, classes: int, growth: Growth) -> Trees:
     """All trees of a table of one block."""
     margin, done = np.zeros((len(bins), classes)), []
+    bins = np.asfortranarray(bins)
     for round_ in range(growth.rounds):
         g, h = gradients(margin, label)
         trees, chosen = Trees.empty((classes,), growth.depth), sampled_rows(keys, growth, round_)
         for k in range(classes):
             tree, columns = trees[k], sampled_columns(bins.shape[1], growth, round_, k)
-            for level in range(growth.depth + 1):
+            for level in range(max(growth.depth, 1)):
                 node = _at_level(tree, bins, chosen, level)
                 if (node < 0).all():
                     break
-                sums = histogram(bins, node, g[:, k], h[:, k], 2**level)
+                sums, found = histogram(bins, node, g[:, k], h[:, k], 2**level), []
                 for i in np.unique(node[node >= 0]).tolist():
-                    _settle(tree, 2**level - 1 + i, best_split(sums[i], columns, growth), growth, level == growth.depth)
+                    split = best_split(sums[i], columns, growth)
+                    found.append((i, split, left_sums(sums[i], split)))
+                _settle_level(tree, level, found, growth)
         done.append(trees)
         add_margins(margin, bins, Trees.stack([trees]))
     return Trees.stack(done) if done else Trees.empty((0, classes), growth.depth)
@@ -262,41 +289,43 @@ class _Boosting:
     classes: int
     growth: Growth
     done: list[Trees] = field(default_factory=list)
-    behind: int = 0  # rounds whose trees the stored margins hold
 
-    def _since(self) -> Trees:
-        parts = self.done[self.behind:]
-        return Trees.stack(parts) if parts else Trees.empty((0, self.classes), self.growth.depth)
-
-    def _store_margins(self) -> None:
-        since, width, classes = self._since(), self.width, self.classes
+    def _move_margins(self) -> None:
+        """Blocks with the margins after the last round, kept for the levels of the next; written every STORED rounds."""
+        last, width, classes = Trees.stack(self.done[-1:]), self.width, self.classes
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 margins = []
                 for _, _, bins, margin in _unpacked(batch, width, classes):
-                    add_margins(margin, bins, since)
+                    add_margins(margin, bins, last)
                     margins.append(margin.tobytes())
                 yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(margins, pa.binary())], names=batch.schema.names)
 
-        self.blocks, self.behind = stored(self.blocks.mapInArrow(run, BLOCKS), "margins"), len(self.done)
+        before, moved = self.blocks, self.blocks.mapInArrow(run, BLOCKS)
+        if len(self.done) % STORED == 0:
+            self.blocks = stored(moved, "margins")
+            before.unpersist()
+            self.blocks.persist()
+        else:
+            self.blocks = moved.persist()
+            self._spent = before
 
     def _level(self, trees: Trees, level: int) -> list[tuple]:
-        """(class, node, *best split) of every node of a level."""
-        since, width, classes, growth, round_ = self._since(), self.width, self.classes, self.growth, len(self.done)
+        """(class, node, *best split, *left sums) of every node of a level."""
+        width, classes, growth, round_ = self.width, self.classes, self.growth, len(self.done)
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = None
             for batch in batches:
                 for keys, label, bins, margin in _unpacked(batch, width, classes):
-                    add_margins(margin, bins, since)
                     g, h = gradients(margin, label)
-                    chosen = sampled_rows(keys, growth, round_)
+                    chosen, bins = sampled_rows(keys, growth, round_), np.asfortranarray(bins)
                     own = np.stack([histogram(bins, _at_level(trees[k], bins, chosen, level), g[:, k], h[:, k], 2**level) for k in range(classes)])
                     sums = own if sums is None else sums + own
             if sums is not None:
                 k, node = np.nonzero(sums[..., 1].any(axis=(2, 3)))
-                yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(node, pa.int32()), pa.array([sums[a, b].tobytes() for a, b in zip(k, node)])],
+                yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(node, pa.int32()), pa.array([sums[a, b].tobytes() for a, b in zip(k, node)], pa.binary())],
                                                  names=["k", "node", "sums"])
 
         def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,28 +334,43 @@ class _Boosting:
                 for k, node, sums in zip(*(batch.column(c).to_pylist() for c in ("k", "node", "sums"))):
                     own = np.frombuffer(sums, np.int64).reshape(width, BINS, 2)
                     total[k, node] = total[k, node] + own if (k, node) in total else own
-            rows = [(k, node, *best_split(s, sampled_columns(width, growth, round_, k), growth)) for (k, node), s in total.items()]
+            rows = []
+            for (k, node), s in total.items():
+                split = best_split(s, sampled_columns(width, growth, round_, k), growth)
+                rows.append((k, node, *split, *left_sums(s, split)))
             if rows:
-                types = [pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64()]
+                types = [pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.bool_(), *[pa.int64()] * 4]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                                                 names=["k", "node", "gain", "col", "split", "missing_left", "g", "h"])
+                                                 names=["k", "node", "gain", "col", "split", "missing_left", "g", "h", "lg", "lh"])
 
-        added = self.blocks.mapInArrow(add, "k int, node int, sums binary").repartition("k", "node")
-        found = added.mapInArrow(best, "k int, node int, gain double, col int, split int, missing_left boolean, g long, h long")
+        context = self.blocks.sparkSession.sparkContext
+        tasks = min(classes * 2**level, max(context.defaultParallelism, 1))
+        added = self.blocks.mapInArrow(add, "k int, node int, sums binary").repartition(tasks, "k", "node")
+        found = added.mapInArrow(best, "k int, node int, gain double, col int, split int, missing_left boolean, g long, h long, lg long, lh long")
         return [tuple(r) for r in found.collect()]  # at most a row a node of the level
 
     def run(self) -> Trees:
-        for _ in range(self.growth.rounds):
-            trees = Trees.empty((self.classes,), self.growth.depth)
-            for level in range(self.growth.depth + 1):
-                found = self._level(trees, level)
-                if not found:
-                    break
-                for k, node, *split in found:
-                    _settle(trees[k], 2**level - 1 + node, tuple(split), self.growth, level == self.growth.depth)
-            self.done.append(trees)
-            if len(self.done) - self.behind >= STORED:
-                self._store_margins()
+        self._spent = None
+        self.blocks.persist()
+        try:
+            for round_ in range(self.growth.rounds):
+                trees = Trees.empty((self.classes,), self.growth.depth)
+                for level in range(max(self.growth.depth, 1)):
+                    found = self._level(trees, level)
+                    if self._spent is not None:  # the first level has filled what replaces it
+                        self._spent.unpersist()
+                        self._spent = None
+                    if not found:
+                        break
+                    for k in range(self.classes):
+                        _settle_level(trees[k], level, [(r[1], r[2:8], r[8:]) for r in found if r[0] == k], self.growth)
+                self.done.append(trees)
+                if round_ + 1 < self.growth.rounds:
+                    self._move_margins()
+        finally:
+            if self._spent is not None:
+                self._spent.unpersist()
+            self.blocks.unpersist()
         return Trees.stack(self.done) if self.done else Trees.empty((0, self.classes), self.growth.depth)
 
 
@@ -415,7 +459,8 @@ class BoostedTrees(Estimator):
             raise ValueError("no rows with a label")
         edges = self._edges(rows, width)
         one = n <= BLOCK
-        dealt = rows.coalesce(1).sortWithinPartitions("key", "x", "label") if one else rows
+        dealt = rows.coalesce(1).sortWithinPartitions("key", "x", "label") if one else rows.repartition(
+            max(-(-n // BLOCK), df.sparkSession.sparkContext.defaultParallelism), "key")
         blocks = stored(dealt.mapInArrow(_blocks(edges, self.classes), BLOCKS), "blocks")
         if one:
             parts = [r["part"] for r in blocks.mapInArrow(_grow_one(width, self.classes, self.growth), "part binary").collect()]
