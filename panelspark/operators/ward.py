@@ -60,25 +60,34 @@ def ward_tree(features: Features) -> list[tuple[int, int, float]]:
     Ward's criterion is reducible, so merging these at once gives the same tree as merging the closest pair each time.
     """
     n = len(features)
-    weight, mean = features.weight.astype(float).copy(), features.mean.astype(float).copy()
+    weight = features.weight.astype(float).copy()
+    mean = features.mean.astype(float)
+    cost = np.empty((n, n))
+    for i in range(n):
+        off = mean[:i + 1] - mean[i]
+        cost[i, :i + 1] = cost[:i + 1, i] = weight[:i + 1] * weight[i] / (weight[:i + 1] + weight[i]) * np.einsum("ij,ij->i", off, off)
+    np.fill_diagonal(cost, np.inf)
+    # Rows of ``cost`` hold the heights of the groups that are left, inf for others; a merge gets its row from those of both
+    # parts (Lance and Williams, 1967).
     alive, merges, chain = np.ones(n, bool), [], []
     for _ in range(n - 1):
         if not chain:
             chain.append(int(np.argmax(alive)))
         while True:
             top = chain[-1]
-            cost = weight * weight[top] / (weight + weight[top]) * ((mean - mean[top]) ** 2).sum(1)
-            cost[~alive] = np.inf
-            cost[top] = np.inf
-            near = int(np.argmin(cost))
-            if len(chain) > 1 and cost[chain[-2]] <= cost[near]:
+            near = int(np.argmin(cost[top]))
+            if len(chain) > 1 and cost[top, chain[-2]] <= cost[top, near]:
                 break
             chain.append(near)
         a, b = sorted((chain.pop(), chain.pop()))
-        merges.append((a, b, float(cost[a] if top == b else cost[b])))
-        total = weight[a] + weight[b]
-        mean[a] = (weight[a] * mean[a] + weight[b] * mean[b]) / total
-        weight[a], alive[b] = total, False
+        height = cost[a, b]
+        merges.append((a, b, float(height)))
+        alive[b] = False
+        joined = ((weight[a] + weight) * cost[a] + (weight[b] + weight) * cost[b] - weight * height) / (weight[a] + weight[b] + weight)
+        weight[a] += weight[b]
+        joined[~alive] = np.inf
+        joined[a] = np.inf
+        cost[a], cost[:, a], cost[:, b] = joined, joined, np.inf
     return sorted(merges, key=lambda m: m[2])
 
 

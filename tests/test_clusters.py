@@ -136,3 +136,11 @@ def test_ward_of_few_rows(spark):
     df = vectors(spark, np.array([[1.0, 2.0], [1.0, 2.0]]))
     assert clusters(W.WardClustering(3).fit(df), df) == [[0, 1]]
     assert W.WardClustering(3).fit(df.limit(0)).transform(df.limit(0)).count() == 0
+
+
+def test_rows_to_cluster_are_filled_once(spark):
+    """The filter on filled rows reads stored columns instead of filling each row once a column."""
+    from workload.learning import filled_rows
+
+    plan = filled_rows(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 20_000 and "transform(" not in plan.lower()
