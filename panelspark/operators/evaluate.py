@@ -112,6 +112,11 @@ def with_stratified_folds(df: DataFrame, k: int = 5, label: str = LABEL, key: st
     return placed.withColumn("fold", (F.col(place) % k).cast("int")).drop(hashed, place, total)
 
 
+def _for_fits(folded: DataFrame) -> DataFrame:
+    """In at most as many parts as tasks run at a time: each step of a fit sends something to the driver for every part."""
+    return folded.coalesce(max(1, folded.sparkSession.sparkContext.defaultParallelism))
+
+
 def _mean_std(values: Sequence[float]) -> tuple[float, float]:
     if not values:
         raise ValueError("no fold has rows to score")
@@ -206,7 +211,7 @@ def search_parameters(
     ``trials`` is the table of all draws.
     """
     started = time.perf_counter()
-    folded = with_stratified_folds(train, cv).persist()
+    folded = _for_fits(with_stratified_folds(train, cv)).persist()
     try:
         draws = parameter_draws(grid, n_iter if use_random else None)
         found = cross_validate_all([(lambda p=params: make(**p), None) for params in draws], folded, cv)
@@ -229,7 +234,7 @@ def learning_curve(
     make: Factory, train: DataFrame, cv: int = 5, shares: Sequence[float] = tuple(i / 10 for i in range(1, 11))
 ) -> DataFrame:
     """(share, train_mean, train_std, test_mean, test_std). Larger training sets contain the smaller ones."""
-    folded = with_stratified_folds(train, cv).withColumn("__u", hash_unit(F.col(KEY), seed=7)).persist()
+    folded = _for_fits(with_stratified_folds(train, cv).withColumn("__u", hash_unit(F.col(KEY), seed=7))).persist()
     try:
         found = cross_validate_all([(make, F.col("__u") < share) for share in shares], folded, cv, score_train=True)
         rows = [(float(share), *_mean_std(folds.train_scores), *_mean_std(folds.scores)) for share, folds in zip(shares, found)]
