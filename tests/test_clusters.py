@@ -65,6 +65,21 @@ def test_a_crowded_ball_meets_nobody_of_its_own(spark, monkeypatch):
     assert sum(v.count() for v in visits) == 0
 
 
+def test_a_point_is_sent_once_to_a_hold(spark, monkeypatch):
+    """Where every point reaches every cell, it travels once for each hold and not once for each cell, for the same clusters."""
+    monkeypatch.setattr(B, "BLOCK", 64)
+    monkeypatch.setattr(B, "STREAMS", 3)
+    monkeypatch.setattr(B, "HELD_BYTES", 12_000)
+    points = np.random.default_rng(7).normal(size=(300, 24))
+    visits, real = [], B._visits
+    monkeypatch.setattr(B, "_visits", lambda *a: (visits.append(real(*a)), visits[-1])[1])
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(points)], "id long, v array<double>")
+    got = {r["id"]: (r["core"], r["cluster"]) for r in B.dbscan_vectors(df, 4.8, 4).collect()}
+    assert got == plain_dbscan(np.arange(300), points, 4.8, 4)
+    assert {core for core, _ in got.values()} == {True, False}
+    assert visits[0].count() <= 5 * 300
+
+
 def plain_ward(points, k):
     """The closest pair each time; groups as sorted lists."""
     groups, weight, mean = [[i] for i in range(len(points))], np.ones(len(points)), points.astype(float).copy()
