@@ -14,10 +14,11 @@ from panelspark.operators.features import add_features, fill_rows, normalise_row
 from panelspark.operators.impute import keep_observed_rows
 from panelspark.operators.iterative import impute_iterative
 from panelspark.operators.neighbours import impute_neighbours
+from panelspark.operators.pool import side_by_side
 from panelspark.operators.profile import class_shares, table_size
 from panelspark.schema import KEY, TARGET
 from panelspark.sources.registry import FEATURE_SUFFIX, STRATEGIES, Registry
-from panelspark.sources.tables import join_labels
+from panelspark.sources.tables import join_labels, write_parquet
 
 log = logging.getLogger(__name__)
 
@@ -44,27 +45,35 @@ def imputed(panel: DataFrame, strategies: Sequence[str] = tuple(STRATEGIES)) ->
 def build_datasets(
     registry: Registry, train: DataFrame, test: DataFrame, strategies: Sequence[str] = tuple(STRATEGIES)
 ) -> None:
-    """Write the imputed train and test tables of each strategy."""
-    for key in strategies:
-        registry.write(key, IMPUTERS[key](train), IMPUTERS[key](test))
+    """Write the imputed train and test tables of each strategy, side by side: rounds of small jobs and long ones share the cores."""
+    work = []
+    # The models come last in the catalogue and take longest, so they begin first.
+    for key in reversed(dict.fromkeys(strategies)):
+        imputer, entry = IMPUTERS[key], registry.entry(key)
+        work += [lambda f=imputer, df=df, path=path: write_parquet(f(df), path) for df, path in ((train, entry.train), (test, entry.test))]
+    side_by_side(train.sparkSession, work)
 
 
 def precompute_features(
     spark: SparkSession, registry: Registry, strategies: Sequence[str] = tuple(STRATEGIES), failed: dict[str, str] | None = None
 ) -> list[str]:
-    """Write ``<key>_with_features`` for every strategy that can be read; returns the new keys. ``failed`` gets the others with
-    their errors."""
-    done = []
-    for key in strategies:
+    """Write ``<key>_with_features`` for every strategy that can be read, side by side; returns the new keys. ``failed`` gets the
+    others with their errors."""
+
+    def one(key: str) -> str | None:
         try:
             train, test = registry.read(spark, key)
             registry.write(key + FEATURE_SUFFIX, add_features(train), add_features(test))
-            done.append(key + FEATURE_SUFFIX)
         except (PySparkException, Py4JError, ValueError) as error:  # one missing dataset must not stop the others
             log.warning("no features for dataset %s: %s", key, error)
-            if failed is not None:
-                failed[key] = str(error)
-    return done
+            return str(error)
+        return None
+
+    keys = list(dict.fromkeys(strategies))
+    errors = dict(zip(keys, side_by_side(spark, [lambda k=key: one(k) for key in keys])))
+    if failed is not None:
+        failed |= {key: error for key, error in errors.items() if error is not None}
+    return [key + FEATURE_SUFFIX for key in strategies if errors[key] is None]
 
 
 def load_datasets(

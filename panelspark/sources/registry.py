@@ -61,13 +61,17 @@ class Registry:
 
     def write(self, key: str, train: DataFrame, test: DataFrame, description: str | None = None) -> Dataset:
         """Materialise both tables under the key's paths, adding the key if it is new."""
-        if key not in self:
-            self.register(key, *self._default_paths(key), description or key)
-        entry = self[key]
+        entry = self.entry(key, description)
         write_parquet(train, entry.train)
         write_parquet(test, entry.test)
         return entry
 
+    def entry(self, key: str, description: str | None = None) -> Dataset:
+        """The key's dataset; a new key is added under the root folder."""
+        if key not in self:
+            self.register(key, *self._default_paths(key), description or key)
+        return self[key]
+
     def _default_paths(self, key: str) -> tuple[str, str]:
         entry = self._default(key, key)
         return entry.train, entry.test

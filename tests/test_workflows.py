@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -72,6 +74,29 @@ def test_precomputed_features(spark, registry):
         V.resolve_key(registry, "nothing", True)
 
 
+def test_datasets_and_their_features_are_made_side_by_side(spark, sides, tmp_path, monkeypatch):
+    """Each piece waits for the others to have begun; one after the other, the first would wait in vain."""
+    made, inner = Registry(str(tmp_path)), D.add_features
+    begun, featured = threading.Barrier(4), threading.Barrier(2)
+
+    def imputer(df):
+        begun.wait(60)
+        return df
+
+    def features(df):
+        featured.wait(60)
+        return inner(df)
+
+    monkeypatch.setattr(D, "IMPUTERS", {"raw": imputer, "ffbf": imputer})
+    D.build_datasets(made, *sides, ["raw", "ffbf"])
+    for key in ("raw", "ffbf"):
+        assert [df.count() for df in made.read(spark, key)] == [df.count() for df in sides]
+    monkeypatch.setattr(D, "add_features", features)
+    failed = {}
+    assert D.precompute_features(spark, made, ["ffbf", "raw", "ffbf"], failed) == ["ffbf_with_features", "raw_with_features", "ffbf_with_features"]
+    assert not failed and "r_mean" in made.read(spark, "ffbf_with_features")[1].columns
+
+
 def test_metrics_against_hand_counts(spark):
     rows = [(1, 1)] * 5 + [(1, 0)] * 2 + [(0, 0)] * 3 + [(0, 1)] + [(-1, 0)] * 4
     df = spark.createDataFrame(rows, "actual int, predicted int")
