@@ -122,22 +122,26 @@ class _Queries:
         # Distance of the last candidate of each gap: what a further one must not exceed.
         self.limit = np.where(self.has, -np.inf, np.inf)
         flat, bare = self.has.astype(np.float32), np.where(self.has, self.values, 0)
-        size = (bare**2).sum(axis=1, keepdims=True)
-        self.left = np.hstack([bare**2, flat, -2 * bare, -ERROR * size, np.ones((len(bare), 1))]).astype(np.float32)
-        self.flat = flat
+        self.squares = bare**2
+        size = self.squares.sum(axis=1, keepdims=True)
+        self.left = np.hstack([self.squares, flat, -2 * bare, -ERROR * size, np.ones((len(bare), 1))]).astype(np.float32)
 
     def meet(self, ids: np.ndarray, values: np.ndarray) -> None:
-        has = ~np.isnan(values)
+        has, width = ~np.isnan(values), values.shape[1]
         flat, bare = has.astype(np.float32), np.where(has, values, 0)
         size = (bare**2).sum(axis=1, keepdims=True)
         right = np.hstack([flat, bare**2, bare, np.ones((len(bare), 1)), -ERROR * size]).astype(np.float32).T
         for at in range(0, len(self.ids), TOGETHER):
             part = slice(at, at + TOGETHER)
             furthest = self.limit[part].max(axis=1)
-            with np.errstate(invalid="ignore", over="ignore"):
-                # Squares times columns over columns shared are at most the limit's square; 0 shared columns give none.
-                limit = ((furthest * (1 + 1e-6) + 1e-6) ** 2 / values.shape[1]).astype(np.float32)[:, None]
-                i, j = np.nonzero(self.left[part] @ right <= limit * (self.flat[part] @ flat.T))
+            known = np.isfinite(furthest)
+            limit = np.where(known, (furthest * (1 + 1e-6) + 1e-6) ** 2 / width * (1 + ERROR), 0.0)[:, None]
+            # Squares less the limit's square for each column shared: one product tells all pairs that can matter.
+            self.left[part, :width] = self.squares[part] - limit * self.has[part]
+            near = self.left[part] @ right <= 0
+            near[~known] = True
+            # In flat places, which numpy finds many times faster than places in two dimensions.
+            i, j = np.divmod(np.flatnonzero(near), len(ids))
             if len(i):
                 self._take(i + at, j, ids, values, has)
 
@@ -148,10 +152,11 @@ class _Queries:
         with np.errstate(invalid="ignore", divide="ignore"):
             distance = np.round(np.sqrt((off * off).sum(axis=1) * values.shape[1] / shared), 12)
         # Donors at the limit count, as ties are settled by donor id.
-        pair, feature = np.nonzero((distance[:, None] <= self.limit[i]) & has[j] & np.isfinite(distance)[:, None])
+        width, k = values.shape[1], self.k
+        useful = (distance[:, None] <= self.limit[i]) & has[j] & np.isfinite(distance)[:, None]
+        pair, feature = np.divmod(np.flatnonzero(useful), width)
         if not len(pair):
             return
-        width, k = values.shape[1], self.k
         cell = i[pair] * width + feature
         held = np.unique(cell)
         row, column = held // width, held % width

@@ -161,3 +161,39 @@ def test_neighbours_hand_on_the_best_donors_alone(spark, monkeypatch):
     np.testing.assert_allclose(collected(got, cols), brute_neighbours(frame[cols].to_numpy()), atol=1e-9)
     (held, visitors, handed_on), = seen
     assert (held, visitors) == (90, 4 * 90) and handed_on <= 5 * frame[cols].isna().to_numpy().sum()
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e5])
+def test_neighbours_sift_by_one_product_and_lose_no_pair(scale):
+    """Close rows far from 0, ties, rows without a column in common and a column with fewer donors than asked for."""
+    from panelspark.operators import neighbours
+
+    class Counted(np.ndarray):
+        products = 0
+
+        def __matmul__(self, other):
+            Counted.products += 1
+            return np.asarray(self) @ np.asarray(other)
+
+    rng = np.random.default_rng(6)
+    x = (rng.normal(size=(300, 9)) + scale * rng.integers(-3, 4, (300, 1))).round(2)
+    x[rng.random(x.shape) < 0.3] = np.nan
+    x[5:9, :5], x[9:13, 5:], x[3:, 2] = np.nan, np.nan, np.nan
+    x[200:240] = x[100:140]
+    ids, k = np.arange(300), 5
+    queries = neighbours._Queries(ids, x, k)
+    queries.left = queries.left.view(Counted)
+    if hasattr(queries, "flat"):
+        queries.flat = queries.flat.view(Counted)
+    visits = range(0, 300, 32)
+    for at in visits:
+        queries.meet(ids[at:at + 32], x[at:at + 32])
+    assert Counted.products == len(visits)
+    both = ~np.isnan(x[:, None]) & ~np.isnan(x[None])
+    with np.errstate(invalid="ignore", divide="ignore"):
+        apart = np.round(np.sqrt((np.where(both, x[:, None] - x[None], 0) ** 2).sum(2) * 9 / both.sum(2)), 12)
+    for row, i in enumerate(queries.ids):
+        for f in np.flatnonzero(np.isnan(x[i])):
+            want = sorted((apart[i, j], j) for j in ids if not np.isnan(x[j, f]) and both[i, j].any())[:k]
+            found = np.isfinite(queries.distance[row, f])
+            assert list(zip(queries.distance[row, f][found], queries.donor[row, f][found])) == want
