@@ -104,7 +104,8 @@ def run_experiment(
 
 def _experiment_row(train, test, entry, add_feat, feature_sets, normalize_by_row, scaler, names) -> Row:
     if add_feat:
-        train, test = add_features(train, feature_sets), add_features(test, feature_sets)
+        # The scaler and the fit both read the training side, so its features are worked out before.
+        train, test = stored(add_features(train, feature_sets), "featured"), add_features(test, feature_sets)
     if normalize_by_row:
         train, test = normalise_rows(train), normalise_rows(test)
     metrics, _, _ = score_experiment(train, test, entry, scaler)
@@ -142,7 +143,8 @@ def sweep(
     def one(key, model, feat, scaler, norm):
         return run_experiment(spark, registry, key, model, feat, normalize_by_row=norm, scaler=scaler, models=models).collect()
 
-    found = side_by_side(spark, [lambda r=r: one(*r) for r in runs])
+    # A fit may be one long task, so as many runs as cores go at a time.
+    found = side_by_side(spark, [lambda r=r: one(*r) for r in runs], max(1, min(len(runs), spark.sparkContext.defaultParallelism)))
     return spark.createDataFrame([row for rows in found for row in rows], TRACKER)
 
 

@@ -96,6 +96,29 @@ def test_many_blocks_give_the_trees_of_one(spark, monkeypatch):
             assert np.array_equal(getattr(one.trees, f), getattr(many.trees, f))
 
 
+def test_fewer_rows_of_two_siblings_are_summed(monkeypatch):
+    rng = np.random.default_rng(7)
+    bins, node = np.asfortranarray(rng.integers(0, 255, (500, 3)).astype(np.uint8)), rng.integers(-1, 8, 500)
+    node[node == 5] = 4
+    g, h = np.rint(rng.normal(size=500) * B.UNIT), np.rint(rng.random(500) * B.UNIT)
+    above, want = B.histogram(bins, node >> 1, g, h, 4), B.histogram(bins, node, g, h, 8)
+    read, real = [], B.histogram
+    monkeypatch.setattr(B, "histogram", lambda bins, node, *rest: read.append((node >= 0).sum()) or real(bins, node, *rest))
+    np.testing.assert_array_equal(B.histogram_below(above, bins, node, g, h), want)
+    assert sum(read) <= (node >= 0).sum() / 2
+
+
+def test_tables_of_a_few_hundred_thousand_rows_need_no_exchange(spark, monkeypatch):
+    """Exchanges, one a level and round, cost a sweep over such tables more time than the sums do."""
+    def run(self):
+        raise AssertionError("an exchange")
+
+    monkeypatch.setattr(B._Boosting, "run", run)
+    df = spark.range(70_000).selectExpr("id AS ID", "array(double(id % 7), double(id % 11)) AS v", "int(id % 7 > 2) AS label")
+    model = B.BoostedTrees(B.Growth(1, 2)).fit(df.withColumn("features", array_to_vector("v")))
+    assert len(model.trees.column) == 1 and model.trees.cover[0, 0, 0] > 10_000
+
+
 def test_gradients_are_slopes_of_the_loss():
     rng = np.random.default_rng(2)
     margin, label = rng.normal(size=(20, 3)), rng.integers(0, 3, 20)
